@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..workspace import materialise
-from .lookup import TABLE_BYTES, TOTAL_BYTES, TableSize, attach, broadcastable, measure_by
+from .lookup import TABLE_BYTES, TOTAL_BYTES, TableSize, attach, broadcastable, measure_by, store_by
 from .running import ROWS_PER_TASK, running_total
 
 UNKNOWN = -1
@@ -67,9 +67,9 @@ class FittedEncoder:
                 [(F.col(column).cast("string"), "category")],
                 {out.format(column): value},
                 null_safe=True,
-                small=column in small or column not in self.sizes,
+                small=column in small,
                 weight="n",
-                total_weight=self.sizes[column].weight if column in self.sizes else 0,
+                total_weight=self.sizes[column].weight,
             )
         return df
 
@@ -89,7 +89,7 @@ class FittedEncoder:
             tuple(meta["passthrough"]),
             tuple(meta["order"]),
             table,
-            measure_by(table, "feature", "n"),
+            {c: TableSize(0, 0) for c in meta["encoded"]} | measure_by(table, "feature", "n"),
         )
 
 
@@ -116,14 +116,9 @@ class CountEncoder:
 
     def fit(self, train: DataFrame) -> FittedCount:
         encoded, passthrough = split_numeric(train, self.cols, self.numeric)
-        table = materialise(
-            unpivot_categories(train, encoded).groupBy("feature", "category").agg(F.count(F.lit(1)).alias("n")),
-            "count-encoder",
-            ("feature",),
-        )
-        return FittedCount(
-            tuple(encoded), tuple(passthrough), self.cols, table, measure_by(table, "feature", "n")
-        )
+        counts = unpivot_categories(train, encoded).groupBy("feature", "category").agg(F.count(F.lit(1)).alias("n"))
+        table, sizes = store_by(counts, "count-encoder", "feature", encoded, "n")
+        return FittedCount(tuple(encoded), tuple(passthrough), self.cols, table, sizes)
 
 
 class FittedOrdinal(FittedEncoder):
@@ -158,13 +153,12 @@ class OrdinalEncoder:
 
     def fit(self, train: DataFrame) -> FittedOrdinal:
         encoded, passthrough = split_numeric(train, self.cols, self.numeric)
-        seen = materialise(
+        first = (
             unpivot_categories(train, encoded, [self.row_id])
             .groupBy("feature", "category")
-            .agg(F.count(F.lit(1)).alias("n"), F.min(self.row_id).alias("first_row")),
-            "first-seen",
+            .agg(F.count(F.lit(1)).alias("n"), F.min(self.row_id).alias("first_row"))
         )
-        sizes = measure_by(seen, "feature", "n")
+        seen, sizes = store_by(first, "first-seen", "feature", encoded, "n")
         rows = sum(s.rows for s in sizes.values())
         ranked = running_total(seen, ["feature"], ["first_row"], None, "code", rows, self.rows_per_task)
         table = materialise(ranked, "ordinal-encoder", ("feature",))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..workspace import materialise
-from .lookup import TABLE_BYTES, TableSize, attach, measure
+from .lookup import TABLE_BYTES, TableSize, attach, store
 from .running import ROWS_PER_TASK, running_total
 
 MISSING_GROUP = "<missing>"
@@ -67,11 +67,8 @@ def group_kfold(
         raise ValueError("n_splits must be at least 2")
     group = F.col(group_col).cast("string")
     order = _order_hash(F.col("group"), seed) if shuffle else F.lit("")
-    groups = materialise(
-        df.groupBy(group.alias("group")).agg(F.count(F.lit(1)).alias("n")).withColumn("order", order),
-        "groups",
-    )
-    size = measure(groups, "n")
+    counted = df.groupBy(group.alias("group")).agg(F.count(F.lit(1)).alias("n")).withColumn("order", order)
+    groups, size = store(counted, "groups", "n")
     if size.rows < n_splits:
         raise ValueError(f"{size.rows} groups cannot fill {n_splits} folds")
     placed = running_total(groups, [], ["order", "group"], None, "position", size.rows, rows_per_task)

@@ -10,8 +10,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..workspace import materialise
-from .lookup import TABLE_BYTES, TableSize, attach, measure
+from .lookup import TABLE_BYTES, TableSize, attach, store
 from .quantiles import quantiles
 
 METHODS: dict[str, Callable[[Column], Column]] = {
@@ -97,5 +96,5 @@ class GroupStats:
         return tuple(stat_name(m, self.cat_cols, t) for t in self.target_cols for m in self.methods)
 
     def fit(self, train: DataFrame) -> FittedStats:
-        table = materialise(self.statistics(train), "group-stats")
-        return FittedStats(self.cat_cols, self._names(), table, measure(table, "__n"))
+        table, size = store(self.statistics(train), "group-stats", "__n")
+        return FittedStats(self.cat_cols, self._names(), table, size)

@@ -15,9 +15,11 @@ from functools import reduce
 from itertools import count
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from ..workspace import materialise
+
 TABLE_BYTES = 64 << 20      # one broadcast table
 TOTAL_BYTES = 256 << 20     # all broadcast tables of one transform
 HOT_FRACTION = 1e-3         # a key with this share of the fitted rows is hot
@@ -46,19 +48,41 @@ def row_bytes(table: DataFrame) -> Column:
     )
 
 
-def measure(table: DataFrame, weight: str | None = None) -> TableSize:
-    """Rows and bytes of a stored table, by one aggregate."""
-    total = F.sum(weight) if weight else F.lit(0)
-    row = table.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.coalesce(F.sum(row_bytes(table)), F.lit(0)).alias("bytes"),
-        F.coalesce(total.cast("long"), F.lit(0)).alias("weight"),
-    ).first()
-    return TableSize(row["rows"], row["bytes"], row["weight"])
+def _size_exprs(table: DataFrame, weight: str | None, when: Column, tag: str) -> list[Column]:
+    total = F.sum(F.when(when, F.col(weight))) if weight else F.lit(0)
+    return [
+        F.count_if(when).alias(f"rows_{tag}"),
+        F.coalesce(F.sum(F.when(when, row_bytes(table))), F.lit(0)).cast("long").alias(f"bytes_{tag}"),
+        F.coalesce(total.cast("long"), F.lit(0)).alias(f"weight_{tag}"),
+    ]
+
+
+def store(df: DataFrame, name: str, weight: str | None = None) -> tuple[DataFrame, TableSize]:
+    """Write ``df`` to the shared folder; its size is counted by the writing job."""
+    seen = Observation(name)
+    table = materialise(df.observe(seen, *_size_exprs(df, weight, F.lit(True), "all")), name)
+    counts = seen.get
+    return table, TableSize(counts["rows_all"], counts["bytes_all"], counts["weight_all"])
+
+
+def store_by(
+    df: DataFrame, name: str, key: str, values: Sequence[str], weight: str
+) -> tuple[DataFrame, dict[str, TableSize]]:
+    """Like :func:`store`, partitioned by ``key`` (feature names), with the size per value."""
+    if not values:
+        return materialise(df, name, (key,)), {}
+    seen = Observation(name)
+    exprs = [e for i, v in enumerate(values) for e in _size_exprs(df, weight, F.col(key) == v, str(i))]
+    first, *rest = exprs
+    table = materialise(df.observe(seen, first, *rest), name, (key,))
+    counts = seen.get
+    return table, {
+        v: TableSize(counts[f"rows_{i}"], counts[f"bytes_{i}"], counts[f"weight_{i}"]) for i, v in enumerate(values)
+    }
 
 
 def measure_by(table: DataFrame, key: str, weight: str) -> dict[str, TableSize]:
-    """Like :func:`measure`, per value of ``key`` (a column with few values: feature names)."""
+    """Size per value of ``key`` (feature names) of a table stored earlier."""
     rows = (
         table.groupBy(key)
         .agg(

@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..workspace import materialise
-from .lookup import TABLE_BYTES, attach, measure
+from .lookup import TABLE_BYTES, attach, store
 from .running import ROWS_PER_TASK, running_total
 
 
@@ -35,21 +34,24 @@ def quantiles(
         .filter(F.col("value").isNotNull())
     )
     group = [*ids, "column"]
-    counted = materialise(long.groupBy(*group, "value").agg(F.count(F.lit(1)).alias("n")), "value-counts")
-    size = measure(counted)
+    counts = long.groupBy(*group, "value").agg(F.count(F.lit(1)).alias("n"))
+    counted, size = store(counts, "value-counts")
     ranked = running_total(counted, group, ["value"], "n", "upto", size.rows, rows_per_task)
-    totals = materialise(counted.groupBy(*group).agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("w")), "totals")
-    total_size = measure(totals, "w")
-    ranked = attach(
-        ranked,
-        totals,
-        [(F.col(g), g) for g in group],
-        {"total": "total"},
-        null_safe=True,
-        small=total_size.bytes <= table_bytes,
-        weight="w",
-        total_weight=total_size.weight,
-    )
+    if size.rows <= rows_per_task:
+        ranked = ranked.withColumn("total", F.sum("n").over(Window.partitionBy(*group)))
+    else:
+        sums = counted.groupBy(*group).agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("distinct"))
+        totals, total_size = store(sums, "totals", "distinct")
+        ranked = attach(
+            ranked,
+            totals,
+            [(F.col(g), g) for g in group],
+            {"total": "total"},
+            null_safe=True,
+            small=total_size.bytes <= table_bytes,
+            weight="distinct",
+            total_weight=total_size.weight,
+        )
 
     def at(rank: Column) -> Column:
         inside = (rank < F.col("upto")) & (rank >= F.col("upto") - F.col("n"))

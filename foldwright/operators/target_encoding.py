@@ -17,10 +17,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import interaction_key
-from ..workspace import materialise
 from .encoders import unpivot_categories
 from .folds import hash_fold
-from .lookup import TABLE_BYTES, TOTAL_BYTES, TableSize, attach, broadcastable, measure_by
+from .lookup import TABLE_BYTES, TOTAL_BYTES, TableSize, attach, broadcastable, store_by
 
 TEST_FOLD = -1
 PRIOR = "__prior__"     # a feature with one category: its encoding is the prior
@@ -116,11 +115,9 @@ class TargetEncoder:
 
     def fit(self, train: DataFrame) -> FittedTarget:
         features = (*self.cols, *[interaction_name(i) for i in self.interactions])
-        table = materialise(self._encodings(self._sums(train, features)), "target-encoder", ("feature",))
-        return FittedTarget(
-            features, self.interactions, self.targets, self.fold_col, self.unseen, table,
-            measure_by(table, "feature", "n"),
-        )
+        encodings = self._encodings(self._sums(train, features))
+        table, sizes = store_by(encodings, "target-encoder", "feature", features, "n")
+        return FittedTarget(features, self.interactions, self.targets, self.fold_col, self.unseen, table, sizes)
 
     def _parts(self) -> range:
         return range(self.inner_folds or 1)
