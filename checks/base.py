@@ -1,6 +1,8 @@
 """The given tables seen as train and test rows, in Spark and in SQL.
 
 The tables hold no nulls and no category that only test has, so both are made here.
+Money is in whole cents, as a double: its sums are exact in any order, so
+means agree to the last bit.
 """
 
 from __future__ import annotations
@@ -21,9 +23,9 @@ _COMMON = f"""o_orderkey AS row_id,
     NULLIF(o_orderpriority, '5-LOW') AS cat_null,
     CASE WHEN {_IS_TEST} AND o_orderkey % 7 = 0 THEN 'UNSEEN' ELSE o_orderstatus END AS cat_unseen,
     CAST(o_custkey AS {{text}}) AS grp,
-    CAST(o_totalprice AS DECIMAL(18,2)) AS y1,
+    round(o_totalprice * 100) AS y1,
     CAST(o_orderdate AS DATE) AS dt"""
-_CUSTOMER = "c_mktsegment AS seg, c_nationkey AS nat, CAST(c_acctbal AS DECIMAL(18,2)) AS y2"
+_CUSTOMER = "c_mktsegment AS seg, c_nationkey AS nat, round(c_acctbal * 100) AS y2"
 
 ORDERS_CTE = f"base AS (SELECT {_COMMON.format(text='VARCHAR')} FROM orders)"
 BASE_CTE = (
@@ -116,9 +118,8 @@ _DATES = {"grading_date": "o_orderdate", "expiration": "o_orderdate + INTERVAL '
 
 
 def _target(i: int, name: str) -> str:
-    price, balance = "CAST(o_totalprice AS DECIMAL(12,2))", "CAST(c_acctbal AS DECIMAL(12,2))"
-    value = f"CASE WHEN {_IS_TEST} THEN NULL ELSE {price} * {i + 1} + {balance} END"
-    return f"CAST({value} AS DECIMAL(18,2)) AS {name}"
+    value = f"round(o_totalprice * 100) * {i + 1} + round(c_acctbal * 100)"
+    return f"CASE WHEN {_IS_TEST} THEN NULL ELSE {value} END AS {name}"
 
 
 def raw_columns(engine: str) -> list[str]:

@@ -267,12 +267,10 @@ def date_features_second(spark, sf_dir):
 
 @query(
     "julian_timestamp",
-    """SELECT event_id, round(epoch_us(ts) / 86400000000.0 + 2440587.5, 6) AS julian FROM events""",
+    "SELECT event_id, CAST(epoch_us(ts) AS DOUBLE) / CAST(86400000000 AS DOUBLE) + CAST(2440587.5 AS DOUBLE) AS julian FROM events",
 )
 def julian_timestamp(spark, sf_dir):
-    return table(spark, sf_dir, "events").select(
-        "event_id", F.round(dates.julian_timestamp(F.col("ts")), 6).alias("julian")
-    )
+    return table(spark, sf_dir, "events").select("event_id", dates.julian_timestamp(F.col("ts")).alias("julian"))
 
 
 @query(
@@ -308,7 +306,7 @@ _STAT_SQL = {
     "max": "CAST(max({0}) AS DOUBLE)",
     "mean": "CAST(sum({0}) AS DOUBLE) / count({0})",
     "std": "round(stddev_samp(CAST({0} AS DOUBLE)), 4)",
-    "var": "round(var_samp(CAST({0} AS DOUBLE)) / 1e6, 4)",
+    "var": "round(var_samp({0}) / 1e12, 4)",
     "sum": "CAST(sum({0}) AS DOUBLE)",
     "count": "count({0})",
     "nunique": "count(DISTINCT {0})",
@@ -339,7 +337,7 @@ def _shown(df, keys):
         if f.name.startswith("agg_std"):
             c = F.round(c, 4)
         if f.name.startswith("agg_var"):
-            c = F.round(c / 1e6, 4)
+            c = F.round(c / 1e12, 4)
         out.append(c.alias(f.name))
     return df.select(*out)
 
@@ -480,7 +478,7 @@ def columnwise_mae(spark, sf_dir):
 
 _METRIC_SQL = {
     "mean_absolute_error": "avg(abs(y1 - p1))",
-    "mean_squared_error": "avg((y1 - p1) * (y1 - p1)) / 1e6",
+    "mean_squared_error": "avg((y1 - p1) * (y1 - p1)) / 1e12",
     "mean_absolute_percentage_error": "avg(abs(y1 - p1) / abs(y1))",
     "mean_squared_log_error": "avg(pow(ln(1 + y1) - ln(1 + p1), 2))",
     "max_error": "max(abs(y1 - p1))",
@@ -497,7 +495,7 @@ _METRIC_SQL = {
 )
 def regression_metrics(spark, sf_dir):
     made = metrics.metric_table(_scored(spark, sf_dir), "y1", "p1", list(_METRIC_SQL))
-    scaled = F.when(F.col("metric") == "mean_squared_error", F.col("score") / 1e6).otherwise(F.col("score"))
+    scaled = F.when(F.col("metric") == "mean_squared_error", F.col("score") / 1e12).otherwise(F.col("score"))
     return made.select("metric", F.round(scaled, 4).alias("score"))
 
 

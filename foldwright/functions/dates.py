@@ -25,8 +25,11 @@ def julian(date: Column) -> Column:
 
 
 def julian_timestamp(moment: Column) -> Column:
-    """Julian date with the time of day."""
-    return F.unix_micros(moment.cast("timestamp")) / F.lit(86_400_000_000.0) + F.lit(UNIX_EPOCH_JULIAN)
+    """Julian date with the time of day, whatever the session time zone."""
+    seconds = F.hour(moment) * 3600 + F.minute(moment) * 60
+    micros = seconds.cast("bigint") * 1_000_000 + (F.date_part(F.lit("SECOND"), moment) * 1_000_000).cast("bigint")
+    whole = F.unix_date(moment.cast("date")).cast("bigint") * 86_400_000_000 + micros
+    return whole / F.lit(86_400_000_000.0) + F.lit(UNIX_EPOCH_JULIAN)
 
 
 def packed_unpadded(date: Column) -> Column:

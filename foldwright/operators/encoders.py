@@ -15,7 +15,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..workspace import materialise
-from .lookup import TABLE_BYTES, TOTAL_BYTES, TableSize, attach, broadcastable, measure_by, store_by
+from .lookup import (
+    CHAIN,
+    TABLE_BYTES,
+    TOTAL_BYTES,
+    TableSize,
+    attach,
+    broadcastable,
+    counted,
+    measure_by,
+    store_by,
+)
 from .running import ROWS_PER_TASK, running_total
 
 UNKNOWN = -1
@@ -59,7 +69,9 @@ class FittedEncoder:
         self, df: DataFrame, value: str, out: str, table_bytes: int, total_bytes: int
     ) -> DataFrame:
         small = broadcastable(self.sizes, table_bytes, total_bytes)
-        for column in self.encoded:
+        for i, column in enumerate(self.encoded):
+            if i % CHAIN == 0:
+                df = counted(df)
             rows = self.table.filter(F.col("feature") == column)
             df = attach(
                 df,
@@ -73,6 +85,11 @@ class FittedEncoder:
             )
         return df
 
+    def _with(self, df: DataFrame, columns: Sequence[str], made: dict[str, Column]) -> DataFrame:
+        return df.select(
+            *[F.col(f"`{c}`") for c in columns], *[made[c].alias(c + self.suffix) for c in self.order]
+        )
+
     def save(self, path: str) -> None:
         """Store the fitted table and its description under ``path``."""
         spark = self.table.sparkSession
@@ -100,12 +117,11 @@ class FittedCount(FittedEncoder):
         self, df: DataFrame, table_bytes: int = TABLE_BYTES, total_bytes: int = TOTAL_BYTES
     ) -> DataFrame:
         """Add ``<col>_CE``: the category's train frequency, -1 if unseen."""
+        columns = df.columns
         df = self._attach_all(df, "n", "__n_{}", table_bytes, total_bytes)
         made = {c: F.coalesce(F.col(f"`__n_{c}`"), F.lit(UNKNOWN)).cast("bigint") for c in self.encoded}
         made |= {c: F.col(c) for c in self.passthrough}
-        return df.withColumns({c + self.suffix: made[c] for c in self.order}).drop(
-            *[f"__n_{c}" for c in self.encoded]
-        )
+        return self._with(df, columns, made)
 
 
 class CountEncoder:
@@ -128,15 +144,14 @@ class FittedOrdinal(FittedEncoder):
         self, df: DataFrame, table_bytes: int = TABLE_BYTES, total_bytes: int = TOTAL_BYTES
     ) -> DataFrame:
         """Add ``<col>_OE``: code by first appearance, -1 unknown, -2 missing that train never had."""
+        columns = df.columns
         df = self._attach_all(df, "code", "__o_{}", table_bytes, total_bytes)
         made: dict[str, Column] = {}
         for c in self.encoded:
             unseen = F.when(F.col(c).isNull(), F.lit(MISSING_UNSEEN)).otherwise(F.lit(UNKNOWN))
             made[c] = F.coalesce(F.col(f"`__o_{c}`"), unseen).cast("bigint")
         made |= {c: F.col(c) for c in self.passthrough}
-        return df.withColumns({c + self.suffix: made[c] for c in self.order}).drop(
-            *[f"__o_{c}" for c in self.encoded]
-        )
+        return self._with(df, columns, made)
 
 
 class OrdinalEncoder:
@@ -203,6 +218,7 @@ class FittedOneHot(FittedOrdinal):
         """Add one sparse 0/1 vector per column, ``<col>_OHE``, for columns with many categories."""
         from pyspark.ml.feature import OneHotEncoder as IndexVectors
 
+        columns = df.columns
         df = self._attach_all(df, "code", "__o_{}", table_bytes, total_bytes)
         for c in self.encoded:
             last = self.sizes[c].rows
@@ -213,8 +229,9 @@ class FittedOneHot(FittedOrdinal):
             stage = IndexVectors(
                 inputCols=[index], outputCols=[c + self.suffix], handleInvalid="keep", dropLast=True
             )
-            df = stage.fit(codes).transform(df).drop(index, f"__o_{c}")
-        return df.withColumns({c + self.suffix: F.col(c) for c in self.passthrough})
+            df = stage.fit(codes).transform(df)
+        made = {c: F.col(f"`{c}{self.suffix}`") for c in self.encoded} | {c: F.col(c) for c in self.passthrough}
+        return self._with(df, columns, made)
 
 
 class OneHotEncoder:

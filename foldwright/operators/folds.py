@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..workspace import materialise
-from .lookup import TABLE_BYTES, TableSize, attach, store
+from .lookup import TABLE_BYTES, TableSize, attach, store, visible
 from .running import ROWS_PER_TASK, running_total
 
 MISSING_GROUP = "<missing>"
@@ -38,7 +38,7 @@ class GroupFolds:
 
     def transform(self, df: DataFrame, out: str = "fold", table_bytes: int = TABLE_BYTES) -> DataFrame:
         """Give every row the fold of its group. A missing group is a group."""
-        return attach(
+        placed = attach(
             df,
             self.table,
             [(F.col(self.group_col).cast("string"), "group")],
@@ -48,6 +48,7 @@ class GroupFolds:
             weight="n",
             total_weight=self.size.weight,
         )
+        return placed.select(*visible(placed))
 
 
 def group_kfold(

@@ -10,7 +10,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .lookup import TABLE_BYTES, TableSize, attach, store
+from .lookup import TABLE_BYTES, TableSize, attach, store, visible
 from .quantiles import quantiles
 
 METHODS: dict[str, Callable[[Column], Column]] = {
@@ -47,7 +47,7 @@ class FittedStats:
 
     def transform(self, df: DataFrame, table_bytes: int = TABLE_BYTES) -> DataFrame:
         """Add the statistics of each row's group; a null key or unseen group gives nulls."""
-        return attach(
+        joined = attach(
             df,
             self.table,
             [(F.col(c), c) for c in self.cat_cols],
@@ -57,6 +57,7 @@ class FittedStats:
             weight="__n",
             total_weight=self.size.weight,
         )
+        return joined.select(*visible(joined))
 
 
 class GroupStats:

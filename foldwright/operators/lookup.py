@@ -24,6 +24,9 @@ TABLE_BYTES = 64 << 20      # one broadcast table
 TOTAL_BYTES = 256 << 20     # all broadcast tables of one transform
 HOT_FRACTION = 1e-3         # a key with this share of the fitted rows is hot
 SALTS = 1024
+CHAIN = 6                   # joins between two row counts
+
+INTERNAL = "__k"
 
 _names = count()
 
@@ -108,6 +111,20 @@ def broadcastable(
     return chosen
 
 
+def counted(df: DataFrame) -> DataFrame:
+    """Count the rows here, as a metric of the running job.
+
+    Every join must hand on the rows it got, so the counts of one job agree.
+    The count also ends a stage of generated code: a long chain of joins would
+    otherwise become one method too large for the JVM to compile.
+    """
+    return df.observe(f"rows_{next(_names)}", F.count(F.lit(1)).alias("rows"))
+
+
+def visible(df: DataFrame) -> list[str]:
+    return [c for c in df.columns if not c.startswith(INTERNAL)]
+
+
 def _matches(left: Sequence[Column], right: Sequence[str], null_safe: bool) -> Column:
     pairs = zip(left, right)
     if null_safe:
@@ -125,27 +142,25 @@ def attach(
     small: bool,
     weight: str | None = None,
     total_weight: int = 0,
-    found: str | None = None,
 ) -> DataFrame:
     """Left-join ``table`` to ``df``; every row of ``df`` comes out once.
 
     ``keys`` pairs an expression over ``df`` with a key column of ``table``
-    (unique over those keys). ``values`` maps output name to table column.
-    ``found`` names an optional flag that is null where no key matched.
+    (unique over those keys). ``values`` maps output name to table column. The
+    key columns of a broadcast table stay, under internal names: callers end
+    with a projection anyway, and one for many joins is analysed once.
     """
-    tag = f"__k{next(_names)}"
+    tag = f"{INTERNAL}{next(_names)}"
     key_names = [f"{tag}_{i}" for i in range(len(keys))]
-    flag = [F.lit(True).alias(found)] if found else []
-    outputs = [*values, *([found] if found else [])]
+    outputs = list(values)
     right = table.select(
         *[F.col(c).alias(n) for n, (_, c) in zip(key_names, keys)],
         *[F.col(c).alias(out) for out, c in values.items()],
-        *flag,
         *([F.col(weight).alias(f"{tag}_w")] if weight and not small else []),
     )
     left = [expr for expr, _ in keys]
     if small:
-        return df.join(F.broadcast(right), _matches(left, key_names, null_safe), "left").drop(*key_names)
+        return df.join(F.broadcast(right), _matches(left, key_names, null_safe), "left")
 
     limit = max(1.0, total_weight * HOT_FRACTION)
     is_hot = F.col(f"{tag}_w") >= limit if weight else F.lit(False)

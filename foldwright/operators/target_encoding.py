@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ..functions.text import interaction_key
 from .encoders import unpivot_categories
 from .folds import hash_fold
-from .lookup import TABLE_BYTES, TOTAL_BYTES, TableSize, attach, broadcastable, store_by
+from .lookup import CHAIN, TABLE_BYTES, TOTAL_BYTES, TableSize, attach, broadcastable, counted, store_by
 
 TEST_FOLD = -1
 PRIOR = "__prior__"     # a feature with one category: its encoding is the prior
@@ -31,7 +31,11 @@ def interaction_name(cols: Sequence[str]) -> str:
 
 @dataclass(frozen=True)
 class FittedTarget:
-    """Encodings per (feature, category, fold); fold -1 holds those for rows outside train."""
+    """Encodings per (feature, category, fold); fold -1 holds those for rows outside train.
+
+    ``te`` is an array with one mean per target, so each feature costs the
+    joined rows one column. ``priors`` has the mean of the same train rows per fold.
+    """
 
     features: tuple[str, ...]
     interactions: tuple[tuple[str, ...], ...]
@@ -40,6 +44,7 @@ class FittedTarget:
     unseen: str | float
     table: DataFrame
     sizes: dict[str, TableSize] = field(hash=False)
+    priors: dict[int, tuple[float | None, ...]] = field(hash=False)
 
     def transform(
         self, df: DataFrame, table_bytes: int = TABLE_BYTES, total_bytes: int = TOTAL_BYTES
@@ -54,35 +59,46 @@ class FittedTarget:
         fold = F.coalesce(F.col(self.fold_col), F.lit(TEST_FOLD)) if has_fold else F.lit(TEST_FOLD)
         small = broadcastable(self.sizes, table_bytes, total_bytes)
         keys = {interaction_name(i): interaction_key(*i) for i in self.interactions}
-        for feature in self.features:
+        known = self._filled(self.table)
+        for i, feature in enumerate(self.features):
+            if i % CHAIN == 0:
+                df = counted(df)
             df = attach(
                 df,
-                self.table.filter(F.col("feature") == feature),
+                known.filter(F.col("feature") == feature),
                 [(keys.get(feature, F.col(f"`{feature}`").cast("string")), "category"), (fold, "fold")],
-                {f"{feature}_TE_{t}": f"te_{t}" for t in self.targets},
+                {f"__te_{feature}": "te"},
                 null_safe=True,
                 small=feature in small,
                 weight="n",
                 total_weight=self.sizes[feature].weight,
             )
+        df, fill = counted(df), self._fill(fold)
+        made = []
+        for feature in self.features:
+            value = F.col(f"`__te_{feature}`")
+            value = value if fill is None else F.coalesce(value, fill)
+            made += [F.get(value, F.lit(i)).alias(f"{feature}_TE_{t}") for i, t in enumerate(self.targets)]
+        return df.select(*columns, *made)
+
+    def _fill(self, fold: Column) -> Column | None:
+        """Array for a category without encoding; the priors are a literal of one entry per fold."""
         if self.unseen == "null":
-            return df
-        if self.unseen == "prior":
-            # one row per fold
-            priors = self.table.filter(F.col("feature") == PRIOR)
-            df = attach(
-                df,
-                priors,
-                [(fold, "fold")],
-                {f"__prior_{t}": f"te_{t}" for t in self.targets},
-                null_safe=False,
-                small=True,
-            )
-            fill = {t: F.col(f"`__prior_{t}`") for t in self.targets}
-        else:
-            fill = {t: F.lit(float(self.unseen)) for t in self.targets}
-        names = [(f"{f}_TE_{t}", t) for f in self.features for t in self.targets]
-        return df.select(*columns, *[F.coalesce(F.col(f"`{n}`"), fill[t]).alias(n) for n, t in names])
+            return None
+        if self.unseen != "prior":
+            return F.array(*[F.lit(float(self.unseen)) for _ in self.targets])
+        pairs = [
+            part
+            for f, values in sorted(self.priors.items())
+            for part in (F.lit(f), F.array(*[F.lit(v).cast("double") for v in values]))
+        ]
+        return F.create_map(*pairs)[fold] if pairs else None
+
+    def _filled(self, table: DataFrame) -> DataFrame:
+        fill = self._fill(F.col("fold"))
+        if fill is None:
+            return table
+        return table.withColumn("te", F.zip_with("te", fill, lambda mean, other: F.coalesce(mean, other)))
 
 
 class TargetEncoder:
@@ -117,7 +133,12 @@ class TargetEncoder:
         features = (*self.cols, *[interaction_name(i) for i in self.interactions])
         encodings = self._encodings(self._sums(train, features))
         table, sizes = store_by(encodings, "target-encoder", "feature", features, "n")
-        return FittedTarget(features, self.interactions, self.targets, self.fold_col, self.unseen, table, sizes)
+        # one row per fold
+        rows = table.filter(F.col("feature") == PRIOR).select("fold", "te").collect()
+        priors = {r["fold"]: tuple(r["te"]) for r in rows}
+        return FittedTarget(
+            features, self.interactions, self.targets, self.fold_col, self.unseen, table, sizes, priors
+        )
 
     def _parts(self) -> range:
         return range(self.inner_folds or 1)
@@ -175,13 +196,13 @@ class TargetEncoder:
 
         def means(prefix: str, fold: Column) -> Column:
             return F.struct(
-                fold.cast("int").alias("fold"), *[self._mean(prefix, t).alias(f"te_{t}") for t in self.targets]
+                fold.cast("int").alias("fold"), F.array(*[self._mean(prefix, t) for t in self.targets]).alias("te")
             )
 
         own, whole = means("o", F.col("fold")), means("a", F.lit(TEST_FOLD))
         entry = F.explode(F.when(F.col("place") == 1, F.array(own, whole)).otherwise(F.array(own)))
         return spread.select("feature", "category", "n", entry.alias("entry")).select(
-            "feature", "category", "n", "entry.*"
+            "feature", "category", "n", "entry.fold", "entry.te"
         )
 
     def _mean(self, prefix: str, target: str) -> Column:
