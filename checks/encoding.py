@@ -181,13 +181,13 @@ _INNER_SQL = f"CAST(('0x' || substr(md5('42|' || CAST(row_id AS VARCHAR)), 1, 8)
                FROM t JOIN (SELECT DISTINCT fold AS f FROM t) r ON t.fold <> r.f
                JOIN (SELECT DISTINCT i AS j FROM t) q ON t.i <> q.j GROUP BY r.f, q.j, cat_null),
     e AS (SELECT f, cat_null, avg(m) AS m FROM rounds GROUP BY f, cat_null)
-    SELECT row_id, round(m, 6) AS "cat_null_TE_y1" FROM (SELECT * FROM folded WHERE split = 'train') r
+    SELECT row_id, round(m, 4) AS "cat_null_TE_y1" FROM (SELECT * FROM folded WHERE split = 'train') r
     LEFT JOIN e ON r.fold = e.f AND r.cat_null IS NOT DISTINCT FROM e.cat_null""",
 )
 def target_encode_inner_folds(spark, sf_dir):
     df = train(folded(orders_base(spark, sf_dir)))
     made = TargetEncoder(["cat_null"], ["y1"], inner_folds=_INNER).fit(df).transform(df)
-    return made.select("row_id", F.round("cat_null_TE_y1", 6).alias("cat_null_TE_y1"))
+    return made.select("row_id", F.round("cat_null_TE_y1", 4).alias("cat_null_TE_y1"))
 
 
 _PAIR = "concat_ws('_', COALESCE(seg, 'nan'), COALESCE(cat_null, 'nan'))"

@@ -55,6 +55,11 @@ def unpivot_categories(df: DataFrame, cols: Sequence[str], keep: Sequence[str] =
     return long.select(*[F.col(i).alias(k) for k, i in zip(keep, ids)], "feature", "category")
 
 
+def _complete(sizes: dict[str, TableSize], features: Sequence[str]) -> dict[str, TableSize]:
+    """A feature fitted on no rows has no category."""
+    return {f: sizes.get(f, TableSize(0, 0)) for f in features}
+
+
 @dataclass(frozen=True)
 class FittedEncoder:
     """Per-category values of several columns in one table (``feature``, ``category``, ``n``, values)."""
@@ -106,7 +111,7 @@ class FittedEncoder:
             tuple(meta["passthrough"]),
             tuple(meta["order"]),
             table,
-            {c: TableSize(0, 0) for c in meta["encoded"]} | measure_by(table, "feature", "n"),
+            _complete(measure_by(table, "feature", "n"), meta["encoded"]),
         )
 
 
@@ -133,8 +138,8 @@ class CountEncoder:
     def fit(self, train: DataFrame) -> FittedCount:
         encoded, passthrough = split_numeric(train, self.cols, self.numeric)
         counts = unpivot_categories(train, encoded).groupBy("feature", "category").agg(F.count(F.lit(1)).alias("n"))
-        table, sizes = store_by(counts, "count-encoder", "feature", encoded, "n")
-        return FittedCount(tuple(encoded), tuple(passthrough), self.cols, table, sizes)
+        table, sizes = store_by(counts, "count-encoder", "feature", "n")
+        return FittedCount(tuple(encoded), tuple(passthrough), self.cols, table, _complete(sizes, encoded))
 
 
 class FittedOrdinal(FittedEncoder):
@@ -173,11 +178,11 @@ class OrdinalEncoder:
             .groupBy("feature", "category")
             .agg(F.count(F.lit(1)).alias("n"), F.min(self.row_id).alias("first_row"))
         )
-        seen, sizes = store_by(first, "first-seen", "feature", encoded, "n")
+        seen, sizes = store_by(first, "first-seen", "feature", "n")
         rows = sum(s.rows for s in sizes.values())
         ranked = running_total(seen, ["feature"], ["first_row"], None, "code", rows, self.rows_per_task)
         table = materialise(ranked, "ordinal-encoder", ("feature",))
-        return FittedOrdinal(tuple(encoded), tuple(passthrough), self.cols, table, sizes)
+        return FittedOrdinal(tuple(encoded), tuple(passthrough), self.cols, table, _complete(sizes, encoded))
 
 
 @dataclass(frozen=True)

@@ -13,7 +13,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from itertools import count
-from operator import and_
+from operator import add, and_, or_
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -42,60 +42,45 @@ class TableSize:
 
 def row_bytes(table: DataFrame) -> Column:
     """Upper estimate of a row's bytes in a broadcast hash table."""
-    texts = [f.name for f in table.schema if f.dataType.typeName() == "string"]
-    fixed = 32 + 16 * len(table.columns)
-    return reduce(
-        lambda a, b: a + b,
-        [F.coalesce(F.octet_length(F.col(t)), F.lit(0)) for t in texts],
-        F.lit(fixed),
-    )
-
-
-def _size_exprs(table: DataFrame, weight: str | None, when: Column, tag: str) -> list[Column]:
-    total = F.sum(F.when(when, F.col(weight))) if weight else F.lit(0)
+    parts = [F.lit(32 + 16 * len(table.columns)).cast("long")]
+    for f in table.schema:
+        if f.dataType.typeName() == "string":
+            parts.append(F.coalesce(F.octet_length(f.name), F.lit(0)))
+        elif f.dataType.typeName() == "array":
+            parts.append(F.coalesce(F.size(f.name) * 8 + 16, F.lit(0)))
+    return reduce(add, parts)
+
+
+def size_columns(table: DataFrame, weight: str | None = None) -> list[Column]:
+    """Aggregates that :func:`size_of` reads."""
+    total = F.sum(weight).cast("long") if weight else F.lit(0)
     return [
-        F.count_if(when).alias(f"rows_{tag}"),
-        F.coalesce(F.sum(F.when(when, row_bytes(table))), F.lit(0)).cast("long").alias(f"bytes_{tag}"),
-        F.coalesce(total.cast("long"), F.lit(0)).alias(f"weight_{tag}"),
+        F.count(F.lit(1)).alias("rows"),
+        F.coalesce(F.sum(row_bytes(table)), F.lit(0)).cast("long").alias("bytes"),
+        F.coalesce(total, F.lit(0)).alias("weight"),
     ]
 
 
+def size_of(row) -> TableSize:
+    return TableSize(row["rows"], row["bytes"], row["weight"])
+
+
 def store(df: DataFrame, name: str, weight: str | None = None) -> tuple[DataFrame, TableSize]:
     """Write ``df`` to the shared folder; its size is counted by the writing job."""
     seen = Observation(name)
-    table = materialise(df.observe(seen, *_size_exprs(df, weight, F.lit(True), "all")), name)
-    counts = seen.get
-    return table, TableSize(counts["rows_all"], counts["bytes_all"], counts["weight_all"])
+    table = materialise(df.observe(seen, *size_columns(df, weight)), name)
+    return table, size_of(seen.get)
 
 
-def store_by(
-    df: DataFrame, name: str, key: str, values: Sequence[str], weight: str
-) -> tuple[DataFrame, dict[str, TableSize]]:
-    """Like :func:`store`, partitioned by ``key`` (feature names), with the size per value."""
-    if not values:
-        return materialise(df, name, (key,)), {}
-    seen = Observation(name)
-    exprs = [e for i, v in enumerate(values) for e in _size_exprs(df, weight, F.col(key) == v, str(i))]
-    first, *rest = exprs
-    table = materialise(df.observe(seen, first, *rest), name, (key,))
-    counts = seen.get
-    return table, {
-        v: TableSize(counts[f"rows_{i}"], counts[f"bytes_{i}"], counts[f"weight_{i}"]) for i, v in enumerate(values)
-    }
+def store_by(df: DataFrame, name: str, key: str, weight: str) -> tuple[DataFrame, dict[str, TableSize]]:
+    """Write ``df`` partitioned by ``key`` (feature names), with the size per value."""
+    table = materialise(df, name, (key,))
+    return table, measure_by(table, key, weight)
 
 
 def measure_by(table: DataFrame, key: str, weight: str) -> dict[str, TableSize]:
-    """Size per value of ``key`` (feature names) of a table stored earlier."""
-    rows = (
-        table.groupBy(key)
-        .agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.sum(row_bytes(table)).alias("bytes"),
-            F.sum(weight).cast("long").alias("weight"),
-        )
-        .collect()
-    )
-    return {r[key]: TableSize(r["rows"], r["bytes"], r["weight"]) for r in rows}
+    """Size per value of ``key`` of a stored table: one row per feature."""
+    return {r[key]: size_of(r) for r in table.groupBy(key).agg(*size_columns(table, weight)).collect()}
 
 
 def broadcastable(
@@ -142,6 +127,7 @@ def attach(
     small: bool,
     weight: str | None = None,
     total_weight: int = 0,
+    few_null_rows: bool = True,
 ) -> DataFrame:
     """Left-join ``table`` to ``df``; every row of ``df`` comes out once.
 
@@ -149,6 +135,8 @@ def attach(
     (unique over those keys). ``values`` maps output name to table column. The
     key columns of a broadcast table stay, under internal names: callers end
     with a projection anyway, and one for many joins is analysed once.
+    ``few_null_rows`` says that only a few rows of ``table`` (one per fold at
+    most) have a null first key; then they are broadcast like hot keys.
     """
     tag = f"{INTERNAL}{next(_names)}"
     key_names = [f"{tag}_{i}" for i in range(len(keys))]
@@ -163,15 +151,21 @@ def attach(
         return df.join(F.broadcast(right), _matches(left, key_names, null_safe), "left")
 
     limit = max(1.0, total_weight * HOT_FRACTION)
-    is_hot = F.col(f"{tag}_w") >= limit if weight else F.lit(False)
+    is_hot = F.coalesce(F.col(f"{tag}_w") >= limit, F.lit(False)) if weight else F.lit(False)
+    if not null_safe:
+        dead = reduce(or_, [k.isNull() for k in left])
+    elif few_null_rows:
+        is_hot, dead = is_hot | F.col(key_names[0]).isNull(), left[0].isNull()
+    else:
+        dead = F.lit(False)
     packed, cold_packed, salt = f"{tag}_hot", f"{tag}_cold", f"{tag}_salt"
-    # at most 1 / HOT_FRACTION categories can be hot
+    # at most 1 / HOT_FRACTION rows can be hot, and the few with a null key
     hot = right.filter(is_hot).select(*key_names, F.struct(*outputs).alias(packed))
-    cold = right.filter(~F.coalesce(is_hot, F.lit(False))).select(
+    cold = right.filter(~is_hot).select(
         *key_names, F.struct(*outputs).alias(cold_packed), F.lit(0).alias(f"{salt}_r")
     )
     spread = 1 + F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(SALTS)).cast("int")
-    dead = F.lit(False) if null_safe else reduce(lambda a, b: a | b, [k.isNull() for k in left])
+    # hot rows are answered already, dead ones match nothing: neither needs its key's partition
     step = df.join(F.broadcast(hot), _matches(left, key_names, null_safe), "left").drop(*key_names)
     step = step.withColumn(salt, F.when(F.col(packed).isNull() & ~dead, F.lit(0)).otherwise(spread))
     step = step.join(

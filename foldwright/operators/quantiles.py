@@ -51,6 +51,7 @@ def quantiles(
             small=total_size.bytes <= table_bytes,
             weight="distinct",
             total_weight=total_size.weight,
+            few_null_rows=False,
         )
 
     def at(rank: Column) -> Column:

@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 from ..functions.text import interaction_key
 from .encoders import unpivot_categories
 from .folds import hash_fold
-from .lookup import CHAIN, TABLE_BYTES, TOTAL_BYTES, TableSize, attach, broadcastable, counted, store_by
+from .lookup import CHAIN, TABLE_BYTES, TOTAL_BYTES, TableSize, attach, broadcastable, counted, size_columns, size_of
+from ..workspace import materialise
 
 TEST_FOLD = -1
 PRIOR = "__prior__"     # a feature with one category: its encoding is the prior
@@ -132,10 +133,15 @@ class TargetEncoder:
     def fit(self, train: DataFrame) -> FittedTarget:
         features = (*self.cols, *[interaction_name(i) for i in self.interactions])
         encodings = self._encodings(self._sums(train, features))
-        table, sizes = store_by(encodings, "target-encoder", "feature", features, "n")
-        # one row per fold
-        rows = table.filter(F.col("feature") == PRIOR).select("fold", "te").collect()
-        priors = {r["fold"]: tuple(r["te"]) for r in rows}
+        table = materialise(encodings, "target-encoder", ("feature",))
+        # one row per feature; the prior has one entry per fold
+        prior = F.when(F.col("feature") == PRIOR, F.struct("fold", "te"))
+        told = {
+            r["feature"]: r
+            for r in table.groupBy("feature").agg(*size_columns(table, "n"), F.collect_list(prior).alias("prior")).collect()
+        }
+        sizes = {f: size_of(told[f]) if f in told else TableSize(0, 0) for f in features}
+        priors = {r["fold"]: tuple(r["te"]) for r in (told[PRIOR]["prior"] if PRIOR in told else [])}
         return FittedTarget(
             features, self.interactions, self.targets, self.fold_col, self.unseen, table, sizes, priors
         )

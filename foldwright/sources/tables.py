@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.lookup import TABLE_BYTES, attach, store
+from ..operators.running import running_total
 from ..workspace import materialise
 from .missing import infer_types, normalise_missing
 
@@ -20,6 +22,12 @@ class Dataset:
     submission: DataFrame | None = None
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Use all cores on an input with fewer splits than cores; a larger input stays as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
+
+
 def read_csv(
     spark: SparkSession,
     path: str | Sequence[str],
@@ -55,20 +63,19 @@ def number_rows(raw: DataFrame, row_id: str, schema: T.StructType | None = None)
         "*",
     )
     stored = materialise(places, "ingest")
-    blocks = stored.groupBy("__file", "__block").agg(F.count(F.lit(1)).alias("__rows"), F.min("__at").alias("__first"))
-    before = Window.orderBy("__file", "__block").rowsBetween(Window.unboundedPreceding, -1)
-    # one row per input block: the number of file splits bounds it
-    offsets = blocks.select(
-        F.col("__file").alias("__f"),
-        F.col("__block").alias("__b"),
-        "__first",
-        F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__offset"),
-    )
-    numbered = stored.join(
-        F.broadcast(offsets), (F.col("__file") == F.col("__f")) & (F.col("__block") == F.col("__b"))
-    ).withColumn(row_id, F.col("__at") - F.col("__first") + F.col("__offset"))
-    data = normalise_missing(numbered.select(row_id, *[F.col(f"`{c}`") for c in raw.columns]), schema)
-    return data
+    counts = stored.groupBy("__file", "__block").agg(F.count(F.lit(1)).alias("__rows"), F.min("__at").alias("__first"))
+    blocks, size = store(counts, "blocks")
+    ended = running_total(blocks, [], ["__file", "__block"], "__rows", "__end", size.rows)
+    offsets = ended.withColumn("__offset", F.col("__end") - F.col("__rows"))
+    numbered = attach(
+        stored,
+        offsets,
+        [(F.col("__file"), "__file"), (F.col("__block"), "__block")],
+        {"__from": "__first", "__offset": "__offset"},
+        null_safe=False,
+        small=size.bytes <= TABLE_BYTES,
+    ).withColumn(row_id, F.col("__at") - F.col("__from") + F.col("__offset"))
+    return normalise_missing(numbered.select(row_id, *[F.col(f"`{c}`") for c in raw.columns]), schema)
 
 
 def load_dataset(

@@ -69,8 +69,12 @@ def skewed(spark):
 def test_shuffle_join_equals_broadcast(skewed, no_auto_broadcast):
     """Beyond the broadcast limit the hot keys are salted; the rows must not change."""
     train = skewed.filter("row_id % 3 <> 0")
-    for encoder in (CountEncoder(["cat"]), OrdinalEncoder(["cat"]), OrdinalEncoder(["cat"], rows_per_task=100)):
-        fitted = encoder.fit(train)
+    for encoder, source in (
+        (CountEncoder(["cat"]), train),
+        (OrdinalEncoder(["cat"], rows_per_task=100), train),
+        (OrdinalEncoder(["cat"]), train.filter("cat IS NOT NULL AND cat <> 'hot'")),
+    ):
+        fitted = encoder.fit(source)
         small = fitted.transform(skewed)
         large = fitted.transform(skewed, table_bytes=0)
         assert "SortMergeJoin" in large._jdf.queryExecution().toString()
