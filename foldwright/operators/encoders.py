@@ -6,7 +6,6 @@ of per-category aggregates: the columns are unpivoted to (feature, category).
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from typing import ClassVar
@@ -26,6 +25,7 @@ from .lookup import (
     measure_by,
     store_by,
 )
+from .persist import load_table, save_table
 from .running import ROWS_PER_TASK, running_total
 
 UNKNOWN = -1
@@ -97,22 +97,14 @@ class FittedEncoder:
 
     def save(self, path: str) -> None:
         """Store the fitted table and its description under ``path``."""
-        spark = self.table.sparkSession
-        meta = json.dumps({"encoded": self.encoded, "passthrough": self.passthrough, "order": self.order})
-        self.table.write.mode("overwrite").parquet(f"{path}/table")
-        spark.range(1).select(F.lit(meta)).coalesce(1).write.mode("overwrite").text(f"{path}/meta")
+        about = {"encoded": self.encoded, "passthrough": self.passthrough, "order": self.order}
+        save_table(self.table, about, path, ("feature",))
 
     @classmethod
     def load(cls, spark: SparkSession, path: str):
-        meta = json.loads(spark.read.text(f"{path}/meta").first()[0])
-        table = spark.read.parquet(f"{path}/table")
-        return cls(
-            tuple(meta["encoded"]),
-            tuple(meta["passthrough"]),
-            tuple(meta["order"]),
-            table,
-            _complete(measure_by(table, "feature", "n"), meta["encoded"]),
-        )
+        table, about = load_table(spark, path)
+        names = {k: tuple(v) for k, v in about.items()}
+        return cls(**names, table=table, sizes=_complete(measure_by(table, "feature", "n"), names["encoded"]))
 
 
 class FittedCount(FittedEncoder):

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..workspace import materialise
 from .lookup import TABLE_BYTES, TableSize, attach, store, visible
+from .persist import load_table, save_table
 from .running import ROWS_PER_TASK, running_total
 
 MISSING_GROUP = "<missing>"
@@ -50,6 +51,15 @@ class GroupFolds:
         )
         return placed.select(*visible(placed))
 
+    def save(self, path: str) -> None:
+        about = {"group_col": self.group_col, "n_splits": self.n_splits, "size": vars(self.size)}
+        save_table(self.table, about, path)
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> GroupFolds:
+        table, about = load_table(spark, path)
+        return cls(about["group_col"], about["n_splits"], table, TableSize(**about["size"]))
+
 
 def group_kfold(
     df: DataFrame,

@@ -7,10 +7,11 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .lookup import TABLE_BYTES, TableSize, attach, store, visible
+from .persist import load_table, save_table
 from .quantiles import quantiles
 
 METHODS: dict[str, Callable[[Column], Column]] = {
@@ -59,6 +60,14 @@ class FittedStats:
         )
         return joined.select(*visible(joined))
 
+    def save(self, path: str) -> None:
+        save_table(self.table, {"cat_cols": self.cat_cols, "names": self.names, "size": vars(self.size)}, path)
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> FittedStats:
+        table, about = load_table(spark, path)
+        return cls(tuple(about["cat_cols"]), tuple(about["names"]), table, TableSize(**about["size"]))
+
 
 class GroupStats:
     """``methods`` of each target column per value of ``cat_cols``; rows with a null key form no group."""

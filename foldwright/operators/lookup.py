@@ -27,6 +27,7 @@ SALTS = 1024
 CHAIN = 6                   # joins between two row counts
 
 INTERNAL = "__k"
+ROW_ID = "row_id"
 
 _names = count()
 
@@ -106,6 +107,10 @@ def counted(df: DataFrame) -> DataFrame:
     return df.observe(f"rows_{next(_names)}", F.count(F.lit(1)).alias("rows"))
 
 
+def _bucket(columns: Sequence[Column]) -> Column:
+    return F.pmod(F.xxhash64(*[c.cast("string") for c in columns]), F.lit(SALTS))
+
+
 def visible(df: DataFrame) -> list[str]:
     return [c for c in df.columns if not c.startswith(INTERNAL)]
 
@@ -162,12 +167,14 @@ def attach(
     # at most 1 / HOT_FRACTION rows can be hot, and the few with a null key
     hot = right.filter(is_hot).select(*key_names, F.struct(*outputs).alias(packed))
     cold = right.filter(~is_hot).select(
-        *key_names, F.struct(*outputs).alias(cold_packed), F.lit(0).alias(f"{salt}_r")
+        *key_names, F.struct(*outputs).alias(cold_packed), _bucket([F.col(n) for n in key_names]).alias(f"{salt}_r")
     )
-    spread = 1 + F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(SALTS)).cast("int")
+    # a salt of its key joins a row; salts beyond those match nothing and spread by the row's content
+    identity = [ROW_ID] if ROW_ID in df.columns else visible(df)
+    spread = SALTS + _bucket([F.col(f"`{c}`") for c in identity])
     # hot rows are answered already, dead ones match nothing: neither needs its key's partition
     step = df.join(F.broadcast(hot), _matches(left, key_names, null_safe), "left").drop(*key_names)
-    step = step.withColumn(salt, F.when(F.col(packed).isNull() & ~dead, F.lit(0)).otherwise(spread))
+    step = step.withColumn(salt, F.when(F.col(packed).isNull() & ~dead, _bucket(left)).otherwise(spread))
     step = step.join(
         cold,
         _matches(left, key_names, null_safe) & (F.col(salt) == F.col(f"{salt}_r")),

@@ -13,14 +13,26 @@ from dataclasses import dataclass, field
 from functools import reduce
 from operator import add
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import interaction_key
+from ..workspace import materialise
 from .encoders import unpivot_categories
 from .folds import hash_fold
-from .lookup import CHAIN, TABLE_BYTES, TOTAL_BYTES, TableSize, attach, broadcastable, counted, size_columns, size_of
-from ..workspace import materialise
+from .lookup import (
+    CHAIN,
+    TABLE_BYTES,
+    TOTAL_BYTES,
+    TableSize,
+    attach,
+    broadcastable,
+    counted,
+    measure_by,
+    size_columns,
+    size_of,
+)
+from .persist import load_table, save_table
 
 TEST_FOLD = -1
 PRIOR = "__prior__"     # a feature with one category: its encoding is the prior
@@ -82,6 +94,25 @@ class FittedTarget:
             made += [F.get(value, F.lit(i)).alias(f"{feature}_TE_{t}") for i, t in enumerate(self.targets)]
         return df.select(*columns, *made)
 
+    def save(self, path: str) -> None:
+        about = {k: getattr(self, k) for k in ("features", "interactions", "targets", "fold_col", "unseen")}
+        save_table(self.table, {**about, "priors": list(self.priors.items())}, path, ("feature",))
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> FittedTarget:
+        table, about = load_table(spark, path)
+        sizes = measure_by(table, "feature", "n")
+        return cls(
+            tuple(about["features"]),
+            tuple(tuple(i) for i in about["interactions"]),
+            tuple(about["targets"]),
+            about["fold_col"],
+            about["unseen"],
+            table,
+            {f: sizes.get(f, TableSize(0, 0)) for f in about["features"]},
+            {fold: tuple(values) for fold, values in about["priors"]},
+        )
+
     def _fill(self, fold: Column) -> Column | None:
         """Array for a category without encoding; the priors are a literal of one entry per fold."""
         if self.unseen == "null":

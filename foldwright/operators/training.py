@@ -82,15 +82,15 @@ def make_learner(name: str, params: Mapping[str, object], target: str, seed: int
     return estimator
 
 
-def best_round(errors: Sequence[float], patience: int) -> int:
-    """1-based round with the lowest error before ``patience`` rounds pass without a new low."""
+def best_round(errors: Sequence[float], patience: int) -> tuple[int, bool]:
+    """Round (from 1) with the lowest error before ``patience`` rounds pass without a new low, and whether they did."""
     best = 0
     for i, error in enumerate(errors):
         if error < errors[best]:
             best = i
         elif i - best >= patience:
-            break
-    return best + 1
+            return best + 1, True
+    return best + 1, False
 
 
 def first_trees(model: Model, rounds: int) -> Model:
@@ -127,9 +127,24 @@ def fit_one(
         marked = table.filter(F.col("fold") != TEST_FOLD).withColumn("valid", F.col("fold") == key.fold)
         estimator.set(estimator.getParam("validationIndicatorCol"), "valid")
         return estimator.fit(marked)
-    model = estimator.fit(train)
-    errors = model.evaluateEachIteration(table.filter(F.col("fold") == key.fold), estimator.getLossType())
-    return first_trees(model, best_round(errors, patience))
+    return _fit_patiently(estimator, train, table.filter(F.col("fold") == key.fold), patience)
+
+
+def _fit_patiently(estimator: Estimator, train: DataFrame, valid: DataFrame, patience: int) -> Model:
+    """Stop as if rounds were added one by one.
+
+    The first trees do not depend on how many follow, so the fit is repeated
+    with twice the rounds until the patience runs out: at most about
+    twice the work of the rounds needed, however high ``maxIter`` is.
+    """
+    most = estimator.getMaxIter()
+    rounds = min(most, max(2 * patience, 8))
+    while True:
+        model = estimator.copy({estimator.maxIter: rounds}).fit(train)
+        best, stopped = best_round(model.evaluateEachIteration(valid, estimator.getLossType()), patience)
+        if stopped or rounds == most:
+            return first_trees(model, best)
+        rounds = min(most, rounds * 2)
 
 
 def _scored(rows: DataFrame, models: Sequence[Model]) -> tuple[DataFrame, list[str]]:

@@ -95,9 +95,9 @@ def test_result_does_not_depend_on_partitioning(raw):
 
 def test_best_round_and_learners():
     errors = [5, 4, 4.5, 4.2, 3, 9, 9, 9, 1]
-    assert best_round(errors, 2) == 2
-    assert best_round(errors, 3) == 5
-    assert best_round(errors, 100) == 9
+    assert best_round(errors, 2) == (2, True)
+    assert best_round(errors, 3) == (5, True)
+    assert best_round(errors, 100) == (9, False)
     with pytest.raises(ValueError, match="unknown learner"):
         make_learner("boost", {}, "y", 0)
 
@@ -142,6 +142,14 @@ def test_patience_cuts_to_the_best_round(signal):
     assert full.oof.count() == cut.oof.count()
 
 
+def test_doubling_stops_where_one_long_fit_would(signal):
+    params = {**PARAMS, "maxIter": 20, "maxDepth": 2, "stepSize": 0.9}
+    long_fit = make_learner("gbt", params, "y", 0).fit(signal.filter("fold NOT IN (0, -1)"))
+    best, _ = best_round(long_fit.evaluateEachIteration(signal.filter("fold = 0"), "absolute"), 1)
+    result = cross_validate(signal, ["a", "b"], ["y"], (0,), 3, params=params, stop="patience", patience=1)
+    assert result.rounds.filter("fold = 0").first().rounds == best
+
+
 @pytest.mark.parametrize("learner, params", [("linear", {}), ("random_forest", {"numTrees": 3})])
 def test_other_learners(signal, learner, params):
     result = cross_validate(signal, ["a", "b"], ["y"], (0,), 3, learner, params)

@@ -76,3 +76,19 @@ def test_bad_options():
         TargetEncoder(["a"], ["y"], unseen="zero")
     with pytest.raises(ValueError, match="inner_folds"):
         TargetEncoder(["a"], ["y"], inner_folds=1)
+
+
+def test_saved_models_apply_as_before(spark, te_toy, tmp_path):
+    from foldwright.operators.folds import GroupFolds, group_kfold
+    from foldwright.operators.group_stats import FittedStats, GroupStats
+    from foldwright.operators.target_encoding import FittedTarget
+
+    for fitted, kind in (
+        (TargetEncoder(["cat"], ["y"], [("cat", "row_id")]).fit(te_toy), FittedTarget),
+        (GroupStats(["cat"], ["y"], ["mean", "std"]).fit(te_toy), FittedStats),
+        (group_kfold(te_toy.drop("fold"), "cat", 2), GroupFolds),
+    ):
+        path = f"{tmp_path}/{kind.__name__}"
+        fitted.save(path)
+        source = te_toy.drop("fold") if kind is GroupFolds else te_toy
+        assert rows(kind.load(spark, path).transform(source)) == rows(fitted.transform(source))
