@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from foldwright.operators.importance import top_features
-from foldwright.operators.metrics import columnwise_scores
 from foldwright.operators.training import assemble, cross_validate
 from foldwright.plans.config import Learner, Split, TargetEncoding
-from foldwright.plans.experiment import run, seed_mean
+from foldwright.plans.experiment import oof_scores, run
 from foldwright.plans.features import build_features, with_folds
 from foldwright.plans.preprocess import run_steps
 from foldwright.plans.presets import AGG_METHODS, EXPERIMENTS, TARGETS
@@ -182,8 +181,7 @@ def multi_target_cv(spark, sf_dir):
     """Score per target and their mean, from out-of-fold predictions."""
     targets = ("y1", "y3")
     result = _validated(spark, sf_dir, targets, (0,))
-    pairs = {t: (f"y_{t}", f"p_{t}") for t in targets}
-    return columnwise_scores(seed_mean(result.oof, targets), pairs, "mean_absolute_error")
+    return oof_scores(result, targets, (0,), "mean_absolute_error")
 
 
 @query("single_target_run")

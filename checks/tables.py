@@ -476,6 +476,19 @@ def columnwise_mae(spark, sf_dir):
     return made.withColumn("score", F.round("score", 4))
 
 
+@query(
+    "scores_by_target",
+    f"""WITH {_SCORED_CTE}, l AS (SELECT 'y1' AS target, y1 AS t, p1 AS p FROM s UNION ALL SELECT 'y2', y2, p2 FROM s),
+    m AS (SELECT target, quantile_cont(abs(t - p), 0.5) AS score FROM l GROUP BY target)
+    SELECT target, round(score, 4) AS score FROM m UNION ALL SELECT 'mean', round(avg(score), 4) FROM m""",
+)
+def scores_by_target(spark, sf_dir):
+    rows = _scored(spark, sf_dir)
+    sides = [F.struct(F.lit(f"y{i}").alias("target"), F.col(f"y{i}").alias("truth"), F.col(f"p{i}").alias("prediction")) for i in (1, 2)]
+    long = rows.select(F.explode(F.array(*sides)).alias("e")).select("e.*")
+    return metrics.long_scores(long, "median_absolute_error", 2).withColumn("score", F.round("score", 4))
+
+
 _METRIC_SQL = {
     "mean_absolute_error": "avg(abs(y1 - p1))",
     "mean_squared_error": "avg((y1 - p1) * (y1 - p1)) / 1e12",

@@ -54,12 +54,28 @@ def columnwise_scores(df: DataFrame, pairs: dict[str, tuple[str, str]], metric:
     else:
         wide = df.agg(*[METRICS[metric](double(y), double(p)).alias(t) for t, (y, p) in pairs.items()])
         per_target = wide.unpivot([], list(pairs), "target", "score")
-    if len(pairs) == 1:
+    return _with_mean(per_target, len(pairs))
+
+
+def _with_mean(per_target: DataFrame, targets: int) -> DataFrame:
+    """Add the mean of several targets' scores; the input has one row per target."""
+    if targets == 1:
         return per_target
-    # one row per target
     return per_target.unionByName(per_target.agg(F.avg("score").alias("score")).withColumn("target", F.lit("mean")))
 
 
+def long_scores(predictions: DataFrame, metric: str, targets: int) -> DataFrame:
+    """Like :func:`columnwise_scores` for rows ``target, truth, prediction``: no shuffle of rows."""
+    check_metric(metric)
+    truth, guess = F.col("truth"), F.col("prediction")
+    if metric == "median_absolute_error":
+        errors = predictions.select("target", F.abs(truth - guess).alias("error"))
+        per_target = quantiles(errors, ["error"], [0.5], by=["target"]).select("target", F.col("q_0").alias("score"))
+    else:
+        per_target = predictions.groupBy("target").agg(METRICS[metric](truth, guess).alias("score"))
+    return _with_mean(per_target, targets)
+
+
 def metric_table(df: DataFrame, truth: str, prediction: str, metrics: Sequence[str]) -> DataFrame:
     """``metric, score`` for one target."""
     for m in metrics:

@@ -11,12 +11,14 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
+from operator import add
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import regression
 from pyspark.ml.base import Estimator, Model
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..workspace import fresh_path, materialise, shared_dir
@@ -43,7 +45,8 @@ class FitKey:
 class CVResult:
     """Long tables.
 
-    ``oof``: row_id, target, seed, fold, truth, prediction (one per train row, target and seed).
+    ``oof``: row_id, target, seed, fold, truth, prediction, seed_mean (one per train row, target and seed;
+    ``seed_mean`` is the row's prediction averaged over the seeds).
     ``test``: row_id, target, prediction, averaged over all models of the target.
     ``importance``: target, seed, fold, model_no, feature, importance.
     ``rounds``: target, seed, fold, rounds (trees kept).
@@ -93,9 +96,8 @@ def best_round(errors: Sequence[float], patience: int) -> tuple[int, bool]:
     return best + 1, False
 
 
-def first_trees(model: Model, rounds: int) -> Model:
+def first_trees(spark: SparkSession, model: Model, rounds: int) -> Model:
     """The boosted model cut to its first ``rounds`` trees."""
-    spark = SparkSession.getActiveSession()
     java_trees = model._java_obj.trees()
     if rounds >= len(java_trees):
         return model
@@ -143,7 +145,7 @@ def _fit_patiently(estimator: Estimator, train: DataFrame, valid: DataFrame, pat
         model = estimator.copy({estimator.maxIter: rounds}).fit(train)
         best, stopped = best_round(model.evaluateEachIteration(valid, estimator.getLossType()), patience)
         if stopped or rounds == most:
-            return first_trees(model, best)
+            return first_trees(valid.sparkSession, model, best)
         rounds = min(most, rounds * 2)
 
 
@@ -159,14 +161,20 @@ def _write_oof(rows: DataFrame, path: str, target: str, fold: int, models: Mappi
     entries = F.array(
         *[F.struct(F.lit(seed).alias("seed"), F.col(n).alias("prediction")) for seed, n in zip(models, names)]
     )
-    long = scored.select("row_id", F.col(f"y_{target}").alias("truth"), F.explode(entries).alias("e"))
-    long.select("row_id", "e.seed", "truth", "e.prediction").write.parquet(f"{path}/target={target}/fold={fold}")
+    long = scored.select(
+        "row_id", F.col(f"y_{target}").alias("truth"), _mean(names).alias("seed_mean"), F.explode(entries).alias("e")
+    )
+    kept = long.select("row_id", "e.seed", "truth", "e.prediction", "seed_mean")
+    kept.write.parquet(f"{path}/target={target}/fold={fold}")
+
+
+def _mean(names: Sequence[str]) -> Column:
+    return reduce(add, [F.col(n) for n in names]) / F.lit(float(len(names)))
 
 
 def _write_test(rows: DataFrame, path: str, target: str, models: Sequence[Model]) -> None:
     scored, names = _scored(rows.filter(F.col("fold") == TEST_FOLD), models)
-    mean = F.aggregate(F.array(*names), F.lit(0.0), lambda a, b: a + b) / F.lit(float(len(names)))
-    scored.select("row_id", mean.alias("prediction")).write.parquet(f"{path}/target={target}")
+    scored.select("row_id", _mean(names).alias("prediction")).write.parquet(f"{path}/target={target}")
 
 
 def cross_validate(
@@ -215,7 +223,7 @@ def cross_validate(
             importance += [(*place, number, f, float(v)) for f, v in zip(features, _importances(model, len(features)))]
             rounds.append((*place, getattr(model, "getNumTrees", 1)))
     oof = spark.read.schema(
-        "row_id long, seed int, truth double, prediction double, target string, fold int"
+        "row_id long, seed int, truth double, prediction double, seed_mean double, target string, fold int"
     ).parquet(oof_path)
     test = spark.read.schema("row_id long, prediction double, target string").parquet(test_path)
     return CVResult(

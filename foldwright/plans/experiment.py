@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.importance import importance_boxes, top_features
-from ..operators.metrics import check_metric, columnwise_scores
+from ..operators.metrics import check_metric, long_scores
 from ..operators.training import CVResult, assemble, cross_validate
 from ..sources.sinks import write_submission
 from .config import Experiment
@@ -28,18 +28,13 @@ class Outcome:
         return importance_boxes(self.result.importance.filter(F.col("target") == target), k)
 
 
-def seed_mean(oof: DataFrame, targets: Sequence[str]) -> DataFrame:
-    """One row per train row with truth and seed-averaged prediction of each target."""
-    return oof.groupBy("row_id").agg(
-        *[
-            part
-            for t in targets
-            for part in (
-                F.max(F.when(F.col("target") == t, F.col("truth"))).alias(f"y_{t}"),
-                F.avg(F.when(F.col("target") == t, F.col("prediction"))).alias(f"p_{t}"),
-            )
-        ]
+def oof_scores(result: CVResult, targets: Sequence[str], seeds: Sequence[int], metric: str) -> DataFrame:
+    """Scores of the seed-averaged out-of-fold predictions."""
+    # the average stands in every seed's row: read one seed's
+    averaged = result.oof.filter(F.col("seed") == seeds[0]).select(
+        "target", "truth", F.col("seed_mean").alias("prediction")
     )
+    return long_scores(averaged, metric, len(targets))
 
 
 def train_and_score(spec: Experiment, table: FeatureTable) -> Outcome:
@@ -58,8 +53,7 @@ def train_and_score(spec: Experiment, table: FeatureTable) -> Outcome:
         learner.patience,
         learner.parallelism,
     )
-    pairs = {t: (f"y_{t}", f"p_{t}") for t in spec.targets}
-    return Outcome(columnwise_scores(seed_mean(result.oof, spec.targets), pairs, spec.metric), result)
+    return Outcome(oof_scores(result, spec.targets, spec.seeds, spec.metric), result)
 
 
 def run(spec: Experiment, rows: DataFrame, submission_path: str | None = None) -> Outcome:

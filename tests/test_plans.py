@@ -122,6 +122,8 @@ def test_each_row_is_predicted_once_and_well(signal):
     assert oof.count() == 480 * 2
     assert oof.groupBy("row_id", "seed").count().filter("count > 1").count() == 0
     assert result.test.count() == 120
+    means = oof.groupBy("row_id").agg(F.avg("prediction").alias("m"), F.max("seed_mean").alias("s"))
+    assert means.filter(F.abs(F.col("m") - F.col("s")) > 1e-9).count() == 0
     error, constant = oof.agg(
         F.avg(F.abs(F.col("truth") - F.col("prediction"))),
         F.avg(F.abs(F.col("truth") - F.lit(oof.agg(F.median("truth")).first()[0]))),
