@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
+from foldwright.workspace import CHECKPOINT_SETTING, shared_dir_setting
+
 SETTINGS = {
     "spark.ui.enabled": "false",
     "spark.sql.session.timeZone": "UTC",
@@ -26,4 +32,31 @@ def local_session(cpus: int | str = "*", app: str = "foldwright", **extra: str)
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    set_up(spark)
     return spark
+
+
+def set_up(spark: SparkSession) -> None:
+    """Make a session that the caller did not set up ready for the queries.
+
+    Executors get this package if they cannot import it by themselves, and a
+    local session without ``spark.checkpoint.dir`` gets a folder of this machine.
+    Elsewhere the setting is required, and the library says so when it is missing.
+    """
+    context = spark.sparkContext
+    if context.master.startswith("local[") or context.master == "local":
+        if not shared_dir_setting(spark):
+            spark.conf.set(CHECKPOINT_SETTING, f"file://{tempfile.mkdtemp(prefix='foldwright-')}")
+    if not getattr(context, "_foldwright_shipped", False):
+        context._foldwright_shipped = True
+        context.addPyFile(_archive())
+
+
+def _archive() -> str:
+    """This package as a zip file, which Spark's driver hands to the executors."""
+    package = Path(__file__).resolve().parent
+    path = f"{tempfile.mkdtemp(prefix='foldwright-')}/foldwright.zip"
+    with zipfile.ZipFile(path, "w") as archive:
+        for file in sorted(package.rglob("*.py")):
+            archive.write(file, file.relative_to(package.parent))
+    return path

@@ -7,7 +7,6 @@ executor costs a re-read and not a re-fit.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,25 +14,17 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``.
-
-    Only a local session may fall back to a folder of this machine; executors
-    elsewhere could not read it.
-    """
+def shared_dir_setting(spark: SparkSession) -> str | None:
     context = spark.sparkContext
-    folder = (
-        spark.conf.get(CHECKPOINT_SETTING, None)
-        or context.getConf().get(CHECKPOINT_SETTING)
-        or context.getCheckpointDir()
-    )
-    if folder:
-        return folder.rstrip("/")
-    if not context.master.startswith("local"):
+    return spark.conf.get(CHECKPOINT_SETTING, None) or context.getConf().get(CHECKPOINT_SETTING) or context.getCheckpointDir()
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder named by ``spark.checkpoint.dir``, which every executor must be able to reach."""
+    folder = shared_dir_setting(spark)
+    if not folder:
         raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="foldwright-")
-    context.setCheckpointDir(folder)
-    return context.getCheckpointDir().rstrip("/")
+    return folder.rstrip("/")
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
