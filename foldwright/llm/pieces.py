@@ -1,7 +1,8 @@
 """How the public tokenizer files cut a text, and the ids of a piece.
 
 A merge never crosses a piece, so the ids of a text are those of its pieces one
-after the other, and a piece met again costs one look-up.
+after the other. A piece never begins or ends within a run of other characters
+than white space, so a word met again, with all its pieces, costs one look-up.
 """
 
 from __future__ import annotations
@@ -9,9 +10,9 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
+from array import array
 from functools import lru_cache
 
-import numpy as np
 import regex
 from tokenizers import Tokenizer
 
@@ -23,32 +24,80 @@ WORD_LEVEL = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\
 #: texts that hold one (or a capital sigma, whose lower case depends on its place) go to the library whole.
 UNUSUAL = re.compile(r"[^\x00-\u03a2\u03a4-\u0557\u2000-\u206f\u3040-\u30ff\u4e00-\u9fa5\uac00-\ud7a3]")
 
-#: Pieces that a worker remembers, and the longest one worth remembering.
-REMEMBERED, LONGEST = 700_000, 48
+#: White space that does not stand alone, or is neither a space nor a line break: there the cuts depend on more than a word.
+LOOSE = re.compile(r"\s\s|[^\S \n]")
+#: Characters that only Python takes for white space.
+SEPARATORS = re.compile(r"[\x1c-\x1f]")
+
+#: Words that a worker remembers, and the longest one worth remembering.
+REMEMBERED, LONGEST = 900_000, 48
 
 
 def usual(text: str) -> bool:
     return text.isascii() or not UNUSUAL.search(text)
 
 
+def byte_letters() -> list[str]:
+    """The letter that stands for each byte in byte-level files: itself if it prints, else the next free one."""
+    prints = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    letters, free = {b: chr(b) for b in prints}, 256
+    for b in range(256):
+        if b not in letters:
+            letters[b] = chr(free)
+            free += 1
+    return [letters[b] for b in range(256)]
+
+
 class Memory(dict):
-    """piece -> value, for pieces of any number: it starts anew when it is full."""
+    """word -> value, for words of any number: it starts anew when it is full."""
 
     def __init__(self, value):
         super().__init__()
         self.value = value
 
-    def __missing__(self, piece):
-        found = self.value(piece)
-        if len(piece) <= LONGEST:
+    def __missing__(self, word):
+        found = self.value(word)
+        if len(word) <= LONGEST:
             if len(self) >= REMEMBERED:
                 self.clear()
-            self[piece] = found
+            self[word] = found
         return found
 
 
+class ByteWords:
+    """Values of the words of a text for a byte-level file: ``piece`` gives that of a piece, ``total`` adds them up.
+
+    A space belongs to the word after it, and a line break alone is a piece.
+    """
+
+    def __init__(self, tokenizer: Tokenizer, piece, total):
+        self.cut, self.total = tokenizer.pre_tokenizer, total
+        self.piece = Memory(piece).__getitem__
+        self.first = Memory(self.plain)
+        self.later = Memory(lambda word: self.plain(" " + word))
+        self.line_break = total([piece("\n")])
+
+    def plain(self, text: str):
+        return self.total(map(self.piece, BYTE_LEVEL.findall(text)))
+
+    def __call__(self, text: str):
+        if not usual(text):
+            return self.total([self.piece(text[a:b]) for _, (a, b) in self.cut.pre_tokenize_str(text)])
+        if LOOSE.search(text):
+            return self.plain(text)
+        values = []
+        for line in text.split("\n"):
+            first, *rest = line.split(" ")
+            values += self.line_break, self.first[first], *map(self.later.__getitem__, rest)
+        return self.total(values[1:])
+
+
 class Encoder:
-    """The ids of a text as unsigned 32-bit little-endian bytes, as the library gives them without added ends."""
+    """The ids of a text as unsigned 32-bit little-endian bytes, as the library gives them without added ends.
+
+    Texts with special strings, and files cut in another way than the two known
+    ones, go to the library whole; else its model is asked for new pieces only.
+    """
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
@@ -56,30 +105,31 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
+        self.model, self.letters = self.library.model, dict(enumerate(byte_letters()))
         self.special = [t["content"] for t in stated["added_tokens"]]
-        # only the two forms below are cut here; any other file is left to the library
-        kind = (stated["normalizer"] and "words") or "bytes"
-        form = json.dumps(stated["pre_tokenizer"])
-        known = {"bytes": '"use_regex": true' in form and '"add_prefix_space": false' in form, "words": WORD_LEVEL.pattern in (_split_pattern(stated) or "")}
-        self.kind = kind if known[kind] else "other"
-        self.memory = Memory(self._ids)
-
-    def _ids(self, text: str) -> bytes:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        cut, normal = stated["pre_tokenizer"] or {}, stated["normalizer"]
+        steps = [normal and s["type"] for s in (normal or {}).get("normalizers", [])]
+        patterns = [s["pattern"].get("Regex") for s in cut.get("pretokenizers", []) if s["type"] == "Split"]
+        self.words = None
+        if not normal and cut.get("type") == "ByteLevel" and cut["use_regex"] and not cut["add_prefix_space"]:
+            self.words = ByteWords(self.library, self._piece, b"".join)
+        known = Memory(self._piece)
+        self.lower = Memory(lambda word: b"".join(map(known.__getitem__, WORD_LEVEL.findall(word))))
+        self.lowers = steps == ["NFC", "Replace", "Lowercase"] and patterns == [WORD_LEVEL.pattern]
+
+    def _piece(self, piece: str) -> bytes:
+        letters = piece.encode().decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
 
     def __call__(self, text: str) -> bytes:
-        if self.kind == "other" or not usual(text) or any(s in text for s in self.special):
-            return self._ids(text)
-        if self.kind == "bytes":
-            return b"".join(map(self.memory.__getitem__, BYTE_LEVEL.findall(text)))
-        if not text.isascii():
-            text = unicodedata.normalize("NFC", text)
-        return b"".join(map(self.memory.__getitem__, WORD_LEVEL.findall(text.lower())))
-
-
-def _split_pattern(stated: dict) -> str | None:
-    steps = (stated["pre_tokenizer"] or {}).get("pretokenizers", [])
-    return next((s["pattern"].get("Regex") for s in steps if s["type"] == "Split"), None)
+        if not any(s in text for s in self.special):
+            if self.words:
+                return self.words(text)
+            if self.lowers and usual(text) and not SEPARATORS.search(text):
+                if not text.isascii():
+                    text = unicodedata.normalize("NFC", text)
+                return b"".join(map(self.lower.__getitem__, text.lower().split()))
+        return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
 
 
 @lru_cache(4)

@@ -6,10 +6,18 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from . import toxicity
+from .decontaminate import find_contaminated
+from .main_text import extract_text
 from .packing import pack
+from .simhash import near_duplicates
+from .substring import dedup_substrings
 from .token_counts import count_tokens
 from .token_files import token_files
+from .topk import top_k
+from .url_filter import Rule, filter_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -37,11 +45,113 @@ def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
 
 
+@query("op2_main_text")
+def main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
+TOP_K_SQL = """
+WITH whole AS (
+    SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+    FROM whole q JOIN whole c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
+ranked AS (
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+        vec_id, score FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5"""
+
+
+@query("op3_top_k_search", TOP_K_SQL)
+def top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), every=50, k=5, scale=256)
+
+
+URL_RULES = [
+    Rule("allow", "org/"), Rule("block", "example.org/es/"), Rule("block", "example.org/en/1"),
+    Rule("allow", "com/fr/"), Rule("block", "com/de/"),
+]
+URL_SQL = """
+WITH parts AS (
+    SELECT page_id,
+        translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)([^?#]*)', 1),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        regexp_extract(coalesce(url, ''), '://([^/?#]*)([^?#]*)', 2) AS path
+    FROM pages),
+ruled AS (
+    SELECT page_id, host, path, CASE
+        WHEN ends_with('.' || host, '.example.org') AND starts_with(path, '/en/1') THEN 'example.org/en/1'
+        WHEN ends_with('.' || host, '.example.org') AND starts_with(path, '/es/') THEN 'example.org/es/'
+        WHEN ends_with('.' || host, '.com') AND starts_with(path, '/de/') THEN 'com/de/'
+        WHEN ends_with('.' || host, '.com') AND starts_with(path, '/fr/') THEN 'com/fr/'
+        WHEN ends_with('.' || host, '.org') AND starts_with(path, '/') THEN 'org/' END AS rule
+    FROM parts)
+SELECT page_id, host, path, rule,
+    CASE WHEN rule IN ('example.org/en/1', 'example.org/es/', 'com/de/') THEN 'block' ELSE 'allow' END AS verdict
+FROM ruled"""
+
+
+@query("op4_url_filter", URL_SQL)
+def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 @query("op5_token_files")
 def token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE), end_id=1)
 
 
+SUBSTRING_SQL = """
+WITH split AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+placed AS (SELECT doc_id, len(words) AS n, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM split),
+windows AS (
+    SELECT doc_id, i, word, n, i + 12 <= n AS whole,
+        string_agg(word, ' ') OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING) AS span
+    FROM placed),
+judged AS (
+    SELECT doc_id, i, word, whole AND min(CASE WHEN whole THEN doc_id END) OVER (PARTITION BY span, whole) < doc_id AS starts
+    FROM windows),
+covered AS (
+    SELECT doc_id, i, word, max(CAST(starts AS INTEGER)) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 12 PRECEDING AND CURRENT ROW) = 1 AS gone
+    FROM judged),
+kept AS (
+    SELECT doc_id, count(*) AS n_words, count(*) FILTER (WHERE gone) AS n_removed,
+        coalesce(string_agg(word, ' ' ORDER BY i) FILTER (WHERE NOT gone), '') AS text
+    FROM covered GROUP BY doc_id)
+SELECT s.doc_id, CAST(coalesce(k.n_words, 0) AS BIGINT) AS n_words, CAST(coalesce(k.n_removed, 0) AS BIGINT) AS n_removed,
+    sha256(coalesce(k.text, '')) AS kept_sha256
+FROM split s LEFT JOIN kept k ON s.doc_id = k.doc_id"""
+
+
+@query("op6_substring_dedup", SUBSTRING_SQL)
+def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return dedup_substrings(docs, words=13).select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query("op7_decontamination")
+def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op8_toxicity")
+def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, toxicity.training_labels(labels))
+    return toxicity.score(docs, model).select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted")
+    )
+
+
+@query("op9_simhash_dedup")
+def simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(table(spark, sf_dir, "documents"), words=4, radius=4)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 @query("op10_best_fit_packing")
 def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))

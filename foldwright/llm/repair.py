@@ -17,7 +17,7 @@ MAGIC = b"RPAIR001"
 _HEAD = struct.Struct("<8sqqqqq")  # magic, documents, ids, first nonterminal, rules, symbols
 
 #: Pair counters of a round (a power of two); rounds; new rules in a round; uses that a rule needs.
-COUNTER_BITS, ROUNDS, RULES_A_ROUND, LEAST_USES = 20, 5, 3072, 64
+COUNTER_BITS, ROUNDS, RULES_A_ROUND, LEAST_USES = 18, 3, 5000, 64
 COUNTERS = 1 << COUNTER_BITS
 
 

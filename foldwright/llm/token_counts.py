@@ -17,22 +17,11 @@ from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
 from .batches import map_rows, text_rows
-from .pieces import BYTE_LEVEL, Memory, usual
+from .pieces import ByteWords, byte_letters
 
 SCHEMA = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
 
 
-def _byte_letters() -> list[str]:
-    """The letter that stands for each byte in byte-level files: itself if it prints, else the next free one."""
-    prints = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    letters, free = {b: chr(b) for b in prints}, 256
-    for b in range(256):
-        if b not in letters:
-            letters[b] = chr(free)
-            free += 1
-    return [letters[b] for b in range(256)]
-
-
 class Counter:
     """Counts the tokens of a text for a byte-level BPE file of the tokenizers library."""
 
@@ -42,14 +31,13 @@ class Counter:
         if stated["model"]["type"] != "BPE" or stated["normalizer"] or stated["pre_tokenizer"]["type"] != "ByteLevel":
             raise ValueError(f"{path} is not a byte-level BPE file")
         vocabulary = stated["model"]["vocab"]
-        self.first = [vocabulary[letter] for letter in _byte_letters()]
+        self.first = [vocabulary[letter] for letter in byte_letters()]
         self.merges: dict[int, tuple[int, int]] = {}
         for rank, pair in enumerate(stated["model"]["merges"]):
             left, right = pair.split(" ") if isinstance(pair, str) else pair
             self.merges[vocabulary[left] << 32 | vocabulary[right]] = (rank, vocabulary[left + right])
         self.special = [t["content"] for t in stated["added_tokens"]]
-        self.cut = Tokenizer.from_file(path).pre_tokenizer
-        self.memory = Memory(self.piece)
+        self.words = ByteWords(Tokenizer.from_file(path), self.piece, sum)
 
     def piece(self, piece: str) -> int:
         ids = [self.first[b] for b in piece.encode()]
@@ -78,20 +66,13 @@ class Counter:
                 heappush(heap, (m[0], j))
         return left
 
-    def plain(self, text: str) -> int:
-        if usual(text):
-            pieces = BYTE_LEVEL.findall(text)
-        else:
-            pieces = [text[a:b] for _, (a, b) in self.cut.pre_tokenize_str(text)]
-        return sum(map(self.memory.__getitem__, pieces))
-
     def __call__(self, text: str) -> int:
         """Special strings in a text are one token each, as the library has it by default."""
         parts = [text]
         for special in self.special:
             if special in text:
                 parts = [p for part in parts for p in part.split(special)]
-        return len(parts) - 1 + sum(map(self.plain, parts))
+        return len(parts) - 1 + sum(map(self.words, parts))
 
 
 @lru_cache(4)
