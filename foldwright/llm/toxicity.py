@@ -48,9 +48,9 @@ IDENTITY_TERMS = (
 #: Labelled rows that the model is fitted on at most (a sample by a hash of the key), and its inputs at most.
 SAMPLE_ROWS, INPUTS = 20_000, 2048
 #: Hash places of the features; likelihood ratio that an input needs; lengths of the beginnings of words.
-PLACES, LEAST_RATIO, BEGINNINGS = 1 << 20, 24.0, (4, 5)
+PLACES, LEAST_RATIO, BEGINNINGS = 1 << 20, 16.0, (4, 5)
 #: Weights of the squared weights and of the squared score changes in the loss.
-RIDGE, COUNTERFACTUAL = 1e-4, 1.0
+RIDGE, COUNTERFACTUAL = 1e-5, 1.0
 THRESHOLD = 0.7
 
 
