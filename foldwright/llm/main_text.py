@@ -38,6 +38,8 @@ CHROME_WORDS = frozenset(
     "replies reply respond search share sharing sidebar signup social sponsor sponsored subscribe subscription toolbar "
     "topbar widget".split()
 )
+INLINE_TAGS = frozenset(["span", "i", "b", "strong", "em", "small", "label"])
+HEADINGS = frozenset(["h1", "h2", "h3", "h4", "h5", "h6"])
 MAIN_WORDS = frozenset("article main maincontent".split())
 
 #: Lengths below which a block is short and above which it is long; densities of stop words that are high and low; link density of a menu.
@@ -64,9 +66,20 @@ class _Block:
     linked: int
     chrome: bool
     main: int
+    heading: bool
     label: str = field(default="")
 
 
+@dataclass(frozen=True)
+class _Open:
+    """An element that is open: whether it is no part of the article, is left out of its block, and its main part or 0."""
+
+    tag: str
+    chrome: bool
+    muted: bool
+    main: int
+
+
 def _names(attributes: str) -> tuple[set[str], bool]:
     """The words of class, id and role; whether the element is hidden."""
     words, hidden = set(), False
@@ -82,75 +95,74 @@ def blocks(page: str) -> list[_Block]:
     """The runs of text between block-level tags, in page order, with what they stand in."""
     out: list[_Block] = []
     parts: list[str] = []
-    linked = links = breaks = mains = main = 0
-    open_tags: list[tuple[str, bool, int]] = []  # (tag, in chrome, number of the main part or 0)
-    chrome = False
+    linked = links = breaks = mains = 0
+    heading = False
+    open_tags: list[_Open] = []
+    inside = _Open("", False, False, 0)
 
     def close() -> None:
         nonlocal linked
         text = " ".join("".join(parts).split())
         if text:
-            out.append(_Block(text, min(linked, len(text)), chrome, main))
+            out.append(_Block(text, min(linked, len(text)), inside.chrome, inside.main, heading))
         parts.clear()
         linked = 0
 
     def add(raw: str) -> None:
         nonlocal linked, breaks
-        text = html.unescape(raw) if "&" in raw else raw
-        if text:
+        if raw and not inside.muted:
+            text = html.unescape(raw) if "&" in raw else raw
             parts.append(text)
             if not text.isspace():
                 breaks = 0
-                if links:
-                    linked += len(text.strip())
+                linked += len(text.strip()) if links else 0
 
     at = 0
     for token in _TOKEN.finditer(page):
-        if token.start() > at:
-            add(page[at : token.start()])
+        add(page[at : token.start()])
         at = token.end()
-        tag = token["tag"] or token["tag2"]
-        if not tag:
-            continue
-        tag, ends = tag.lower(), bool(token["end"] or token["end2"])
+        tag = (token["tag"] or token["tag2"] or "").lower()
+        ends, attributes = bool(token["end"] or token["end2"]), token["attributes"] or ""
         if tag == "a":
-            links = max(links + (-1 if ends else 1), 0) if ends else 1  # links do not nest
+            links = 0 if ends else 1  # links do not nest
         elif tag == "br":
             breaks += 1
             parts.append(" ")
             if breaks > 1:
                 close()
-        elif tag in BLOCK_TAGS or token["attributes"] and tag in ("span", "i", "b", "strong", "em"):
-            block = tag in BLOCK_TAGS
-            if block:
-                close()
-                breaks = 0
-                if tag not in ("p", "li", "td", "th"):
-                    links = 0
-            if ends:
-                match = next((i for i in range(len(open_tags) - 1, -1, -1) if open_tags[i][0] == tag), None)
-                if match is not None:
-                    del open_tags[match:]
-            elif tag not in ("hr", "p") or "class" in (token["attributes"] or ""):
-                words, hidden = _names(token["attributes"] or "") if token["attributes"] else (set(), False)
-                in_main = tag in ("article", "main") or "main" in words and tag not in _BARE or bool(words & MAIN_WORDS) and block and tag not in _BARE
-                named = bool(words & CHROME_WORDS) and tag not in _BARE and tag not in ("article", "main")
-                own_header = tag == "header" and main
-                if not block and not (hidden or named):
-                    continue
-                if in_main and not main:
-                    mains += 1
-                below = mains if in_main and not main else main
-                open_tags.append((tag, chrome or hidden or named or tag in CHROME_TAGS and not own_header, below))
-            chrome, main = open_tags[-1][1:] if open_tags else (False, 0)
-        elif ends and any(t == tag for t, _, _ in open_tags):
-            pass
-    if at < len(page):
-        add(page[at:])
+        elif tag in BLOCK_TAGS:
+            close()
+            breaks, heading = 0, not ends and tag in HEADINGS
+            if tag not in ("p", "li", "td", "th"):
+                links = 0
+            if not ends:
+                if open_tags and open_tags[-1].tag == "p":  # a paragraph holds no blocks
+                    open_tags.pop()
+                if tag != "hr":
+                    open_tags.append(_opened(tag, attributes, open_tags[-1] if open_tags else _Open("", False, False, 0), mains + 1))
+                    mains = max(mains, open_tags[-1].main)
+        elif tag in INLINE_TAGS and attributes and not ends and _opened(tag, attributes, _Open("", False, False, 0), 0).chrome:
+            open_tags.append(_Open(tag, inside.chrome, True, inside.main))
+        if ends and tag:
+            match = next((i for i in range(len(open_tags) - 1, -1, -1) if open_tags[i].tag == tag), None)
+            if match is not None:
+                del open_tags[match:]
+        inside = open_tags[-1] if open_tags else _Open("", False, False, 0)
+    add(page[at:])
     close()
     return out
 
 
+def _opened(tag: str, attributes: str, parent: _Open, number: int) -> _Open:
+    """What an element makes of the text below it."""
+    words, hidden = _names(attributes) if attributes.strip() else (set(), False)
+    main = tag in ("article", "main") or tag not in _BARE and bool(words & MAIN_WORDS)
+    named = tag not in _BARE and tag not in ("article", "main") and bool(words & CHROME_WORDS)
+    own_header = tag == "header" and parent.main  # that of the article, with its title
+    chrome = parent.chrome or hidden or named or tag in CHROME_TAGS and not own_header
+    return _Open(tag, chrome, parent.muted, parent.main or (number if main else 0))
+
+
 def _judge(block: _Block, has_main: bool) -> str:
     """good, bad, or open: near (to good) and short."""
     if block.chrome or has_main and not block.main:
@@ -186,6 +198,8 @@ def main_blocks(page: str) -> list[str]:
             after = decided[next_decided] if next_decided < len(decided) else None
             if b.main:  # what lies outside this part says nothing about it
                 before, after = (d if d and found[d[0]].main == b.main and not found[d[0]].chrome else None for d in (before, after))
+            if b.heading and after and after[0] - i < 3:  # a heading goes with what it heads
+                before = None
             near = sorted((abs(d[0] - i), not d[1] if b.label == "near" else d[1], d[1]) for d in (before, after) if d)
             good = near[0][2] if near else bool(b.main) or b.label == "near"
         if good:

@@ -26,7 +26,6 @@ from pyspark.sql import types as T
 from foldwright.workspace import materialise
 
 from .batches import arrow_schema, pieces_of, task_number
-from .pieces import Memory
 
 #: Text of a block, in bytes; entries that a bucket should hold; length of the first windows, in words.
 BLOCK_BYTES, BUCKET_ENTRIES, FIRST_WORDS = 4 << 20, 1 << 20, 7
@@ -46,9 +45,6 @@ def words_of(text: str) -> list[bytes]:
     return text.encode().split()
 
 
-_HASHES = Memory(lambda word: xxhash.xxh3_64_intdigest(word))
-
-
 def _join(left: np.ndarray, right: np.ndarray, lane: int) -> np.ndarray:
     mixed = left * _MIX[lane]
     mixed ^= mixed >> np.uint64(29)
@@ -79,7 +75,7 @@ class Block:
         self.ends = np.cumsum(counts)
         self.key = np.repeat(keys, counts)  # of the document of each word
         self.room = np.repeat(self.ends, counts) - np.arange(total)  # words from here to its end
-        hashed = np.fromiter((h for w in self.words for h in map(_HASHES.__getitem__, w)), np.uint64, total)
+        hashed = np.fromiter((h for w in self.words for h in map(xxhash.xxh3_64_intdigest, w)), np.uint64, total)
         self.hashes = [hashed, hashed * _MIX[1] ^ hashed >> np.uint64(31)]
 
     def windows(self, n: int, lane: int = 0) -> np.ndarray:
@@ -104,23 +100,27 @@ class Block:
             groups = self._groups(at, n, bits, last)
             if level not in replies:
                 return level, groups
-            order, group, bucket, _ = groups
+            order, starts, bucket, _ = groups
             told = replies[level]
             flags = [np.unpackbits(np.frombuffer(told[b], np.uint8), count=c).astype(bool) for b, c in zip(*np.unique(bucket, return_counts=True))]
             elsewhere = np.concatenate(flags) if flags else np.empty(0, bool)
-            keys = self.key[at[order]]
-            least = _reduce(np.minimum, keys, group, len(bucket))
+            places, sizes = at[order], np.diff(starts, append=len(order))
+            keys = self.key[places]
             if last:  # an earlier document in another block, or in this one
-                gone = elsewhere[group] | (keys > least[group])
-                return level + 1, at[order][gone]
-            kept = elsewhere | (least != _reduce(np.maximum, keys, group, len(bucket)))
-            at = np.sort(at[order][kept[group]])
+                least = np.minimum.reduceat(keys, starts) if len(starts) else keys
+                return level + 1, places[np.repeat(elsewhere, sizes) | (keys > np.repeat(least, sizes))]
+            several = np.flatnonzero((sizes > 1) & ~elsewhere)  # in this block alone: in two documents?
+            inside = np.repeat(several, sizes[several])
+            own = np.repeat(starts[several], sizes[several]) + np.arange(len(inside)) - np.repeat(np.cumsum(sizes[several]) - sizes[several], sizes[several])
+            differs = keys[own] != keys[starts[inside]]
+            elsewhere[inside[differs]] = True
+            at = np.sort(places[np.repeat(elsewhere, sizes)])
         raise AssertionError("no length")
 
     def _groups(self, at: np.ndarray, n: int, bits: int, last: bool):
-        """Places in the order of their fingerprints, the group of each, and of each group its bucket and entry."""
+        """Places in the order of their fingerprints, where each group begins, and its bucket and entry."""
         if not len(at):
-            return at, at, np.empty(0, np.int64), np.empty((0, 24 if last else SHORT_BYTES), np.uint8)
+            return at, np.empty(0, np.int64), np.empty(0, np.int64), np.empty((0, 24 if last else SHORT_BYTES), np.uint8)
         first = self.windows(n)[at]
         if last:
             second = self.windows(n, 1)[at]
@@ -132,21 +132,16 @@ class Block:
             order = np.argsort(first)
             first = first[order]
             new = np.append(True, first[1:] != first[:-1])
-        group = np.cumsum(new) - 1
-        own = first[new]
+        starts = np.flatnonzero(new)
+        own = first[starts]
         if last:
-            least = _reduce(np.minimum, self.key[at[order]], group, len(own))
-            entries = np.stack([own, second[new], least.view(np.uint64)], 1).astype("<u8").view(np.uint8)
+            least = np.minimum.reduceat(self.key[at[order]], starts)
+            entries = np.stack([own, second[starts], least.view(np.uint64)], 1).astype("<u8").view(np.uint8)
             bucket = (own >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(own), np.int64)
         else:
             entries = own.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :SHORT_BYTES]
             bucket = (own >> np.uint64(8 * SHORT_BYTES)).astype(np.int64)
-        return order, group, bucket, entries
-
-
-def _reduce(function: np.ufunc, values: np.ndarray, group: np.ndarray, groups: int) -> np.ndarray:
-    """``function`` over the values of each group; groups are stretches."""
-    return function.reduceat(values, np.searchsorted(group, np.arange(groups))) if groups else values[:0]
+        return order, starts, bucket, entries
 
 
 def _seen_elsewhere(entries: list[bytes], last: bool) -> list[np.ndarray]:
@@ -200,9 +195,11 @@ def _to_blocks(docs: DataFrame, text: str) -> DataFrame:
     return docs.mapInArrow(run, BLOCKS)
 
 
-def dedup_substrings(docs: DataFrame, words: int = 13, first_words: int = FIRST_WORDS, key: str = "doc_id", text: str = "text") -> DataFrame:
+def dedup_substrings(docs: DataFrame, words: int = 13, first_words: int = FIRST_WORDS, key: str = "doc_id", text: str = "text", rejoin: bool = True) -> DataFrame:
     """``docs`` with the words left in ``text``, joined by one space, and ``n_words`` and ``n_removed``.
 
+    With ``rejoin`` off, a text that loses no word stays as it is.
+
     A word goes if a window of ``words`` consecutive words of its document that
     covers it also starts in a document with a smaller ``key``. All windows are
     judged on the input. Documents with fewer words keep all; a null text has no
@@ -282,15 +279,18 @@ def dedup_substrings(docs: DataFrame, words: int = 13, first_words: int = FIRST_
             change -= np.bincount(gone + words, minlength=len(change)).astype(np.int32)
             covered = np.cumsum(change) > 0
             texts, removed, start = [], [], 0
-            for own, end in zip(block.words, block.ends.tolist()):
+            for whole, own, end in zip(block.batch.column(text).to_pylist(), block.words, block.ends.tolist()):
                 out = covered[start:end]
                 n = int(out.sum())
-                texts.append(b" ".join(own if not n else [w for w, o in zip(own, out.tolist()) if not o]).decode())
+                if n or rejoin:
+                    texts.append(b" ".join([w for w, o in zip(own, out.tolist()) if not o] if n else own).decode())
+                else:
+                    texts.append(whole)
                 removed.append(n)
                 start = end
             columns = [block.batch.column(c) for c in names]
             columns += [pa.array(texts, pa.string()), pa.array([len(w) for w in block.words], pa.int64()), pa.array(removed, pa.int64())]
-            whole = pa.record_batch(columns, names=[*names, text, "n_words", "n_removed"])
-            yield from pieces_of([whole], 4096)
+            made = pa.record_batch(columns, names=[*names, text, "n_words", "n_removed"])
+            yield from pieces_of([made], 4096)
 
     return answered(len(lengths), replies).mapInArrow(cut, result)
