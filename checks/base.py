@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from foldwright.operators.folds import GroupFolds, group_kfold
 from foldwright.plans.presets import TARGETS, TEXT_COLS
-from foldwright.sources.tables import spread
 
 from .registry import table
 
@@ -129,7 +128,7 @@ def raw_columns(engine: str) -> list[str]:
 
 
 def raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = spread(table(spark, sf_dir, "orders"), "o_orderkey")
+    orders = table(spark, sf_dir, "orders")
     customer = table(spark, sf_dir, "customer")
     return orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).selectExpr(*raw_columns("spark"))
 

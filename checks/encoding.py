@@ -93,6 +93,33 @@ def count_encode_numeric_passthrough(spark, sf_dir):
     return fitted.transform(df).select("row_id", "seg_CE", "nat_CE")
 
 
+@query(
+    "count_encode_shuffled",
+    f"""WITH {BASE_CTE}, {', '.join(count_cte(c) for c in _MULTI)}
+    SELECT row_id, {', '.join(f'CAST(COALESCE(n_{c}.n, -1) AS BIGINT) AS "{c}_CE"' for c in _MULTI)}
+    FROM base {' '.join(count_join(c) for c in _MULTI)}""",
+)
+def count_encode_shuffled(spark, sf_dir):
+    """No table is broadcast whole: one narrow join for all columns."""
+    df = base(spark, sf_dir)
+    made = CountEncoder(_MULTI).fit(train(df)).transform(df, table_bytes=0)
+    return made.select("row_id", *[f"{c}_CE" for c in _MULTI])
+
+
+@query(
+    "ordinal_encode_ranged",
+    f"""WITH {ORDERS_CTE}, {ordinal_cte('grp')}, {ordinal_cte('cat_null')}
+    SELECT row_id, CAST(COALESCE(a.code, -1) AS BIGINT) AS "grp_OE",
+    CAST(COALESCE(b.code, CASE WHEN cat_null IS NULL THEN -2 ELSE -1 END) AS BIGINT) AS "cat_null_OE"
+    FROM base LEFT JOIN o_grp a ON grp = a.k LEFT JOIN o_cat_null b ON cat_null IS NOT DISTINCT FROM b.k""",
+)
+def ordinal_encode_ranged(spark, sf_dir):
+    """Codes from running totals over ranges of a few hundred categories, applied by shuffle."""
+    df = orders_base(spark, sf_dir)
+    fitted = OrdinalEncoder(["grp", "cat_null"], rows_per_task=200).fit(train(df))
+    return fitted.transform(df, table_bytes=0).select("row_id", "grp_OE", "cat_null_OE")
+
+
 _PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED")
 
 
@@ -110,6 +137,19 @@ def onehot_encode(spark, sf_dir):
     return made.select("row_id", *[c for c in made.columns if c.endswith("_OHE")])
 
 
+@query(
+    "onehot_vectors_wide",
+    f"""WITH {ORDERS_CTE}, {ordinal_cte('grp')} SELECT row_id, CAST(code - 1 AS INTEGER) AS place, CAST(CASE WHEN code IS NOT NULL THEN 1 END AS DOUBLE) AS value
+    FROM base LEFT JOIN o_grp ON grp = k""",
+)
+def onehot_vectors_wide(spark, sf_dir):
+    """A category per customer, as sparse vectors: the place and value of the one entry, null for an unknown customer."""
+    df = orders_base(spark, sf_dir)
+    made = OneHotEncoder(["grp"], form="vectors").fit(train(df)).transform(df)
+    entry = F.from_json(F.to_json(F.struct(F.col("grp_OHE").alias("v"))), "v struct<indices: array<int>, values: array<double>>")["v"]
+    return made.select("row_id", F.get(entry["indices"], 0).alias("place"), F.get(entry["values"], 0).alias("value"))
+
+
 # direct means over the other folds: another way than the one under test
 def te_sql(keys: dict[str, str], targets: list[str], split: str, unseen: str = "prior", cte: str = BASE_CTE) -> str:
     mean = "CAST(sum({0}) AS DOUBLE) / CAST(count({0}) AS DOUBLE)"
@@ -162,6 +202,27 @@ def target_encode_unseen(spark, sf_dir):
     return _target_encoded(spark, sf_dir, "test", unseen="null")
 
 
+@query("target_encode_shuffled", te_sql({c: c for c in _CATS}, ["y1", "y2"], "train"))
+def target_encode_shuffled(spark, sf_dir):
+    """No table is broadcast whole: one narrow join for all columns."""
+    df = train(folded(base(spark, sf_dir)))
+    made = TargetEncoder(_CATS, ["y1", "y2"]).fit(df).transform(df, table_bytes=0)
+    return made.select("row_id", *[c for c in made.columns if "_TE_" in c])
+
+
+@query(
+    "target_encode_new_rows",
+    f"""WITH {BASE_CTE}, {FOLDED_CTE}, fitted AS (SELECT * FROM folded WHERE split = 'train' AND NOT (fold = 0 AND seg = 'BUILDING')),
+    means AS (SELECT r.f, seg, avg(y1) AS m FROM fitted JOIN (SELECT unnest(range({FOLDS})) AS f) r ON fold <> r.f GROUP BY r.f, seg)
+    SELECT row_id, round(m, 4) AS "seg_TE_y1" FROM folded JOIN means ON fold = f AND folded.seg = means.seg WHERE split = 'train'""",
+)
+def target_encode_new_rows(spark, sf_dir):
+    """Rows outside the fit, with a category that the fit has in other folds only."""
+    df = train(folded(base(spark, sf_dir)))
+    fitted = TargetEncoder(["seg"], ["y1"]).fit(df.filter("NOT (fold = 0 AND seg = 'BUILDING')"))
+    return fitted.transform(df).select("row_id", F.round("seg_TE_y1", 4).alias("seg_TE_y1"))
+
+
 @query("target_encode_group_key", te_sql({"grp": "grp"}, ["y1"], "train", cte=ORDERS_CTE))
 def target_encode_group_key(spark, sf_dir):
     """Every group lies in one fold, so each encoding is the prior of its fold."""

@@ -6,13 +6,14 @@ from pyspark.sql import functions as F
 
 from foldwright.operators.importance import top_features
 from foldwright.operators.training import assemble, cross_validate
-from foldwright.plans.config import Learner, Split, TargetEncoding
-from foldwright.plans.experiment import oof_scores, run
-from foldwright.plans.features import build_features, with_folds
+from foldwright.plans.config import Learner
+from foldwright.plans.experiment import oof_scores, run, run_stored
+from foldwright.plans.features import build_features, feature_table
 from foldwright.plans.preprocess import run_steps
 from foldwright.plans.presets import AGG_METHODS, EXPERIMENTS, TARGETS
+from foldwright.workspace import fresh_path
 
-from .base import FOLDS, HARVEST_SQL, RAW_CTE, base, folded, folds_cte, raw_rows, train
+from .base import BASE_CTE, FOLDED_CTE, FOLDS, HARVEST_SQL, RAW_CTE, base, folded, folds_cte, raw_rows
 from .registry import query
 
 # --- cleaning -----------------------------------------------------------------------
@@ -82,8 +83,7 @@ def _feature_sql(spec) -> str:
 
 
 def _features(spark, sf_dir, spec):
-    rows = with_folds(spec, run_steps(raw_rows(spark, sf_dir), spec.preprocess))
-    table = build_features(spec, rows)
+    table = feature_table(spec, raw_rows(spark, sf_dir))
     return table.rows.select("row_id", "split", "fold", *table.features)
 
 
@@ -133,67 +133,128 @@ def group_stats_company(spark, sf_dir):
     return _preset(spark, sf_dir, "get_agg_company_features", "company")
 
 
-# --- model jobs: no SQL --------------------------------------------------------------------
+# --- model jobs ------------------------------------------------------------------------------
+# Fits whose result is known: one boosting round on stumps over a 0/1 feature predicts its group means over the
+# other folds, and a linear fit on one column is the regression line. All else is the real cross-validation.
 
-_PARAMS = {"maxIter": 4, "maxDepth": 3, "stepSize": 0.3, "lossType": "absolute", "subsamplingRate": 0.8}
-_INPUTS = ("nat", "month", "seg_n", "status_n")
+_STUMP = {"maxIter": 1, "maxDepth": 1, "lossType": "squared"}
+_SEEDS = (0, 1)
+_CV_CTE = f"""WITH {BASE_CTE}, {FOLDED_CTE}, rows AS (SELECT row_id, split, fold, y1, y2, CAST(nat AS DOUBLE) AS nat,
+    CASE WHEN nat < 12 THEN 1 ELSE 0 END AS low FROM folded),
+    rounds AS (SELECT unnest(range({FOLDS})) AS r), seeds AS (SELECT CAST(unnest(range({len(_SEEDS)})) AS INTEGER) AS seed),
+    means AS (SELECT r, low, avg(y1) AS y1, avg(y2) AS y2 FROM rows JOIN rounds ON fold <> r WHERE split = 'train' GROUP BY r, low)"""
 
 
-def _assembled(spark, sf_dir, targets):
+def _assembled(spark, sf_dir, targets, features):
     df = folded(base(spark, sf_dir)).withColumns(
         {
-            "month": F.month("dt"),
-            "seg_n": F.length("seg"),
-            "status_n": F.ascii(F.col("cat_null")),
-            "y3": F.col("nat") * 100.0 + F.month("dt") * 7.0 + F.length("seg"),
+            "low": (F.col("nat") < 12).cast("double"),
+            "nat": F.col("nat").cast("double"),
+            "even": F.lit(1.0),
+            "known": (F.col("nat") < 12).cast("double") * 1000,
         }
     )
-    return assemble(df, _INPUTS, targets)
+    return assemble(df, features, targets)
 
 
-def _validated(spark, sf_dir, targets=("y3",), seeds=(0, 1), **options):
-    table = _assembled(spark, sf_dir, targets)
-    return cross_validate(table, _INPUTS, targets, seeds, FOLDS, params=_PARAMS, parallelism=8, **options)
+def _validated(spark, sf_dir, targets=("y1",), features=("low",), **options):
+    table = _assembled(spark, sf_dir, targets, features)
+    return cross_validate(table, features, targets, _SEEDS, FOLDS, **{"params": _STUMP, "parallelism": 8, **options})
 
 
-@query("cv_oof_predictions")
+@query(
+    "cv_oof_predictions",
+    f"""{_CV_CTE} SELECT row_id, 'y1' AS target, seed, CAST(fold AS INTEGER) AS fold, rows.y1 AS truth,
+    round(means.y1, 4) AS prediction, round(means.y1, 4) AS seed_mean
+    FROM rows JOIN means ON fold = r AND rows.low = means.low CROSS JOIN seeds WHERE split = 'train'""",
+)
 def cv_oof_predictions(spark, sf_dir):
-    return _validated(spark, sf_dir).oof
+    oof = _validated(spark, sf_dir).oof
+    return oof.withColumns({c: F.round(c, 4) for c in ("prediction", "seed_mean")})
+
+
+@query(
+    "cv_oof_linear",
+    f"""{_CV_CTE}, lines AS (SELECT r, regr_slope(y1, nat) AS a, regr_intercept(y1, nat) AS b FROM rows JOIN rounds ON fold <> r
+    WHERE split = 'train' GROUP BY r) SELECT row_id, seed, CAST(fold AS INTEGER) AS fold, round(a * nat + b, 2) AS prediction
+    FROM rows JOIN lines ON fold = r CROSS JOIN seeds WHERE split = 'train'""",
+)
+def cv_oof_linear(spark, sf_dir):
+    oof = _validated(spark, sf_dir, features=("nat",), learner="linear", params={}).oof
+    return oof.select("row_id", "seed", "fold", F.round("prediction", 2).alias("prediction"))
 
 
-@query("cv_best_iteration")
+@query(
+    "cv_best_iteration",
+    f"""SELECT 'known' AS target, CAST(s AS INTEGER) AS seed, CAST(f AS INTEGER) AS fold, 1 AS rounds
+    FROM range({len(_SEEDS)}) a(s) CROSS JOIN range({FOLDS}) b(f)""",
+)
 def cv_best_iteration(spark, sf_dir):
-    return _validated(spark, sf_dir, seeds=(0,), stop="patience", patience=2).rounds
+    """A target that the feature decides: no round after the first is better."""
+    params = {**_STUMP, "maxIter": 64}
+    return _validated(spark, sf_dir, ("known",), params=params, stop="patience", patience=2).rounds
 
 
-@query("cv_test_predictions")
+@query(
+    "cv_test_predictions",
+    f"""{_CV_CTE} SELECT row_id, 'y1' AS target, round(avg(means.y1), 4) AS prediction FROM rows JOIN means ON rows.low = means.low
+    WHERE split = 'test' GROUP BY row_id""",
+)
 def cv_test_predictions(spark, sf_dir):
-    return _validated(spark, sf_dir, seeds=(0,)).test
+    test = _validated(spark, sf_dir).test
+    return test.withColumn("prediction", F.round("prediction", 4))
 
 
-@query("cv_importance")
+@query(
+    "cv_importance",
+    f"SELECT 'low' AS feature, CAST({FOLDS * len(_SEEDS)} AS DOUBLE) AS total UNION ALL SELECT 'even', CAST(0 AS DOUBLE)",
+)
 def cv_importance(spark, sf_dir):
-    return top_features(_validated(spark, sf_dir, seeds=(0,)).importance)
+    """One feature says something and one is constant: each of the models gives the first all the weight."""
+    return top_features(_validated(spark, sf_dir, features=("low", "even")).importance)
 
 
-@query("multi_target_cv")
+@query(
+    "multi_target_cv",
+    f"""{_CV_CTE}, scores AS (SELECT avg(abs(rows.y1 - means.y1)) AS y1, avg(abs(rows.y2 - means.y2)) AS y2
+    FROM rows JOIN means ON fold = r AND rows.low = means.low WHERE split = 'train')
+    SELECT 'y1' AS target, round(y1, 4) AS score FROM scores UNION ALL SELECT 'y2', round(y2, 4) FROM scores
+    UNION ALL SELECT 'mean', round((y1 + y2) / 2, 4) FROM scores""",
+)
 def multi_target_cv(spark, sf_dir):
     """Score per target and their mean, from out-of-fold predictions."""
-    targets = ("y1", "y3")
-    result = _validated(spark, sf_dir, targets, (0,))
-    return oof_scores(result, targets, (0,), "mean_absolute_error")
+    result = _validated(spark, sf_dir, ("y1", "y2"))
+    return oof_scores(result, ("y1", "y2"), _SEEDS, "mean_absolute_error").withColumn("score", F.round("score", 4))
+
+
+# the target is mostly decided by is_specialty, so the one stump of each model splits there, among all 24 features
+_SPECIAL = "CASE WHEN is_specialty = 1 THEN 1e9 ELSE 0 END"
+_RUN_SQL = f"""WITH {_FOLDED}, rows AS (SELECT fold, is_specialty, aroma + {_SPECIAL} AS y FROM f WHERE split = 'train'),
+    means AS (SELECT r, is_specialty, avg(y) AS m FROM rows JOIN (SELECT unnest(range({FOLDS})) AS r) q ON fold <> r GROUP BY r, is_specialty)
+    SELECT 'aroma' AS target, round(avg(abs(y - m)), 1) AS score FROM rows JOIN means ON fold = r AND rows.is_specialty = means.is_specialty"""
+
+
+def _single():
+    """The widest experiment with one target: all its columns, folds and seeds; one short round of boosting."""
+    return EXPERIMENTS["exp_007"].change(name="single", targets=("aroma",), learner=Learner("gbt", _STUMP, "patience", 1, 8))
 
 
-@query("single_target_run")
+def _special_rows(spark, sf_dir):
+    special = "category_one_defects = 0 AND category_two_defects <= 5"
+    return raw_rows(spark, sf_dir).withColumn("aroma", F.expr(f"aroma + CASE WHEN {special} THEN 1e9 ELSE 0 END"))
+
+
+@query("single_target_run", _RUN_SQL)
 def single_target_run(spark, sf_dir):
     """A whole experiment on one target: cleaning, folds, features, fits, score."""
-    spec = EXPERIMENTS["exp_007"].change(
-        name="single",
-        targets=("aroma",),
-        seeds=(0,),
-        split=Split("farm_name", 3),
-        target_encoding=TargetEncoding(("countryof_origin", "processing_method")),
-        count_cols=("species", "region", "mill"),
-        learner=Learner("gbt", _PARAMS, None, parallelism=8),
-    )
-    return run(spec, raw_rows(spark, sf_dir)).scores
+    scores = run(_single(), _special_rows(spark, sf_dir)).scores
+    return scores.withColumn("score", F.round("score", 1))
+
+
+@query("train_from_stored_features", _RUN_SQL)
+def train_from_stored_features(spark, sf_dir):
+    """The feature table is stored by one step and trained on by another that knows its path alone."""
+    path = fresh_path(spark, "features-to-train")
+    feature_table(_single(), _special_rows(spark, sf_dir), path)
+    scores = run_stored(spark, _single(), path).scores
+    return scores.withColumn("score", F.round("score", 1))

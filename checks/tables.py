@@ -10,7 +10,7 @@ from foldwright.operators import importance as imp
 from foldwright.operators import metrics, profile, quantiles, reshape
 from foldwright.operators.encoders import CountEncoder
 from foldwright.operators.group_stats import GroupStats
-from foldwright.plans.preprocess import crossed_numbers, defect_features
+from foldwright.plans.preprocess import crossed_numbers, date_features as date_columns, defect_features
 from foldwright.sources import missing, sinks, tables
 from foldwright.workspace import fresh_path
 
@@ -43,6 +43,27 @@ def scan_normalise_missing(spark, sf_dir):
     return tables.read_csv(spark, path, kinds, row_id="row_id")
 
 
+def _quoted(df, path):
+    """CSV as most tools write it: every field in quotes, a quote inside written twice."""
+    df.write.csv(path, header=True, quoteAll=True, escape='"')
+
+
+@query("scan_quoted_text", "SELECT page_id, html FROM pages")
+def scan_quoted_text(spark, sf_dir):
+    """Fields with line breaks, quotes and commas."""
+    path = fresh_path(spark, "csv")
+    _quoted(table(spark, sf_dir, "pages").select("page_id", "html"), path)
+    return tables.read_csv(spark, path, T.StructType.fromDDL("page_id BIGINT, html STRING"), row_id="page_id")
+
+
+@query("scan_quoted_props", "SELECT event_id, user_id, props FROM events")
+def scan_quoted_props(spark, sf_dir):
+    """Types found in quoted numbers, beside a text with quotes in every row."""
+    path = fresh_path(spark, "csv")
+    _quoted(table(spark, sf_dir, "events").select("event_id", "user_id", "props"), path)
+    return tables.read_csv(spark, path, row_id=None)
+
+
 @query(
     "scan_row_numbers",
     """SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS row_id, o_orderkey, o_orderstatus FROM orders""",
@@ -273,6 +294,28 @@ def julian_timestamp(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", dates.julian_timestamp(F.col("ts")).alias("julian"))
 
 
+_MOMENT_TEXT = {
+    0: "date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss\")",
+    1: "date_format(ts, 'yyyy-MM-dd HH:mm:ss')",
+    2: _ORDINAL_DAY.replace("o_orderdate", "ts"),
+    3: "date_format(ts, 'd MMM yyyy')",
+}
+
+
+@query(
+    "date_features_timestamp",
+    """SELECT event_id, CAST(epoch_us(m) AS DOUBLE) / CAST(86400000000 AS DOUBLE) + CAST(2440587.5 AS DOUBLE) AS t_julian,
+    CAST(year(m) AS INTEGER) AS t_year, CAST(month(m) AS INTEGER) AS t_month, CAST(day(m) AS INTEGER) AS t_day,
+    CAST(concat(year(m), month(m), day(m)) AS BIGINT) AS t_raw
+    FROM (SELECT event_id, date_trunc(CASE WHEN event_id % 4 < 2 THEN 'second' ELSE 'day' END, CAST(ts AS TIMESTAMP)) AS m FROM events)""",
+)
+def date_features_timestamp(spark, sf_dir):
+    """Texts with and without a time of day."""
+    text_of = " ".join(f"WHEN {k} THEN {e}" for k, e in _MOMENT_TEXT.items())
+    texts = table(spark, sf_dir, "events").selectExpr("event_id", f"CASE event_id % 4 {text_of} END AS t")
+    return date_columns(texts, "t").drop("t")
+
+
 @query(
     "defect_features",
     """SELECT l_orderkey, l_partkey, a + b AS category_sum_defects, CAST(a AS VARCHAR) || CAST(b AS VARCHAR) AS category_one_and_two_defects_raw,
@@ -359,6 +402,22 @@ def _joined(spark, sf_dir, keys, targets, methods, source=base):
     return _shown(made.select("row_id", *[c for c in made.columns if c.startswith("agg_")]), keys)
 
 
+@query(
+    "group_stats_nan",
+    """SELECT c_mktsegment AS seg, round(max(v), 2) AS top, round(avg(v), 4) AS mean, count(v) AS n, round(median(v), 4) AS middle,
+    round(stddev_samp(v), 4) AS spread FROM (SELECT c_mktsegment, CASE WHEN c_custkey % 3 <> 0 THEN round(c_acctbal * 100) END AS v FROM customer)
+    GROUP BY c_mktsegment""",
+)
+def group_stats_nan(spark, sf_dir):
+    """NaN is missing."""
+    rows = table(spark, sf_dir, "customer").selectExpr(
+        "c_mktsegment AS seg", "CASE WHEN c_custkey % 3 = 0 THEN double('NaN') ELSE round(c_acctbal * 100) END AS v"
+    )
+    made = GroupStats(["seg"], ["v"], ["max", "mean", "count", "median", "std"]).statistics(rows)
+    shown = {"top": ("max", 2), "mean": ("mean", 4), "middle": ("median", 4), "spread": ("std", 4)}
+    return made.select("seg", F.col("agg_count_seg_by_v").alias("n"), *[F.round(f"agg_{m}_seg_by_v", d).alias(n) for n, (m, d) in shown.items()])
+
+
 _OTHER = ("sum", "count", "median", "var", "nunique")
 
 
@@ -512,6 +571,30 @@ def regression_metrics(spark, sf_dir):
     return made.select("metric", F.round(scaled, 4).alias("score"))
 
 
+_CONSTANT = {"off": "CAST(c_nationkey AS DOUBLE)", "exact": "CAST(5 AS DOUBLE)"}
+_CONSTANT_SQL = {"r2_score": "sum((5 - p) * (5 - p))", "explained_variance_score": "var_pop(5 - p)"}
+
+
+@query(
+    "regression_metrics_constant",
+    " UNION ALL ".join(
+        f"SELECT '{k}' AS kind, '{m}' AS metric, CAST(CASE WHEN {left} = 0 THEN 1 ELSE 0 END AS DOUBLE) AS score "
+        f"FROM (SELECT {p} AS p FROM customer)"
+        for k, p in _CONSTANT.items()
+        for m, left in _CONSTANT_SQL.items()
+    ),
+)
+def regression_metrics_constant(spark, sf_dir):
+    """A constant truth is explained fully or not at all."""
+    made = [
+        metrics.metric_table(
+            table(spark, sf_dir, "customer").selectExpr("CAST(5 AS DOUBLE) AS y", f"{p} AS p"), "y", "p", list(_CONSTANT_SQL)
+        ).select(F.lit(k).alias("kind"), "metric", "score")
+        for k, p in _CONSTANT.items()
+    ]
+    return made[0].unionByName(made[1])
+
+
 # importance-like rows from the tables: one "model" per customer nation, one "feature" per part
 _IMPORTANCE_SQL = "SELECT concat('f', l_partkey) AS feature, l_suppkey % 10 AS model_no, CAST(l_quantity AS DECIMAL(12,2)) AS importance FROM lineitem"
 _TOP_SQL = "SELECT feature FROM i GROUP BY feature ORDER BY sum(importance) DESC, feature LIMIT 50"

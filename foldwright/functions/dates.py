@@ -7,16 +7,23 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-FORMATS = ("MMMM d, yyyy", "yyyy-MM-dd", "yyyy/MM/dd", "MMM d, yyyy", "d MMMM yyyy", "M/d/yyyy", "yyyy-MM-dd HH:mm:ss")
+_DAYS = ("MMMM d, yyyy", "yyyy-MM-dd", "yyyy/MM/dd", "MMM d, yyyy", "d MMMM yyyy", "d MMM yyyy", "M/d/yyyy")
+# a day, with or without a time after a space or a T
+FORMATS = tuple(f"{day}[['T'][ ]HH:mm[:ss[.SSSSSS]]]" for day in _DAYS)
 
 # Julian date of 1970-01-01 00:00
 UNIX_EPOCH_JULIAN = 2440587.5
 
 
+def parse_moment(text: Column, formats: Sequence[str] = FORMATS) -> Column:
+    """First format that fits, as a timestamp without zone; ordinal suffixes (4th) are dropped. Null if none fits."""
+    plain = F.regexp_replace(F.trim(text), r"(\d+)(st|nd|rd|th)\b", "$1")
+    return F.coalesce(*[F.try_to_timestamp(plain, F.lit(f)).cast("timestamp_ntz") for f in formats])
+
+
 def parse_date(text: Column, formats: Sequence[str] = FORMATS) -> Column:
-    """First format that fits, as a date; ordinal suffixes (4th) are dropped. Null if none fits."""
-    plain = F.regexp_replace(text, r"(\d+)(st|nd|rd|th)\b", "$1")
-    return F.coalesce(*[F.try_to_timestamp(plain, F.lit(f)).cast("date") for f in formats])
+    """The day of :func:`parse_moment`."""
+    return parse_moment(text, formats).cast("date")
 
 
 def julian(date: Column) -> Column:
@@ -42,12 +49,12 @@ def packed(date: Column) -> Column:
     return (F.year(date) * 10000 + F.month(date) * 100 + F.dayofmonth(date)).cast("bigint")
 
 
-def date_parts(date: Column, prefix: str) -> dict[str, Column]:
-    """Julian date, year, month, day and unpadded packed number, named by ``prefix``."""
+def date_parts(moment: Column, prefix: str) -> dict[str, Column]:
+    """Julian date with the time of day, year, month, day and unpadded packed number, named by ``prefix``."""
     return {
-        f"{prefix}_julian": julian(date),
-        f"{prefix}_year": F.year(date),
-        f"{prefix}_month": F.month(date),
-        f"{prefix}_day": F.dayofmonth(date),
-        f"{prefix}_raw": packed_unpadded(date),
+        f"{prefix}_julian": julian_timestamp(moment),
+        f"{prefix}_year": F.year(moment),
+        f"{prefix}_month": F.month(moment),
+        f"{prefix}_day": F.dayofmonth(moment),
+        f"{prefix}_raw": packed_unpadded(moment),
     }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -15,5 +15,7 @@ def log1p(value: Column) -> Column:
     return F.log1p(value.cast("double"))
 
 
-def nan_to_null(value: Column) -> Column:
-    return F.when(~F.isnan(value), value)
+def present(df: DataFrame, column: str) -> Column:
+    """The column with NaN as null."""
+    value = F.col(f"`{column}`")
+    return F.when(~F.isnan(value), value) if df.schema[column].dataType.typeName() in ("double", "float") else value

@@ -13,6 +13,7 @@ from typing import ClassVar
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.numeric import present
 from ..workspace import materialise
 from .lookup import (
     CHAIN,
@@ -20,9 +21,11 @@ from .lookup import (
     TOTAL_BYTES,
     TableSize,
     attach,
+    attach_all,
     broadcastable,
     counted,
     measure_by,
+    row_key,
     store_by,
 )
 from .persist import load_table, save_table
@@ -30,6 +33,7 @@ from .running import ROWS_PER_TASK, running_total
 
 UNKNOWN = -1
 MISSING_UNSEEN = -2
+COLUMNS, VECTORS = "columns", "vectors"
 
 
 def is_text(df: DataFrame, column: str) -> bool:
@@ -46,11 +50,16 @@ def split_numeric(df: DataFrame, cols: Sequence[str], numeric: str) -> tuple[lis
     return texts, [c for c in cols if c not in texts]
 
 
+def category(df: DataFrame, column: str) -> Column:
+    """The value as text; NaN is missing."""
+    return present(df, column).cast("string")
+
+
 def unpivot_categories(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """One row per (row, column): ``feature``, ``category`` as text, and the ``keep`` columns."""
     ids = [f"__id_{k}" for k in keep]
     long = df.select(
-        *[F.col(k).alias(i) for k, i in zip(keep, ids)], *[F.col(c).cast("string").alias(c) for c in cols]
+        *[F.col(k).alias(i) for k, i in zip(keep, ids)], *[category(df, c).alias(c) for c in cols]
     ).unpivot(ids, list(cols), "feature", "category")
     return long.select(*[F.col(i).alias(k) for k, i in zip(keep, ids)], "feature", "category")
 
@@ -74,14 +83,21 @@ class FittedEncoder:
         self, df: DataFrame, value: str, out: str, table_bytes: int, total_bytes: int
     ) -> DataFrame:
         small = broadcastable(self.sizes, table_bytes, total_bytes)
-        for i, column in enumerate(self.encoded):
+        large = [c for c in self.encoded if c not in small]
+        if len(large) > 1 and row_key(df) and not df.isStreaming:
+            entries = self.table.filter(F.col("feature").isin(large)).withColumn("value", F.col(value))
+            long = unpivot_categories(df, large, row_key(df))
+            weight = sum(self.sizes[c].weight for c in large)
+            df = attach_all(df, long, entries, {c: out.format(c) for c in large}, lambda entry: entry, weight)
+            large = []
+        for i, column in enumerate(c for c in self.encoded if c in small or c in large):
             if i % CHAIN == 0:
                 df = counted(df)
             rows = self.table.filter(F.col("feature") == column)
             df = attach(
                 df,
                 rows,
-                [(F.col(column).cast("string"), "category")],
+                [(category(df, column), "category")],
                 {out.format(column): value},
                 null_safe=True,
                 small=column in small,
@@ -145,7 +161,7 @@ class FittedOrdinal(FittedEncoder):
         df = self._attach_all(df, "code", "__o_{}", table_bytes, total_bytes)
         made: dict[str, Column] = {}
         for c in self.encoded:
-            unseen = F.when(F.col(c).isNull(), F.lit(MISSING_UNSEEN)).otherwise(F.lit(UNKNOWN))
+            unseen = F.when(category(df, c).isNull(), F.lit(MISSING_UNSEEN)).otherwise(F.lit(UNKNOWN))
             made[c] = F.coalesce(F.col(f"`__o_{c}`"), unseen).cast("bigint")
         made |= {c: F.col(c) for c in self.passthrough}
         return self._with(df, columns, made)
@@ -179,40 +195,41 @@ class OrdinalEncoder:
 
 @dataclass(frozen=True)
 class FittedOneHot(FittedOrdinal):
-    max_categories: int = 1000
+    form: str = COLUMNS
 
     suffix: ClassVar[str] = "_OHE"
 
     def categories(self) -> dict[str, list[str | None]]:
-        """Train categories per column in code order; refused above ``max_categories``."""
-        for column, size in self.sizes.items():
-            if size.rows > self.max_categories:
-                raise ValueError(
-                    f"{column} has {size.rows} categories, more than {self.max_categories}; use vectors()"
-                )
+        """Train categories per column in code order, on the driver: the names of the columns to make."""
         listed: dict[str, list[str | None]] = {c: [] for c in self.encoded}
         for row in self.table.select("feature", "category", "code").orderBy("feature", "code").collect():
             listed[row["feature"]].append(row["category"])
         return listed
 
-    def transform(self, df: DataFrame) -> DataFrame:
-        """Add one 0/1 column per train category, ``<col>_<category>_OHE``; unknown gives all zeros."""
+    def transform(
+        self, df: DataFrame, table_bytes: int = TABLE_BYTES, total_bytes: int = TOTAL_BYTES
+    ) -> DataFrame:
+        """Add the encoding in the form the encoder was made with; unknown gives all zeros."""
+        return self.vectors(df, table_bytes, total_bytes) if self.form == VECTORS else self.columns(df)
+
+    def columns(self, df: DataFrame) -> DataFrame:
+        """Add one 0/1 column per train category, ``<col>_<category>_OHE``."""
         listed = self.categories()
         made: dict[str, Column] = {}
         for c in self.order:
             if c in self.passthrough:
                 made[c + self.suffix] = F.col(c)
                 continue
-            for category in listed[c]:
-                label = "nan" if category is None else category
-                hit = F.col(c).cast("string").eqNullSafe(F.lit(category).cast("string"))
+            for value in listed[c]:
+                label = "nan" if value is None else value
+                hit = category(df, c).eqNullSafe(F.lit(value).cast("string"))
                 made[f"{c}_{label}{self.suffix}"] = hit.cast("int")
         return df.withColumns(made)
 
     def vectors(
         self, df: DataFrame, table_bytes: int = TABLE_BYTES, total_bytes: int = TOTAL_BYTES
     ) -> DataFrame:
-        """Add one sparse 0/1 vector per column, ``<col>_OHE``, for columns with many categories."""
+        """Add one sparse 0/1 vector per column, ``<col>_OHE``, for any number of categories: nothing is collected."""
         from pyspark.ml.feature import OneHotEncoder as IndexVectors
 
         columns = df.columns
@@ -232,21 +249,21 @@ class FittedOneHot(FittedOrdinal):
 
 
 class OneHotEncoder:
-    """One 0/1 column per train category, in order of first appearance."""
+    """0/1 per train category in order of first appearance: ``form`` says as columns or as one sparse vector."""
 
     def __init__(
         self,
         cols: Sequence[str],
         row_id: str = "row_id",
         numeric: str = "encode",
-        max_categories: int = 1000,
+        form: str = COLUMNS,
         rows_per_task: int = ROWS_PER_TASK,
     ):
+        if form not in (COLUMNS, VECTORS):
+            raise ValueError(f"form must be {COLUMNS!r} or {VECTORS!r}, got {form!r}")
         self._ordinal = OrdinalEncoder(cols, row_id, numeric, rows_per_task)
-        self.max_categories = max_categories
+        self.form = form
 
     def fit(self, train: DataFrame) -> FittedOneHot:
         fitted = self._ordinal.fit(train)
-        return FittedOneHot(
-            fitted.encoded, fitted.passthrough, fitted.order, fitted.table, fitted.sizes, self.max_categories
-        )
+        return FittedOneHot(fitted.encoded, fitted.passthrough, fitted.order, fitted.table, fitted.sizes, self.form)

@@ -104,11 +104,3 @@ def expand_folds(df: DataFrame, n_splits: int, fold_col: str = "fold") -> DataFr
     """Each row once per round: ``round`` and whether the row validates or trains in it."""
     role = F.when(F.col(fold_col) == F.col("round"), F.lit("valid")).otherwise(F.lit("train"))
     return df.withColumn("round", F.explode(F.sequence(F.lit(0), F.lit(n_splits - 1)))).withColumn("role", role)
-
-
-def in_fold(df: DataFrame, fold: int, fold_col: str = "fold") -> DataFrame:
-    return df.filter(F.col(fold_col) == fold)
-
-
-def out_of_fold(df: DataFrame, fold: int, fold_col: str = "fold") -> DataFrame:
-    return df.filter(F.col(fold_col) != fold)

@@ -1,4 +1,4 @@
-"""Grouped statistics of train rows, joined back to rows."""
+"""Grouped statistics of train rows, joined back to rows. NaN is missing, in keys and values."""
 
 from __future__ import annotations
 
@@ -10,6 +10,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.numeric import present
 from .lookup import TABLE_BYTES, TableSize, attach, store, visible
 from .persist import load_table, save_table
 from .quantiles import quantiles
@@ -36,7 +37,7 @@ def _exact_mean(df: DataFrame, column: str) -> Column:
     """Mean as one division, exact in the sum for decimal columns."""
     if df.schema[column].dataType.typeName() == "decimal":
         return F.sum(column).cast("double") / F.count(column)
-    return F.avg(column)
+    return F.avg(present(df, column))
 
 
 @dataclass(frozen=True)
@@ -80,12 +81,12 @@ class GroupStats:
 
     def statistics(self, train: DataFrame) -> DataFrame:
         """The group table: keys, ``__n`` and one column per (method, target)."""
-        rows = train.filter(reduce(and_, [F.col(c).isNotNull() for c in self.cat_cols]))
+        rows = train.filter(reduce(and_, [present(train, c).isNotNull() for c in self.cat_cols]))
         plain = [m for m in self.methods if m in METHODS]
         made = []
         for target in self.target_cols:
             for method in plain:
-                value = _exact_mean(train, target) if method == "mean" else METHODS[method](F.col(target))
+                value = _exact_mean(train, target) if method == "mean" else METHODS[method](present(train, target))
                 made.append(value.alias(stat_name(method, self.cat_cols, target)))
         stats = rows.groupBy(*self.cat_cols).agg(F.count(F.lit(1)).alias("__n"), *made)
         if "median" in self.methods:

@@ -9,7 +9,7 @@ single task receives a whole hot key.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from itertools import count
@@ -49,6 +49,9 @@ def row_bytes(table: DataFrame) -> Column:
             parts.append(F.coalesce(F.octet_length(f.name), F.lit(0)))
         elif f.dataType.typeName() == "array":
             parts.append(F.coalesce(F.size(f.name) * 8 + 16, F.lit(0)))
+        elif f.dataType.typeName() == "map":  # of arrays of numbers
+            entry = F.size(F.element_at(F.map_values(f.name), 1)) * 8 + 48
+            parts.append(F.coalesce(F.size(f.name) * entry, F.lit(0)))
     return reduce(add, parts)
 
 
@@ -107,6 +110,42 @@ def counted(df: DataFrame) -> DataFrame:
     return df.observe(f"rows_{next(_names)}", F.count(F.lit(1)).alias("rows"))
 
 
+def row_key(df: DataFrame) -> list[str]:
+    """The columns that tell rows apart: ``row_id``, within ``split`` if there is one."""
+    return [c for c in ("split", ROW_ID) if c in df.columns] if ROW_ID in df.columns else []
+
+
+def attach_all(
+    df: DataFrame,
+    long: DataFrame,
+    table: DataFrame,
+    names: Mapping[str, str],
+    value: Callable[[Column], Column],
+    weight: int,
+) -> DataFrame:
+    """Left-join the entries of many features at once, whatever the number of features.
+
+    ``long`` has the row key, ``feature`` and ``category`` for each row and feature
+    of ``names`` (feature to output column). One join finds the entries (``table``:
+    feature, category, n, value), one aggregate brings those of a row together,
+    and only the last join moves whole rows.
+    """
+    ids = row_key(df)
+    found = attach(
+        long,
+        table,
+        [(F.col("category"), "category"), (F.col("feature"), "feature")],
+        {"__entry": "value"},
+        null_safe=True,
+        small=False,
+        weight="n",
+        total_weight=weight,
+    )
+    entry = value(F.col("__entry"))
+    made = [F.first(F.when(F.col("feature") == f, entry), ignorenulls=True).alias(out) for f, out in names.items()]
+    return df.join(found.groupBy(*ids).agg(*made), ids, "left").select(*[F.col(f"`{c}`") for c in df.columns], *[F.col(f"`{o}`") for o in names.values()])
+
+
 def _bucket(columns: Sequence[Column]) -> Column:
     return F.pmod(F.xxhash64(*[c.cast("string") for c in columns]), F.lit(SALTS))
 

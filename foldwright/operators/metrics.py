@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,12 +13,18 @@ from .quantiles import quantiles
 Pair = Callable[[Column, Column], Column]
 
 
+def _share_explained(left: Column, whole: Column) -> Column:
+    """``1 - left / whole``; a constant truth is explained fully (1) or not at all (0)."""
+    constant = F.when(left == 0, 1.0).when(left.isNotNull(), 0.0)
+    return F.when(whole == 0, constant).otherwise(1 - F.try_divide(left, whole))
+
+
 def _r2(y: Column, p: Column) -> Column:
-    return 1 - F.sum((y - p) * (y - p)) / (F.var_pop(y) * F.count(y))
+    return _share_explained(F.sum((y - p) * (y - p)), F.var_pop(y) * F.count(y))
 
 
 def _explained(y: Column, p: Column) -> Column:
-    return 1 - F.var_pop(y - p) / F.var_pop(y)
+    return _share_explained(F.var_pop(y - p), F.var_pop(y))
 
 
 # Fixed value: smallest denominator of the relative error, as for 64-bit floats.
@@ -82,14 +89,18 @@ def metric_table(df: DataFrame, truth: str, prediction: str, metrics: Sequence[s
         check_metric(m)
     y, p = F.col(truth).cast("double"), F.col(prediction).cast("double")
     plain = [m for m in metrics if m in METRICS]
-    table = df.agg(*[METRICS[m](y, p).alias(m) for m in plain]).unpivot([], plain, "metric", "score")
+    tables = []
+    if plain:
+        tables.append(df.agg(*[METRICS[m](y, p).alias(m) for m in plain]).unpivot([], plain, "metric", "score"))
     if "median_absolute_error" in metrics:
         errors = df.select(F.abs(y - p).alias("median_absolute_error"))
         median = quantiles(errors, ["median_absolute_error"], [0.5]).select(
             F.col("column").alias("metric"), F.col("q_0").alias("score")
         )
-        table = table.unionByName(median)
-    return table
+        tables.append(median)
+    if not tables:
+        raise ValueError("no metric is named")
+    return reduce(DataFrame.unionByName, tables)
 
 
 def ensemble_mean(predictions: DataFrame, keys: Sequence[str] = ("row_id", "target")) -> DataFrame:

@@ -39,11 +39,11 @@ def profile(df: DataFrame) -> DataFrame:
 
 
 def missing_rate(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """Percentage of missing values per column, highest first."""
+    """Percentage of missing values per column, highest first; null in a table without rows."""
     chosen = list(cols or df.columns)
     shares = df.agg(
         *[
-            (F.count_if(~_present(df, c)).cast("double") / F.count(F.lit(1)).cast("double") * 100.0).alias(c)
+            (F.try_divide(F.count_if(~_present(df, c)).cast("double"), F.count(F.lit(1)).cast("double")) * 100.0).alias(c)
             for c in chosen
         ]
     )
@@ -80,11 +80,3 @@ def flipped(df: DataFrame, row_id: str, cols: Sequence[str]) -> DataFrame:
     return df.select(row_id, *[F.col(c).cast("string").alias(c) for c in cols]).unpivot(
         [row_id], list(cols), "column", "value"
     )
-
-
-def transposed(df: DataFrame, row_id: str, cols: Sequence[str], max_rows: int = 100) -> DataFrame:
-    """Columns as rows, one output column per row; refused above ``max_rows`` input rows."""
-    ids = [r[0] for r in df.select(row_id).orderBy(row_id).limit(max_rows + 1).collect()]
-    if len(ids) > max_rows:
-        raise ValueError(f"more than {max_rows} rows; use flipped()")
-    return flipped(df, row_id, cols).groupBy("column").pivot(row_id, ids).agg(F.first("value"))

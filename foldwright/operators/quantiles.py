@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.numeric import present
 from .lookup import TABLE_BYTES, attach, store
 from .running import ROWS_PER_TASK, running_total
 
@@ -23,12 +24,12 @@ def quantiles(
 
     Equal values are counted before any shuffle, the distinct ones get running
     totals over their order, and the two ranks around each quantile are picked
-    by a plain aggregate. Result: ``by`` columns, ``column``, ``n``, ``q_i``.
+    by a plain aggregate. Nulls and NaN are left out. Result: ``by`` columns, ``column``, ``n``, ``q_i``.
     """
     ids = [f"__id_{b}" for b in by]
     long = (
         df.select(
-            *[F.col(b).alias(i) for b, i in zip(by, ids)], *[F.col(c).cast("double").alias(c) for c in cols]
+            *[F.col(b).alias(i) for b, i in zip(by, ids)], *[present(df, c).cast("double").alias(c) for c in cols]
         )
         .unpivot(ids, list(cols), "column", "value")
         .filter(F.col("value").isNotNull())

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.numeric import present
+
 TRAIN, TEST = "train", "test"
 
 
@@ -37,29 +40,46 @@ def map_lookup(text: Column, table: dict[str, object], kind: str) -> Column:
     return F.create_map(*pairs)[text].cast(kind)
 
 
-def fill_below_min(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = None) -> DataFrame:
-    """Missing numbers become (column minimum - 1), so trees see them as the smallest value."""
-    source = fit_on if fit_on is not None else df
+def below(least: float | None) -> float:
+    """One less, or less by a small share where one is lost in rounding; -1 where there is no number."""
+    return -1.0 if least is None else least - max(1.0, abs(least) * 1e-9)
+
+
+def is_vector(df: DataFrame, column: str) -> bool:
+    return isinstance(df.schema[column].dataType, VectorUDT)
+
 
-    def number(c: str) -> Column:
-        value = F.col(f"`{c}`").cast("double")
-        return F.when(~F.isnan(value), value)
+def fill_below_min(
+    df: DataFrame,
+    cols: Sequence[str],
+    fit_on: DataFrame | None = None,
+    least: Mapping[str, float | None] | None = None,
+) -> DataFrame:
+    """Missing numbers become a value below the column's minimum, so trees see them as the smallest.
 
-    # one row
-    floor = source.agg(*[F.min(number(c)).alias(f"m_{i}") for i, c in enumerate(cols)]).first()
-    low = {c: (floor[f"m_{i}"] - 1.0 if floor[f"m_{i}"] is not None else -1.0) for i, c in enumerate(cols)}
-    return df.withColumns({c: F.coalesce(number(c), F.lit(low[c])) for c in cols})
+    The minima are those of ``fit_on`` (``df`` by default), or ``least`` if they are
+    known from an earlier job. Vector columns have no gaps and stay as they are.
+    """
+    source = fit_on if fit_on is not None else df
+    numbers = [c for c in cols if not is_vector(df, c)]
+    if least is None:
+        floor = source.agg(F.count(F.lit(1)), *[F.min(present(source, c).cast("double")) for c in numbers]).first()  # one row
+        least = {c: floor[i + 1] for i, c in enumerate(numbers)}
+    return df.withColumns({c: F.coalesce(present(df, c).cast("double"), F.lit(below(least[c]))) for c in numbers})
 
 
 def rowcount_guard(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row: rows before, rows after, repeated keys after, and whether the block kept the rows."""
-    counted = before.agg(F.count(F.lit(1)).alias("rows_before")).withColumn("one", F.lit(1))
-    per_key = after.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))
-    result = per_key.agg(
-        F.coalesce(F.sum("copies"), F.lit(0)).alias("rows_after"),
-        F.count_if(F.col("copies") > 1).alias("repeated_keys"),
-    ).withColumn("one", F.lit(1))
-    ok = (F.col("rows_before") == F.col("rows_after")) & (F.col("repeated_keys") == 0)
-    return counted.join(result, "one").select(
-        "rows_before", "rows_after", "repeated_keys", ok.cast("int").alias("kept")
+    sides = after.select(F.lit(1).alias("side"), *keys).unionByName(before.select(F.lit(0).alias("side")), allowMissingColumns=True)
+    copies = sides.groupBy("side", *keys).agg(F.count(F.lit(1)).alias("copies"))
+
+    def rows(side: int) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("side") == side, F.col("copies"))), F.lit(0))
+
+    result = copies.agg(
+        rows(0).alias("rows_before"),
+        rows(1).alias("rows_after"),
+        F.count_if((F.col("side") == 1) & (F.col("copies") > 1)).alias("repeated_keys"),
     )
+    ok = (F.col("rows_before") == F.col("rows_after")) & (F.col("repeated_keys") == 0)
+    return result.withColumn("kept", ok.cast("int"))

@@ -16,9 +16,10 @@ from operator import add
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.numeric import present
 from ..functions.text import interaction_key
 from ..workspace import materialise
-from .encoders import unpivot_categories
+from .encoders import category, unpivot_categories
 from .folds import hash_fold
 from .lookup import (
     CHAIN,
@@ -26,9 +27,11 @@ from .lookup import (
     TOTAL_BYTES,
     TableSize,
     attach,
+    attach_all,
     broadcastable,
     counted,
     measure_by,
+    row_key,
     size_columns,
     size_of,
 )
@@ -44,10 +47,11 @@ def interaction_name(cols: Sequence[str]) -> str:
 
 @dataclass(frozen=True)
 class FittedTarget:
-    """Encodings per (feature, category, fold); fold -1 holds those for rows outside train.
+    """Encodings per (feature, category): ``te`` maps each fold to one mean per target.
 
-    ``te`` is an array with one mean per target, so each feature costs the
-    joined rows one column. ``priors`` has the mean of the same train rows per fold.
+    Entry -1 is the mean over all folds: it serves rows outside train, and folds
+    in which train never had the category. ``priors`` has the mean of the same
+    train rows per fold.
     """
 
     features: tuple[str, ...]
@@ -73,13 +77,32 @@ class FittedTarget:
         small = broadcastable(self.sizes, table_bytes, total_bytes)
         keys = {interaction_name(i): interaction_key(*i) for i in self.interactions}
         known = self._filled(self.table)
-        for i, feature in enumerate(self.features):
+
+        def category_of(feature: str) -> Column:
+            return keys[feature] if feature in keys else category(df, feature)
+
+        def of_fold(means: Column, own: Column) -> Column:
+            return F.when(F.map_contains_key(means, own), means[own]).otherwise(means[F.lit(TEST_FOLD)])
+
+        large = [f for f in self.features if f not in small]
+        together = len(large) > 1 and row_key(df) and not df.isStreaming
+        if together:
+            own = df.select(*row_key(df), fold.alias("__fold"), *[category_of(f).alias(f) for f in large])
+            df = attach_all(
+                df,
+                unpivot_categories(own, large, [*row_key(df), "__fold"]),
+                known.filter(F.col("feature").isin(large)).withColumn("value", F.col("te")),
+                {f: f"__te_{f}" for f in large},
+                lambda entry: of_fold(entry, F.col("__fold")),
+                sum(self.sizes[f].weight for f in large),
+            )
+        for i, feature in enumerate(f for f in self.features if f in small or not together):
             if i % CHAIN == 0:
                 df = counted(df)
             df = attach(
                 df,
                 known.filter(F.col("feature") == feature),
-                [(keys.get(feature, F.col(f"`{feature}`").cast("string")), "category"), (fold, "fold")],
+                [(category_of(feature), "category")],
                 {f"__te_{feature}": "te"},
                 null_safe=True,
                 small=feature in small,
@@ -90,6 +113,7 @@ class FittedTarget:
         made = []
         for feature in self.features:
             value = F.col(f"`__te_{feature}`")
+            value = value if together and feature in large else of_fold(value, fold)
             value = value if fill is None else F.coalesce(value, fill)
             made += [F.get(value, F.lit(i)).alias(f"{feature}_TE_{t}") for i, t in enumerate(self.targets)]
         return df.select(*columns, *made)
@@ -127,10 +151,13 @@ class FittedTarget:
         return F.create_map(*pairs)[fold] if pairs else None
 
     def _filled(self, table: DataFrame) -> DataFrame:
-        fill = self._fill(F.col("fold"))
-        if fill is None:
+        if self._fill(F.lit(TEST_FOLD)) is None:
             return table
-        return table.withColumn("te", F.zip_with("te", fill, lambda mean, other: F.coalesce(mean, other)))
+
+        def filled(fold: Column, means: Column) -> Column:
+            return F.zip_with(means, self._fill(fold), lambda mean, other: F.coalesce(mean, other))
+
+        return table.withColumn("te", F.transform_values("te", filled))
 
 
 class TargetEncoder:
@@ -166,13 +193,13 @@ class TargetEncoder:
         encodings = self._encodings(self._sums(train, features))
         table = materialise(encodings, "target-encoder", ("feature",))
         # one row per feature; the prior has one entry per fold
-        prior = F.when(F.col("feature") == PRIOR, F.struct("fold", "te"))
+        prior = F.first(F.when(F.col("feature") == PRIOR, F.col("te")), ignorenulls=True)
         told = {
             r["feature"]: r
-            for r in table.groupBy("feature").agg(*size_columns(table, "n"), F.collect_list(prior).alias("prior")).collect()
+            for r in table.groupBy("feature").agg(*size_columns(table, "n"), prior.alias("prior")).collect()
         }
         sizes = {f: size_of(told[f]) if f in told else TableSize(0, 0) for f in features}
-        priors = {r["fold"]: tuple(r["te"]) for r in (told[PRIOR]["prior"] if PRIOR in told else [])}
+        priors = {fold: tuple(te) for fold, te in (told[PRIOR]["prior"] if PRIOR in told else {}).items()}
         return FittedTarget(
             features, self.interactions, self.targets, self.fold_col, self.unseen, table, sizes, priors
         )
@@ -191,7 +218,7 @@ class TargetEncoder:
             F.col(self.fold_col).alias("fold"),
             inner.alias("inner"),
             *[_number(train, t).alias(f"y_{t}") for t in self.targets],
-            *[F.col(c) for c in self.cols],
+            *[category(train, c).alias(c) for c in self.cols],
             *[key.alias(name) for name, key in keys.items()],
             F.lit("").alias(PRIOR),
         )
@@ -210,9 +237,9 @@ class TargetEncoder:
         )
 
     def _encodings(self, sums: DataFrame) -> DataFrame:
-        """Mean per category for each fold left out, and for none (fold -1)."""
-        category = Window.partitionBy("feature", "category")
-        by_fold = category.orderBy("fold")
+        """Per category, the means for each fold left out and for none (fold -1)."""
+        whole = Window.partitionBy("feature", "category")
+        by_fold = whole.orderBy("fold")
         earlier = by_fold.rowsBetween(Window.unboundedPreceding, -1)
         later = by_fold.rowsBetween(1, Window.unboundedFollowing)
         parts = [f"{kind}_{t}_{i}" for kind in "sc" for t in self.targets for i in self._parts()]
@@ -222,24 +249,22 @@ class TargetEncoder:
             "feature",
             "category",
             "fold",
-            F.sum("n").over(category).alias("n"),
-            F.row_number().over(by_fold).alias("place"),
+            F.sum("n").over(whole).alias("n"),
             *[
                 (F.coalesce(F.sum(p).over(earlier), zero[p]) + F.coalesce(F.sum(p).over(later), zero[p])).alias(f"o_{p}")
                 for p in parts
             ],
-            *[F.sum(p).over(category).alias(f"a_{p}") for p in parts],
+            *[F.sum(p).over(whole).alias(f"a_{p}") for p in parts],
         )
 
-        def means(prefix: str, fold: Column) -> Column:
-            return F.struct(
-                fold.cast("int").alias("fold"), F.array(*[self._mean(prefix, t) for t in self.targets]).alias("te")
-            )
+        def means(prefix: str) -> Column:
+            return F.array(*[self._mean(prefix, t) for t in self.targets])
 
-        own, whole = means("o", F.col("fold")), means("a", F.lit(TEST_FOLD))
-        entry = F.explode(F.when(F.col("place") == 1, F.array(own, whole)).otherwise(F.array(own)))
-        return spread.select("feature", "category", "n", entry.alias("entry")).select(
-            "feature", "category", "n", "entry.fold", "entry.te"
+        own = F.when(F.col("fold").isNotNull(), F.struct(F.col("fold").cast("int").alias("fold"), means("o").alias("te")))
+        # the window has brought a category's rows together already
+        return spread.groupBy("feature", "category").agg(
+            F.first("n").alias("n"),
+            F.map_concat(F.map_from_entries(F.collect_list(own)), F.create_map(F.lit(TEST_FOLD), F.first(means("a")))).alias("te"),
         )
 
     def _mean(self, prefix: str, target: str) -> Column:
@@ -257,7 +282,7 @@ class TargetEncoder:
 
 def _number(df: DataFrame, column: str) -> Column:
     exact = df.schema[column].dataType.typeName() == "decimal"
-    return F.col(column) if exact else F.col(column).cast("double")
+    return F.col(column) if exact else present(df, column).cast("double")
 
 
 def _ratio(total: Column, number: Column) -> Column:

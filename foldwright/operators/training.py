@@ -59,11 +59,18 @@ class CVResult:
 
 
 def assemble(
-    rows: DataFrame, features: Sequence[str], targets: Sequence[str], row_id: str = "row_id"
+    rows: DataFrame,
+    features: Sequence[str],
+    targets: Sequence[str],
+    row_id: str = "row_id",
+    least: Mapping[str, float | None] | None = None,
 ) -> DataFrame:
-    """Store ``row_id, split, fold, targets, features`` with a vector column, partitioned by fold (-1 in test)."""
+    """Store ``row_id, split, fold, targets, features`` with a vector column, partitioned by fold (-1 in test).
+
+    ``least``: the train minima of the number features, if an earlier job has found them.
+    """
     train = rows.filter(F.col("split") == TRAIN)
-    filled = fill_below_min(rows, features, fit_on=train)
+    filled = fill_below_min(rows, features, train, least)
     vectors = VectorAssembler(inputCols=list(features), outputCol="features").transform(filled)
     kept = vectors.select(
         F.col(row_id).alias("row_id"),
@@ -74,6 +81,16 @@ def assemble(
     return materialise(kept, "assembled", ("fold",))
 
 
+def slot_names(table: DataFrame, features: Sequence[str]) -> list[str]:
+    """A name for each place of the vector: a feature that is a vector itself has several."""
+    stated = table.schema["features"].metadata.get("ml_attr", {})
+    named = {a["idx"]: a.get("name", f"features_{a['idx']}") for group in stated.get("attrs", {}).values() for a in group}
+    width = stated.get("num_attrs", len(features))
+    if width == len(features) and len(named) != width:
+        return list(features)
+    return [named.get(i, f"features_{i}") for i in range(width)]
+
+
 def make_learner(name: str, params: Mapping[str, object], target: str, seed: int) -> Estimator:
     if name not in LEARNERS:
         raise ValueError(f"unknown learner {name!r}; known: {sorted(LEARNERS)}")
@@ -97,7 +114,10 @@ def best_round(errors: Sequence[float], patience: int) -> tuple[int, bool]:
 
 
 def first_trees(spark: SparkSession, model: Model, rounds: int) -> Model:
-    """The boosted model cut to its first ``rounds`` trees."""
+    """The boosted model cut to its first ``rounds`` trees.
+
+    The public API cannot cut a model, so this one helper reaches behind it.
+    """
     java_trees = model._java_obj.trees()
     if rounds >= len(java_trees):
         return model
@@ -165,7 +185,12 @@ def _write_oof(rows: DataFrame, path: str, target: str, fold: int, models: Mappi
         "row_id", F.col(f"y_{target}").alias("truth"), _mean(names).alias("seed_mean"), F.explode(entries).alias("e")
     )
     kept = long.select("row_id", "e.seed", "truth", "e.prediction", "seed_mean")
-    kept.write.parquet(f"{path}/target={target}/fold={fold}")
+    kept.write.parquet(f"{path}/target={_escaped(target)}/fold={fold}")
+
+
+def _escaped(name: str) -> str:
+    """A value in a partition path: Spark reads %XX back as the character."""
+    return "".join(c if c.isalnum() or c in "_-." else "".join(f"%{b:02X}" for b in c.encode()) if ord(c) < 128 else c for c in name)
 
 
 def _mean(names: Sequence[str]) -> Column:
@@ -174,7 +199,7 @@ def _mean(names: Sequence[str]) -> Column:
 
 def _write_test(rows: DataFrame, path: str, target: str, models: Sequence[Model]) -> None:
     scored, names = _scored(rows.filter(F.col("fold") == TEST_FOLD), models)
-    scored.select("row_id", _mean(names).alias("prediction")).write.parquet(f"{path}/target={target}")
+    scored.select("row_id", _mean(names).alias("prediction")).write.parquet(f"{path}/target={_escaped(target)}")
 
 
 def cross_validate(
@@ -192,7 +217,9 @@ def cross_validate(
     """Cross-validate ``table`` (from :func:`assemble`) for every target.
 
     Fits run as concurrent Spark jobs, at most ``parallelism`` at a time. One
-    target is done at a time, so the driver holds that target's models only.
+    target is done at a time, so the driver holds that target's models only. Each
+    boosted fit that runs caches its training rows (label, weight and vector) on
+    the executors: they need room for ``parallelism`` copies.
     """
     if learner not in LEARNERS:
         raise ValueError(f"unknown learner {learner!r}; known: {sorted(LEARNERS)}")
@@ -201,7 +228,7 @@ def cross_validate(
     spark = table.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    params = dict(params or {})
+    params, slots = dict(params or {}), slot_names(table, features)
     oof_path, test_path = fresh_path(spark, "oof"), fresh_path(spark, "test-predictions")
     importance: list[tuple] = []
     rounds: list[tuple] = []
@@ -220,7 +247,7 @@ def cross_validate(
             _write_test(table, test_path, target, list(models.values()))
         for number, (key, model) in enumerate(models.items()):
             place = (key.target, key.seed, key.fold)
-            importance += [(*place, number, f, float(v)) for f, v in zip(features, _importances(model, len(features)))]
+            importance += [(*place, number, f, float(v)) for f, v in zip(slots, _importances(model, len(slots)))]
             rounds.append((*place, getattr(model, "getNumTrees", 1)))
     oof = spark.read.schema(
         "row_id long, seed int, truth double, prediction double, seed_mean double, target string, fold int"

@@ -54,6 +54,7 @@ class Experiment:
     count_cols: tuple[str, ...] = ()
     ordinal_cols: tuple[str, ...] = ()
     onehot_cols: tuple[str, ...] = ()
+    onehot_form: str = "columns"
     target_encoding: TargetEncoding = TargetEncoding()
     aggregations: Mapping[str, Aggregation] = field(default_factory=lambda: MappingProxyType({}))
     numeric: str = "encode"

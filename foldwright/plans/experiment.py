@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.importance import importance_boxes, top_features
@@ -42,7 +42,7 @@ def train_and_score(spec: Experiment, table: FeatureTable) -> Outcome:
     check_metric(spec.metric)
     learner = spec.learner
     result = cross_validate(
-        assemble(table.rows, table.features, spec.targets, table.row_id),
+        assemble(table.rows, table.features, spec.targets, table.row_id, table.least),
         table.features,
         spec.targets,
         spec.seeds,
@@ -56,9 +56,24 @@ def train_and_score(spec: Experiment, table: FeatureTable) -> Outcome:
     return Outcome(oof_scores(result, spec.targets, spec.seeds, spec.metric), result)
 
 
-def run(spec: Experiment, rows: DataFrame, submission_path: str | None = None) -> Outcome:
-    """United raw rows to scores, and a submission if a path is given."""
-    outcome = train_and_score(spec, feature_table(spec, rows))
+def run(
+    spec: Experiment, rows: DataFrame, submission_path: str | None = None, features_path: str | None = None
+) -> Outcome:
+    """United raw rows to scores, and a submission if a path is given.
+
+    The feature table is stored (at ``features_path``, or in the shared folder)
+    and read from there; :func:`run_stored` trains on it again without making it anew.
+    """
+    return _finish(spec, feature_table(spec, rows, features_path), submission_path)
+
+
+def run_stored(spark: SparkSession, spec: Experiment, features_path: str, submission_path: str | None = None) -> Outcome:
+    """Train and score on a feature table that an earlier run has stored."""
+    return _finish(spec, FeatureTable.load(spark, features_path), submission_path)
+
+
+def _finish(spec: Experiment, table: FeatureTable, submission_path: str | None) -> Outcome:
+    outcome = train_and_score(spec, table)
     if submission_path:
         write_submission(outcome.result.test, spec.targets, submission_path)
     return outcome

@@ -6,21 +6,21 @@ position and no block is joined back.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.numeric import present
 from ..operators.encoders import CountEncoder, OneHotEncoder, OrdinalEncoder
 from ..operators.folds import group_kfold
 from ..operators.group_stats import GroupStats
-from ..operators.lookup import TABLE_BYTES
-from ..operators.reshape import TRAIN
+from ..operators.persist import load_table, save_about
+from ..operators.reshape import TRAIN, is_vector
 from ..operators.target_encoding import TargetEncoder
-from ..sources.sinks import save_features
-from ..workspace import materialise
+from ..workspace import fresh_path, materialise
 from .config import Experiment
 from .preprocess import run_steps
 from .presets import PROJECTIONS
@@ -68,7 +68,7 @@ def _count(spec: Experiment, train: DataFrame) -> Transform:
 
 @encoder("get_onehot_encoding_features")
 def _onehot(spec: Experiment, train: DataFrame) -> Transform:
-    return OneHotEncoder(spec.onehot_cols, spec.row_id, spec.numeric).fit(train).transform
+    return OneHotEncoder(spec.onehot_cols, spec.row_id, spec.numeric, spec.onehot_form).fit(train).transform
 
 
 @encoder("get_target_encoding_features")
@@ -97,12 +97,40 @@ for _name in ("get_agg_region_features", "get_agg_company_features"):
 
 @dataclass(frozen=True)
 class FeatureTable:
-    """Rows with key, ``split``, ``fold`` (null in test), targets and feature columns."""
+    """Rows with key, ``split``, ``fold`` (null in test), targets and feature columns.
+
+    A stored table also knows the train minima of its number features, ``least``.
+    """
 
     rows: DataFrame
     features: tuple[str, ...]
     targets: tuple[str, ...]
     row_id: str = "row_id"
+    least: Mapping[str, float | None] | None = None
+
+    def save(self, path: str, expected: int | None = None) -> FeatureTable:
+        """Write the table by one job and give the stored one.
+
+        The job itself counts the rows and finds the minima. A number of rows other
+        than ``expected`` means that a block did not keep them, and raises.
+        """
+        seen = Observation("features")
+        numbers = [f for f in self.features if not is_vector(self.rows, f)]
+        least = [F.min(F.when(F.col("split") == TRAIN, present(self.rows, f).cast("double"))) for f in numbers]
+        counted = self.rows.observe(seen, F.count(F.lit(1)).alias("rows"), *[m.alias(f"m_{i}") for i, m in enumerate(least)])
+        counted.write.mode("overwrite").partitionBy("split").parquet(f"{path}/table")
+        told = seen.get
+        if expected is not None and told["rows"] != expected:
+            raise ValueError(f"feature blocks changed the number of rows: {expected} before, {told['rows']} after")
+        found = {f: told[f"m_{i}"] for i, f in enumerate(numbers)}
+        about = {"features": self.features, "targets": self.targets, "row_id": self.row_id, "least": found}
+        save_about(self.rows, about, path)
+        return FeatureTable.load(self.rows.sparkSession, path)
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> FeatureTable:
+        rows, about = load_table(spark, path)
+        return cls(rows, tuple(about["features"]), tuple(about["targets"]), about["row_id"], about["least"])
 
 
 def check_features(spec: Experiment, columns: Sequence[str]) -> None:
@@ -154,24 +182,24 @@ def build_features(spec: Experiment, rows: DataFrame) -> FeatureTable:
 
 
 def with_folds(spec: Experiment, rows: DataFrame) -> DataFrame:
-    """Add ``fold`` to train rows by group; test rows get null."""
-    split = spec.split
-    folds = group_kfold(train_rows(rows), split.group_col, split.n_splits, split.shuffle, split.seed)
-    placed = folds.transform(rows).withColumn("fold", F.when(F.col("split") == TRAIN, F.col("fold")))
-    # a fold table too large to broadcast costs a shuffle of the rows: pay for it once
-    return placed if folds.size.bytes <= TABLE_BYTES else materialise(placed, "folded")
+    """Add ``fold`` to train rows by group and store the rows; test rows get null."""
+    return _stored_with_folds(spec, rows)[0]
 
 
-def feature_table(spec: Experiment, rows: DataFrame) -> FeatureTable:
-    """Raw united rows to features: cleaning, folds, encoders, blocks."""
-    return build_features(spec, with_folds(spec, run_steps(rows, spec.preprocess)))
+def _stored_with_folds(spec: Experiment, rows: DataFrame) -> tuple[DataFrame, int]:
+    """The cleaned rows with their folds, written once for all fits, and their number."""
+    split, seen = spec.split, Observation("source")
+    folds = group_kfold(train_rows(rows), split.group_col, split.n_splits, split.shuffle, split.seed)
+    placed = folds.transform(rows.observe(seen, F.count(F.lit(1)).alias("rows")))
+    stored = materialise(placed.withColumn("fold", F.when(F.col("split") == TRAIN, F.col("fold"))), "folded")
+    return stored, seen.get["rows"]
+
 
+def feature_table(spec: Experiment, rows: DataFrame, path: str | None = None) -> FeatureTable:
+    """Raw united rows to a stored feature table: cleaning, folds, encoders, blocks.
 
-def save_counted(table: FeatureTable, source: DataFrame, path: str) -> dict[str, int]:
-    """Write the feature table; the rows are counted by the writing job itself and compared to the source's."""
-    kept = Observation("features")
-    save_features(table.rows.observe(kept, F.count(F.lit(1)).alias("rows")), path)
-    counts = {"source": source.count(), "features": kept.get["rows"]}
-    if counts["source"] != counts["features"]:
-        raise ValueError(f"feature blocks changed the number of rows: {counts}")
-    return counts
+    The source is read twice, for the groups and for the one copy with folds that
+    everything after reads. The table goes to ``path``, or to the shared folder.
+    """
+    stored, number = _stored_with_folds(spec, run_steps(rows, spec.preprocess))
+    return build_features(spec, stored).save(path or fresh_path(rows.sparkSession, "feature-table"), number)

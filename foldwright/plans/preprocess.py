@@ -34,7 +34,7 @@ def weight_in_grams(df: DataFrame, source: str = "bag_weight", decimal: bool = F
 
 def date_features(df: DataFrame, source: str) -> DataFrame:
     """Julian date, year, month, day and packed number of a date text."""
-    return df.withColumns(dates.date_parts(dates.parse_date(F.col(source)), source))
+    return df.withColumns(dates.date_parts(dates.parse_moment(F.col(source)), source))
 
 
 @step("uniform_bag_weight")

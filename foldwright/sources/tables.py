@@ -22,10 +22,16 @@ class Dataset:
     submission: DataFrame | None = None
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Use all cores on an input with fewer splits than cores; a larger input stays as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
+def read_texts(spark: SparkSession, path: str | Sequence[str], multi_line: bool = True, **options: str) -> DataFrame:
+    """CSV with a header, every field as text; a quote inside a quoted field is written twice.
+
+    With ``multi_line`` a quoted field may hold line breaks, and one task reads
+    a whole file: keep large inputs as many files, or say False where no field
+    has a line break.
+    """
+    paths = [path] if isinstance(path, str) else list(path)
+    settings = {"header": True, "inferSchema": False, "multiLine": multi_line, "quote": '"', "escape": '"', **options}
+    return spark.read.options(**settings).csv(paths)
 
 
 def read_csv(
@@ -33,6 +39,7 @@ def read_csv(
     path: str | Sequence[str],
     schema: T.StructType | None = None,
     row_id: str | None = "row_id",
+    multi_line: bool = True,
     **options: str,
 ) -> DataFrame:
     """CSV with a header. Types from ``schema`` or from the data, missing tokens as null, rows numbered.
@@ -40,9 +47,9 @@ def read_csv(
     Every field is read as text first, so a token such as ``NA`` in a number
     column is missing and not an error. ``row_id`` is the 0-based position in the
     files, in path order; pass a column the file already has to keep that, or None.
+    ``multi_line`` and further reader options as for :func:`read_texts`.
     """
-    paths = [path] if isinstance(path, str) else list(path)
-    raw = spark.read.options(header=True, inferSchema=False, **options).csv(paths)
+    raw = read_texts(spark, path, multi_line, **options)
     if schema is None and raw.columns:
         schema = infer_types(raw)
     if row_id is None or row_id in raw.columns:
@@ -79,7 +86,12 @@ def number_rows(raw: DataFrame, row_id: str, schema: T.StructType | None = None)
 
 
 def load_dataset(
-    spark: SparkSession, folder: str, schema: T.StructType | None = None, row_id: str | None = "row_id"
+    spark: SparkSession,
+    folder: str,
+    schema: T.StructType | None = None,
+    row_id: str | None = "row_id",
+    multi_line: bool = True,
+    **options: str,
 ) -> Dataset:
     """``train.csv``, ``test.csv`` and ``sample_submission.csv`` of a folder.
 
@@ -87,9 +99,9 @@ def load_dataset(
     two unite without loss.
     """
     if schema is None:
-        sides = [spark.read.csv(f"{folder}/{name}.csv", header=True) for name in ("train", "test")]
+        sides = [read_texts(spark, f"{folder}/{name}.csv", multi_line, **options) for name in ("train", "test")]
         schema = infer_types(sides[0].unionByName(sides[1], allowMissingColumns=True))
-    train = read_csv(spark, f"{folder}/train.csv", schema, row_id)
-    test = read_csv(spark, f"{folder}/test.csv", schema, row_id)
-    submission = read_csv(spark, f"{folder}/sample_submission.csv", None, None)
+    train = read_csv(spark, f"{folder}/train.csv", schema, row_id, multi_line, **options)
+    test = read_csv(spark, f"{folder}/test.csv", schema, row_id, multi_line, **options)
+    submission = read_csv(spark, f"{folder}/sample_submission.csv", None, None, multi_line, **options)
     return Dataset(train, test, submission)

@@ -42,9 +42,30 @@ def test_missing_that_train_never_had(toy):
     assert rows(onehot, *[c for c in onehot.columns if c.endswith("_OHE")]) == [(0, 0, 0)]
 
 
-def test_too_many_categories(toy):
-    with pytest.raises(ValueError, match="categories"):
-        OneHotEncoder(["cat"], max_categories=3).fit(toy[0]).transform(toy[0])
+def test_form_is_chosen_not_switched(spark, toy):
+    wide = spark.range(1500).selectExpr("id AS row_id", "concat('c', id) AS cat")
+    assert len(OneHotEncoder(["cat"]).fit(wide).transform(wide.limit(1)).columns) == 1502
+    made = OneHotEncoder(["cat"], form="vectors").fit(wide).transform(wide)
+    assert made.columns == ["row_id", "cat", "cat_OHE"] and made.first().cat_OHE.size == 1500
+    with pytest.raises(ValueError, match="form"):
+        OneHotEncoder(["cat"], form="wide")
+
+
+def test_nan_is_a_missing_category(spark):
+    df = spark.createDataFrame([(0, 1.0), (1, float("nan")), (2, None)], "row_id long, x double")
+    assert rows(CountEncoder(["x"]).fit(df).transform(df), "row_id", "x_CE") == [(0, 1), (1, 2), (2, 2)]
+
+
+def test_shuffles_do_not_grow_with_the_columns(spark, no_auto_broadcast):
+    df = spark.range(300).selectExpr("id AS row_id", "'train' AS split", *[f"concat('c', id % {i + 3}) AS c{i}" for i in range(6)])
+
+    def exchanges(n):
+        made = CountEncoder([f"c{i}" for i in range(n)]).fit(df).transform(df, table_bytes=0)
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert rows(made, *[f"c{i}_CE" for i in range(n)]) == rows(CountEncoder([f"c{i}" for i in range(n)]).fit(df).transform(df), *[f"c{i}_CE" for i in range(n)])
+        return plan.count("Exchange hashpartitioning")
+
+    assert exchanges(6) == exchanges(2) <= 5
 
 
 def test_save_and_load(spark, toy, tmp_path):

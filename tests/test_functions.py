@@ -50,6 +50,14 @@ def test_dates(spark):
     ]
 
 
+def test_time_of_day_counts(spark):
+    texts = ["2015-04-04 12:00:00", "2015-04-04T12:00:00", "4 Apr 2015", "April 4th, 2015 12:00", " 2015-04-04 ", "2015-04-04 12:00:00.5", "12:00", ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "i long, t string")
+    made = df.select("i", *[c.alias(n) for n, c in dates.date_parts(dates.parse_moment(F.col("t")), "d").items()]).orderBy("i").collect()
+    assert [r.d_julian for r in made[:5]] == [2457117.0, 2457117.0, 2457116.5, 2457117.0, 2457116.5]
+    assert made[5].d_julian > 2457117.0 and made[6].d_julian is None and made[7].d_julian is None
+
+
 def test_julian_of_a_moment(spark):
     df = spark.createDataFrame([(datetime.datetime(2015, 4, 4, 12, 0),)], "t timestamp_ntz")
     assert df.select(dates.julian_timestamp(F.col("t"))).first()[0] == 2457117.0

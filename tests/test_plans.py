@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from foldwright.operators.training import assemble, best_round, cross_validate, make_learner
 from foldwright.plans.config import Learner, Split, TargetEncoding
 from foldwright.plans.experiment import run
-from foldwright.plans.features import build_features, feature_table, save_counted, with_folds
+from foldwright.plans.features import FeatureTable, build_features, feature_table, with_folds
 from foldwright.plans.preprocess import STEPS, preprocess, run_steps, step
 from foldwright.plans.presets import EXPERIMENTS, SOURCE_SCHEMA, TARGETS, TEXT_COLS
 from foldwright.sources.sinks import load_features
@@ -54,12 +54,51 @@ def test_every_block_together(raw, tmp_path, spark):
         ),
         targets=("aroma",),
     )
-    table = feature_table(spec, raw)
+    table = feature_table(spec, raw, f"{tmp_path}/features")
     assert sum(c.startswith("agg_") for c in table.features) == 56
     assert "yield" in table.features and "grading_date_julian" in table.features
-    assert save_counted(table, raw, f"{tmp_path}/features") == {"source": 500, "features": 500}
-    stored = load_features(spark, f"{tmp_path}/features", "test")
-    assert stored.count() == 100 and stored.filter("fold IS NOT NULL").count() == 0
+    stored = FeatureTable.load(spark, f"{tmp_path}/features")
+    assert stored.features == table.features and stored.least == table.least
+    test = load_features(spark, f"{tmp_path}/features/table", "test")
+    assert test.count() == 100 and test.filter("fold IS NOT NULL").count() == 0
+
+
+def test_a_block_that_changes_the_rows_is_told(raw, tmp_path):
+    spec = EXPERIMENTS["exp_002"]
+    table = build_features(spec, with_folds(spec, run_steps(raw, spec.preprocess)))
+    doubled = FeatureTable(table.rows.unionByName(table.rows.limit(3)), table.features, table.targets)
+    with pytest.raises(ValueError, match="500 before, 503 after"):
+        doubled.save(f"{tmp_path}/doubled", 500)
+    assert table.save(f"{tmp_path}/whole", 500).rows.count() == 500
+
+
+def test_source_is_scanned_a_fixed_number_of_times(raw, spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    feature_table(EXPERIMENTS["exp_007"], raw.mapInArrow(count, raw.schema))
+    assert seen.value == 2 * 500  # for the groups, and for the stored copy
+
+
+def test_onehot_vectors_in_a_configured_run(raw):
+    spec = EXPERIMENTS["exp_002"].change(
+        features=("get_onehot_encoding_features", "get_quakers_features"), onehot_cols=("farm_name", "region"), onehot_form="vectors",
+        targets=("aroma",), seeds=(0,), split=Split("farm_name", 3), learner=Learner("gbt", PARAMS, None),
+    )
+    outcome = run(spec, raw)
+    named = {r.feature for r in outcome.result.importance.select("feature").distinct().collect()}
+    assert "quakers" in named and len(named) > 23
+
+
+def test_names_in_paths(signal):
+    odd = signal.withColumnRenamed("y_y", "y_a/b=c %")
+    result = cross_validate(odd, ["a", "b"], ["a/b=c %"], (0,), 3, "linear", {})
+    assert {r.target for r in result.oof.select("target").distinct().collect()} == {"a/b=c %"}
+    assert {r.target for r in result.test.select("target").distinct().collect()} == {"a/b=c %"}
 
 
 def test_configuration_errors_come_early(raw):

@@ -114,14 +114,45 @@ def test_profile_and_flip(te_toy):
     first = profile.missing_rate(te_toy).first()
     assert (first.column, first.missing_rate) == ("cat", 25.0)
     assert rows(profile.flipped(te_toy.filter("row_id = 5"), "row_id", ["cat", "fold"])) == [(5, "cat", None), (5, "fold", "1")]
-    wide = profile.transposed(te_toy.filter("row_id < 2"), "row_id", ["cat", "fold"])
-    assert rows(wide) == [("cat", "a", "a"), ("fold", "0", "0")]
-    with pytest.raises(ValueError, match="rows"):
-        profile.transposed(te_toy, "row_id", ["cat"], max_rows=3)
+    assert {r.missing_rate for r in profile.missing_rate(te_toy.limit(0)).collect()} == {None}
     top = profile.group_mean_topk(te_toy, ["cat"], "y", 2)
     assert [tuple(r) for r in top.collect()] == [("c", 7.0), ("b", 6.0)]
 
 
+def test_metric_edges(spark):
+    flat = spark.createDataFrame([(2.0, 2.0, 1.0), (2.0, 2.0, 3.0)], "y double, same double, off double")
+    both = ["r2_score", "explained_variance_score"]
+    assert {r.score for r in metrics.metric_table(flat, "y", "same", both).collect()} == {1.0}
+    assert {r.score for r in metrics.metric_table(flat, "y", "off", both).collect()} == {0.0}
+    assert [tuple(r) for r in metrics.metric_table(flat, "y", "off", ["median_absolute_error"]).collect()] == [("median_absolute_error", 1.0)]
+    with pytest.raises(ValueError, match="metric"):
+        metrics.metric_table(flat, "y", "off", [])
+
+
+def test_nan_is_missing_in_statistics(spark):
+    from foldwright.operators.group_stats import GroupStats
+
+    df = spark.createDataFrame([("a", 1.0), ("a", float("nan")), ("a", 3.0), ("b", None)], "k string, v double")
+    made = GroupStats(["k"], ["v"], ["mean", "max", "count", "median"]).statistics(df)
+    assert rows(made.drop("__n")) == [("a", 2.0, 3.0, 2, 2.0), ("b", None, None, 0, None)]
+
+
+def test_fill_lies_below_large_minima(spark):
+    df = spark.createDataFrame([(-1e17,), (None,), (float("nan"),)], "x double")
+    filled = reshape.fill_below_min(df, ["x"])
+    assert [v < -1e17 for (v,) in rows(filled)] == [True, True, False]
+
+
+def test_quoted_fields(spark, tmp_path):
+    (tmp_path / "q.csv").write_text('name,x\n"say ""hi"", ok",1\n"two\nlines",2\n')
+    got = tables.read_csv(spark, str(tmp_path / "q.csv"))
+    assert rows(got, "row_id", "name", "x") == [(0, 'say "hi", ok', 1), (1, "two\nlines", 2)]
+    for name in ("train", "test", "sample_submission"):
+        (tmp_path / f"{name}.csv").write_text('name;x\n"a;b";"7"\n')
+    data = tables.load_dataset(spark, str(tmp_path), sep=";", multi_line=False)
+    assert rows(data.train, "name", "x") == [("a;b", 7)]
+
+
 def test_metrics(spark):
     df = spark.createDataFrame([(1.0, 2.0, 3.0, 3.0), (3.0, 3.0, 5.0, 4.0), (8.0, 5.0, 1.0, 1.0)], "y1 double, p1 double, y2 double, p2 double")
     names = [*metrics.METRICS, *metrics.ORDER_METRICS]

@@ -29,6 +29,15 @@ def test_toy_test_rows(spark, te_toy):
     assert values(fitted.transform(test)) == [3.0, 6.0, 7.0, 4.0, None]
 
 
+def test_a_fold_without_the_category_takes_the_other_folds(spark, te_toy):
+    new = spark.createDataFrame([(0, "c", 0), (1, "c", 1), (2, "z", 0)], "row_id long, cat string, fold int")
+    assert values(TargetEncoder(["cat"], ["y"]).fit(te_toy).transform(new)) == [7.0, 3.0, 6.0]
+
+
+def test_weight_counts_each_train_row_once(te_toy):
+    assert TargetEncoder(["cat"], ["y"]).fit(te_toy).sizes["cat"].weight == te_toy.count()
+
+
 def test_own_fold_never_leaks(te_toy):
     before = TargetEncoder(["cat"], ["y"]).fit(te_toy).transform(te_toy)
     changed = te_toy.withColumn("y", F.when(F.col("fold") == 0, F.col("y") * 100 + 7).otherwise(F.col("y")))
