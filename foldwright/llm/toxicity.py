@@ -110,53 +110,80 @@ class Model:
         return score
 
 
+class _Sparse:
+    """A matrix as (row, column, value) triples, with the products that a fit needs."""
+
+    def __init__(self, entries: list[tuple[int, int, float]], rows: int, columns: int):
+        self.row, self.column = (np.array([e[i] for e in entries], np.int64) for i in (0, 1))
+        self.value = np.array([e[2] for e in entries], float)
+        self.rows, self.columns = rows, columns
+
+    def times(self, w: np.ndarray) -> np.ndarray:
+        return np.bincount(self.row, self.value * w[self.column], minlength=self.rows)
+
+    def back(self, r: np.ndarray) -> np.ndarray:
+        return np.bincount(self.column, self.value * r[self.row], minlength=self.columns)
+
+
+def _solve(product, right: np.ndarray) -> np.ndarray:
+    """Conjugate gradients for a positive definite matrix that is known by its products."""
+    x, rest = np.zeros_like(right), right.copy()
+    way, size = rest.copy(), rest @ rest
+    for _ in range(4 * len(right)):
+        if size <= 1e-18 * (right @ right):
+            break
+        turned = product(way)
+        step = size / (way @ turned)
+        x += step * way
+        rest -= step * turned
+        before, size = size, rest @ rest
+        way = rest + size / before * way
+    return x
+
+
 def fit_weights(rows: list[tuple[int, list[int], list[list[int]]]], places: list[int], ridge: float, counterfactual: float) -> Model:
-    """Newton's method on the logistic loss with both penalties.
+    """Newton's method on the logistic loss with both penalties, all matrices sparse.
 
     ``rows``: label, inputs of the text, and for each swapped form its inputs.
     """
     number = {p: i for i, p in enumerate(places)}
-    n = len(places)
+    n, m = len(places), len(rows)
     y = np.array([r[0] for r in rows], float)
-    x = np.zeros((len(rows), n + 1), np.float32)
-    x[:, n] = 1
-    changes = []
-    for i, (_, own, swapped) in enumerate(rows):
-        x[i, [number[p] for p in own]] = 1
+    inputs = [(i, number[p], 1.0) for i, r in enumerate(rows) for p in r[1]] + [(i, n, 1.0) for i in range(m)]
+    changes, pairs = [], 0
+    for _, own, swapped in rows:
         for other in swapped:
             if set(other) != set(own):
-                change = np.zeros(n + 1, np.float32)
-                change[[number[p] for p in other]] += 1
-                change[[number[p] for p in own]] -= 1
-                changes.append(change / np.sqrt(len(swapped)))
-    weights = np.zeros(n + 1)
-    # the bias begins at the share of the label, with one row more of each
-    weights[n] = np.log((y.sum() + 1) / (len(y) - y.sum() + 1))
-    if n and len(rows):
-        penalty = np.eye(n + 1) * ridge * len(rows)
-        penalty[n, n] = 1e-6 * len(rows)
-        if changes:
-            d = np.array(changes, float)
-            penalty += 2 * counterfactual * d.T @ d
-        bias = np.zeros(n + 1)
-        bias[n] = weights[n]
-
-        def loss(w: np.ndarray) -> float:
-            z = x @ w
-            return float(np.logaddexp(0, z).sum() - y @ z + 0.5 * (w - bias) @ penalty @ (w - bias))
-
-        now = loss(weights)
-        for _ in range(50):
-            p = 1 / (1 + np.exp(-np.clip(x @ weights, -500, 500)))
-            gradient = x.T @ (p - y) + penalty @ (weights - bias)
-            curve = (x * (p * (1 - p))[:, None].astype(np.float32)).T @ x + penalty
-            step, size = np.linalg.solve(curve, gradient), 1.0
-            while size > 1e-6 and loss(weights - size * step) > now:
-                size /= 2
-            weights = weights - size * step
-            before, now = now, loss(weights)
-            if before - now < 1e-9 * max(1.0, before):
-                break
+                share = 1 / np.sqrt(len(swapped))
+                changes += [(pairs, number[p], share) for p in set(other) - set(own)]
+                changes += [(pairs, number[p], -share) for p in set(own) - set(other)]
+                pairs += 1
+    x, d = _Sparse(inputs, m, n + 1), _Sparse(changes, pairs, n + 1)
+    # the bias begins at the share of the label, with one row more of each, and is hardly held
+    begin = np.zeros(n + 1)
+    begin[n] = np.log((y.sum() + 1) / (m - y.sum() + 1))
+    held = np.full(n + 1, ridge * m)
+    held[n] = 1e-6 * m
+
+    def penalty(w: np.ndarray) -> np.ndarray:
+        return held * w + 2 * counterfactual * d.back(d.times(w))
+
+    def loss(w: np.ndarray) -> float:
+        z = x.times(w)
+        return float(np.logaddexp(0, z).sum() - y @ z + 0.5 * (w - begin) @ penalty(w - begin))
+
+    weights = begin.copy()
+    now = loss(weights)
+    for _ in range(50 if n and m else 0):
+        p = 1 / (1 + np.exp(-np.clip(x.times(weights), -500, 500)))
+        gradient, slope = x.back(p - y) + penalty(weights - begin), p * (1 - p)
+        step, size = _solve(lambda v: x.back(slope * x.times(v)) + penalty(v), gradient), 1.0
+        while size > 1e-6 and loss(weights - size * step) > now:
+            size /= 2
+        weights = weights - size * step
+        before, now = now, loss(weights)
+        if before - now < 1e-9 * max(1.0, before):
+            break
     return Model(float(weights[n]), {p: float(weights[i]) for i, p in enumerate(places)})
 
 
