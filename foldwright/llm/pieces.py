@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
+import weakref
 from array import array
 from functools import lru_cache
 
@@ -24,13 +25,15 @@ WORD_LEVEL = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\
 #: texts that hold one (or a capital sigma, whose lower case depends on its place) go to the library whole.
 UNUSUAL = re.compile(r"[^\x00-\u03a2\u03a4-\u0557\u2000-\u206f\u3040-\u30ff\u4e00-\u9fa5\uac00-\ud7a3]")
 
-#: White space that does not stand alone, or is neither a space nor a line break: there the cuts depend on more than a word.
-LOOSE = re.compile(r"\s\s|[^\S \n]")
+#: White space that does not stand alone: there the cuts depend on more than a word.
+DOUBLED = ("  ", " \n", "\n ", "\n\n")
+#: Marks that are a piece of their own after a word of letters.
+MARKS = frozenset(",.;:!?")
 #: Characters that only Python takes for white space.
 SEPARATORS = re.compile(r"[\x1c-\x1f]")
 
-#: Words that a worker remembers, and the longest one worth remembering.
-REMEMBERED, LONGEST = 900_000, 48
+#: Words that a worker remembers in all, and the longest one worth remembering.
+REMEMBERED, LONGEST = 700_000, 48
 
 
 def usual(text: str) -> bool:
@@ -48,18 +51,35 @@ def byte_letters() -> list[str]:
     return [letters[b] for b in range(256)]
 
 
+def loose(text: str) -> bool:
+    """Doubled white space, or any but spaces and line breaks (which no printable text has)."""
+    return any(d in text for d in DOUBLED) or not text.replace("\n", "").isprintable()
+
+
 class Memory(dict):
-    """word -> value, for words of any number: it starts anew when it is full."""
+    """word -> value, for words of any number.
+
+    All memories of a worker together hold at most ``REMEMBERED`` words, so one
+    worker can go through several operators: when they are full, all start anew.
+    """
+
+    _held: list[weakref.ref] = []
+    _words = 0
 
     def __init__(self, value):
         super().__init__()
         self.value = value
+        Memory._held = [m for m in Memory._held if m()] + [weakref.ref(self)]
 
     def __missing__(self, word):
         found = self.value(word)
         if len(word) <= LONGEST:
-            if len(self) >= REMEMBERED:
-                self.clear()
+            if Memory._words >= REMEMBERED:
+                for memory in Memory._held:
+                    if (held := memory()) is not None:
+                        held.clear()
+                Memory._words = 0
+            Memory._words += 1
             self[word] = found
         return found
 
@@ -72,18 +92,25 @@ class ByteWords:
 
     def __init__(self, tokenizer: Tokenizer, piece, total):
         self.cut, self.total = tokenizer.pre_tokenizer, total
-        self.piece = Memory(piece).__getitem__
+        self.new, self.piece = piece, Memory(piece).__getitem__
         self.first = Memory(self.plain)
-        self.later = Memory(lambda word: self.plain(" " + word))
+        self.later = Memory(self._after_space)
         self.line_break = total([piece("\n")])
 
+    def _after_space(self, word: str):
+        if word.isalpha():
+            return self.total([self.new(" " + word)])
+        if word[-1:] in MARKS and word[:-1].isalpha():
+            return self.total([self.later[word[:-1]], self.first[word[-1]]])
+        return self.plain(" " + word)
+
     def plain(self, text: str):
         return self.total(map(self.piece, BYTE_LEVEL.findall(text)))
 
     def __call__(self, text: str):
         if not usual(text):
             return self.total([self.piece(text[a:b]) for _, (a, b) in self.cut.pre_tokenize_str(text)])
-        if LOOSE.search(text):
+        if loose(text):
             return self.plain(text)
         values = []
         for line in text.split("\n"):
@@ -113,10 +140,13 @@ class Encoder:
         self.words = None
         if not normal and cut.get("type") == "ByteLevel" and cut["use_regex"] and not cut["add_prefix_space"]:
             self.words = ByteWords(self.library, self._piece, b"".join)
-        known = Memory(self._piece)
-        self.lower = Memory(lambda word: b"".join(map(known.__getitem__, WORD_LEVEL.findall(word))))
+        self.lower = Memory(self._lower_word)
         self.lowers = steps == ["NFC", "Replace", "Lowercase"] and patterns == [WORD_LEVEL.pattern]
 
+    def _lower_word(self, word: str) -> bytes:
+        pieces = [word] if word.isalpha() else WORD_LEVEL.findall(word)
+        return self._piece(word) if pieces == [word] else b"".join(map(self.lower.__getitem__, pieces))
+
     def _piece(self, piece: str) -> bytes:
         letters = piece.encode().decode("latin-1").translate(self.letters)
         return array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()

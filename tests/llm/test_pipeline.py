@@ -37,11 +37,14 @@ def test_columns(steps):
 
 
 def test_toxicity_keeps_clean_rows_as_they_are(spark, steps):
-    before, after = rows(steps[0]), rows(steps[1])
+    assert set(rows(steps[1])) <= set(rows(steps[0]))
+    larger = "/root/testdata/sf0.01"  # with labels enough to learn from
+    docs = spark.read.parquet(f"{larger}/documents.parquet")
+    before, after = rows(docs), rows(corpus_pipeline.STAGES[0][1](spark, docs, larger))
     assert set(after) < set(before)
-    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{larger}/labels.parquet").collect()}
     gone = {r[0] for r in before} - {r[0] for r in after}
-    assert gone and all(labels.get(d, 1) for d in gone)
+    assert sum(labels.get(d, 0) for d in gone) > 20 and not any(labels.get(d) == 0 for d in gone)
 
 
 def test_near_duplicates(steps):

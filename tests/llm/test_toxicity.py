@@ -1,5 +1,6 @@
 """The classifier on made-up labelled texts."""
 
+import math
 import random
 import zlib
 
@@ -56,8 +57,13 @@ def test_held_out_texts(tables):
 def test_a_neutral_mention_moves_no_score(tables):
     docs, labels = tables
     plain, held = (fit(docs, training_labels(labels), counterfactual=c) for c in (0.0, 100.0))
-    change = [m.scorer()("a walk with women by the sea") - m.scorer()("a walk with people by the sea") for m in (plain, held)]
-    assert change[0] > 0.02 and abs(change[1]) < change[0] / 5
+
+    def logit(model, text):
+        p = model.scorer()(text)
+        return math.log(p / (1 - p))
+
+    change = [logit(m, "a walk with women by the sea") - logit(m, "a walk with people by the sea") for m in (plain, held)]
+    assert change[0] > 0.5 and abs(change[1]) < change[0] / 5
     assert held.scorer()("zzfool zzrat of women") > 0.7
 
 
