@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .pieces import Memory
+
 #: Rows that a task turns into Python objects at once.
 ROWS_AT_ONCE = 2048
 
@@ -25,9 +27,18 @@ def arrow_schema(spark: SparkSession, ddl: str) -> pa.Schema:
 
 
 def pieces_of(batches: Iterable[pa.RecordBatch], rows: int = ROWS_AT_ONCE) -> Iterator[pa.RecordBatch]:
+    """The batches in small slices. Memory that Arrow no longer uses is given back after each whole one."""
     for batch in batches:
         for start in range(0, batch.num_rows, rows):
             yield batch.slice(start, rows)
+        del batch
+        pa.default_memory_pool().release_unused()
+
+
+def begin_task(operator: str) -> None:
+    """A worker serves one operator after the other: give back what the one before has kept."""
+    Memory.use_for(operator)
+    pa.default_memory_pool().release_unused()
 
 
 def map_rows(df: DataFrame, function: Callable[[pa.RecordBatch], list], ddl: str, rows: int = ROWS_AT_ONCE) -> DataFrame:
@@ -35,6 +46,7 @@ def map_rows(df: DataFrame, function: Callable[[pa.RecordBatch], list], ddl: str
     schema = arrow_schema(df.sparkSession, ddl)
 
     def run(batches):
+        begin_task(function.__module__)
         for batch in pieces_of(batches, rows):
             columns = function(batch)
             yield pa.record_batch([pa.array(c, t.type) for c, t in zip(columns, schema)], schema=schema)

@@ -26,7 +26,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .batches import arrow_schema, pieces_of
+from .batches import arrow_schema, begin_task, pieces_of
 from .pieces import Memory
 
 SHINGLE, SIMILARITY = 5, 0.8
@@ -239,6 +239,7 @@ def find_contaminated(
     for part in indexes(benchmark, shingle, similarity, radius, blocks, item_key, item_text):
 
         def run(batches, part=part):
+            begin_task(__name__)
             for batch in pieces_of(batches, 256):
                 keys, texts = (c.to_pylist() for c in batch.columns)
                 out = [(k, *m) for k, matches in zip(keys, part.value.texts(texts)) for m in matches]
@@ -257,6 +258,7 @@ def decontaminated(
     for part in indexes(benchmark, shingle, similarity, radius, blocks, item_key, item_text):
 
         def run(batches, part=part):
+            begin_task(__name__)
             for batch in pieces_of(batches, 256):
                 texts = [t or "" for t in batch.column(text).to_pylist()]
                 yield batch.filter(pa.array([not m for m in part.value.texts(texts)], pa.bool_()))

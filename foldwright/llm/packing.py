@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from foldwright.workspace import materialise
 
-from .batches import arrow_schema, map_rows, pieces_of, task_number, text_rows
+from .batches import arrow_schema, begin_task, map_rows, pieces_of, task_number, text_rows
 from .pieces import encoder
 
 PIECES = "doc_id long, piece long, start long, length long, ids_crc32 long, part long, nth long"
@@ -126,6 +126,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, ke
     def run(batches):
         import pyarrow as pa
 
+        begin_task(__name__)
         encode, seen, part = encoder(tokenizer), Counter(), task_number()
         for batch in pieces_of(batches):
             rows = []

@@ -65,6 +65,7 @@ class Memory(dict):
 
     _held: list[weakref.ref] = []
     _words = 0
+    _user = ""
 
     def __init__(self, value):
         super().__init__()
@@ -75,14 +76,25 @@ class Memory(dict):
         found = self.value(word)
         if len(word) <= LONGEST:
             if Memory._words >= REMEMBERED:
-                for memory in Memory._held:
-                    if (held := memory()) is not None:
-                        held.clear()
-                Memory._words = 0
+                Memory.forget()
             Memory._words += 1
             self[word] = found
         return found
 
+    @staticmethod
+    def forget() -> None:
+        for memory in Memory._held:
+            if (held := memory()) is not None:
+                held.clear()
+        Memory._words = 0
+
+    @staticmethod
+    def use_for(operator: str) -> None:
+        """Forget what another operator's tasks in this worker have remembered."""
+        if Memory._user != operator:
+            Memory.forget()
+            Memory._user = operator
+
 
 class ByteWords:
     """Values of the words of a text for a byte-level file: ``piece`` gives that of a piece, ``total`` adds them up.

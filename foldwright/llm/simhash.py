@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from foldwright.workspace import materialise
 
-from .batches import arrow_schema, map_rows, text_rows
+from .batches import arrow_schema, begin_task, map_rows, text_rows
 from .components import components
 
 BITS, SEED = 64, 42
@@ -142,6 +142,7 @@ def links(points: DataFrame, radius: int) -> DataFrame:
     schema = arrow_schema(points.sparkSession, "a long, b long")
 
     def run(batches):
+        begin_task(__name__)
         held: list[np.ndarray] = []  # of the bucket that may go on in the next batch
         bucket = None
 

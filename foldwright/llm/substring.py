@@ -25,10 +25,10 @@ from pyspark.sql import types as T
 
 from foldwright.workspace import materialise
 
-from .batches import arrow_schema, pieces_of, task_number
+from .batches import arrow_schema, begin_task, pieces_of, task_number
 
 #: Text of a block, in bytes; entries that a bucket should hold; length of the first windows, in words.
-BLOCK_BYTES, BUCKET_ENTRIES, FIRST_WORDS = 4 << 20, 1 << 20, 7
+BLOCK_BYTES, BUCKET_ENTRIES, FIRST_WORDS = 2 << 20, 1 << 20, 7
 #: Bytes of a fingerprint below its bucket at the shorter lengths.
 SHORT_BYTES = 5
 
@@ -172,6 +172,7 @@ def _to_blocks(docs: DataFrame, text: str) -> DataFrame:
     schema = arrow_schema(docs.sparkSession, BLOCKS)
 
     def run(batches):
+        begin_task(__name__)
         task, number, held, size = task_number(), 0, [], 0
 
         def close():
@@ -236,6 +237,7 @@ def dedup_substrings(docs: DataFrame, words: int = 13, first_words: int = FIRST_
 
     def send(level: int):
         def run(batches):
+            begin_task(__name__)
             for batch in pieces_of(batches, 1):
                 row = batch.to_pylist()[0]
                 block, told = read(row)
@@ -269,6 +271,7 @@ def dedup_substrings(docs: DataFrame, words: int = 13, first_words: int = FIRST_
     names = [f.name for f in docs.schema.fields if f.name != text]
 
     def cut(batches):
+        begin_task(__name__)
         for batch in pieces_of(batches, 1):
             block, told = read(batch.to_pylist()[0])
             for level in range(len(lengths)):

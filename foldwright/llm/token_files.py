@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from foldwright.workspace import fresh_path
 
-from .batches import arrow_schema, pieces_of, task_number, text_rows
+from .batches import arrow_schema, begin_task, pieces_of, task_number, text_rows
 from .pieces import encoder
 from .repair import Shard, pack_shard
 
@@ -39,6 +39,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int, k
     schema = arrow_schema(docs.sparkSession, SHARDS)
 
     def run(batches):
+        begin_task(__name__)
         encode, part, shard = encoder(tokenizer), task_number(), 0
         end = np.array([end_id], "<u4").tobytes()
         keys, ids, n = [], [], 0
@@ -84,6 +85,7 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     schema = arrow_schema(spark, DOCUMENTS)
 
     def decode(batches):
+        begin_task(__name__)
         for batch in pieces_of(batches, 1):
             part, number, _, keys, data = (batch.column(i)[0].as_py() for i in range(5))
             shard = Shard(data)

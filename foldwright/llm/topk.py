@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from foldwright.workspace import materialise
 
-from .batches import arrow_schema, pieces_of
+from .batches import arrow_schema, begin_task, pieces_of
 
 #: Rows that pivots and rings are chosen on; pivots; rings of each; vectors in a part of a ring.
 SAMPLE_ROWS, PIVOTS, RINGS, PART = 4096, 16, 8, 4096
@@ -124,6 +124,7 @@ def _search(rows: DataFrame, k: int, width: int) -> DataFrame:
 
     def run(batches):
         place, ids, vectors, block = None, [], [], None
+        begin_task(__name__)
         for batch in pieces_of(batches, 4096):
             ring, part, kind, own, vector, least = (batch.column(i) for i in range(6))
             marks = np.stack([c.to_numpy() for c in (ring, part, kind)], 1)

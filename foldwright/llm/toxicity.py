@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from foldwright.workspace import materialise
 
-from .batches import arrow_schema, map_rows, pieces_of, text_rows
+from .batches import arrow_schema, begin_task, map_rows, pieces_of, text_rows
 from .pieces import Memory
 
 # Identity terms by kind; the last of each kind is its neutral word.
@@ -220,6 +220,7 @@ def fit(
     counts = arrow_schema(spark, "place long, a long, b long")
 
     def count(batches):
+        begin_task(__name__)
         seen = np.zeros((2, PLACES), np.int64)
         for batch in pieces_of(batches):
             for value, words in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -239,6 +240,7 @@ def fit(
     kept = arrow_schema(spark, "label long, own array<long>, swapped binary")
 
     def reduce(batches):
+        begin_task(__name__)
         for batch in pieces_of(batches):
             out = []
             for value, words in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -275,6 +277,7 @@ def drop_toxic(docs: DataFrame, model: Model, text: str = "text", threshold: flo
     """The rows of ``docs`` that score below ``threshold``, all columns as they are."""
 
     def run(batches):
+        begin_task(__name__)
         scored = _scorer(model)
         for batch in pieces_of(batches):
             yield batch.filter(pa.array([scored(t or "") < threshold for t in batch.column(text).to_pylist()], pa.bool_()))
