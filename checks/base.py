@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foldwright.operators.folds import GroupFolds, group_kfold
-from foldwright.plans.presets import TARGETS, TEXT_COLS
+from foldwright.plans.presets import TARGETS
 
 from .registry import table
 
@@ -136,4 +136,3 @@ def raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 RAW_CTE = f"raw AS (SELECT {', '.join(raw_columns('duck'))}, CAST(o_orderdate AS DATE) AS d1, " \
     "CAST(o_orderdate + INTERVAL '365' DAY AS DATE) AS d2 FROM orders JOIN customer ON o_custkey = c_custkey)"
 HARVEST_SQL = "CASE harvest_year WHEN '2012' THEN 2012 WHEN '2013/2014' THEN 2013 WHEN '4T/10' THEN 2010 WHEN 'March 2010' THEN 2010 END"
-RAW_TEXT_COLS = TEXT_COLS

@@ -10,7 +10,8 @@ from foldwright.operators import importance as imp
 from foldwright.operators import metrics, profile, quantiles, reshape
 from foldwright.operators.encoders import CountEncoder
 from foldwright.operators.group_stats import GroupStats
-from foldwright.plans.preprocess import crossed_numbers, date_features as date_columns, defect_features
+from foldwright.plans.preprocess import crossed_numbers, defect_features
+from foldwright.plans.preprocess import date_features as date_columns
 from foldwright.sources import missing, sinks, tables
 from foldwright.workspace import fresh_path
 
@@ -494,6 +495,17 @@ def letter_values(spark, sf_dir):
     return made.withColumn("value", F.round("value", 4))
 
 
+@query(
+    "quantiles_ranged",
+    f"WITH {BASE_CTE} SELECT seg, count(*) AS n, round(quantile_cont(y1, 0.25), 4) AS low, round(quantile_cont(y1, 0.5), 4) AS middle, "
+    "round(quantile_cont(y1, 0.9), 4) AS high FROM base WHERE split = 'train' GROUP BY seg",
+)
+def quantiles_ranged(spark, sf_dir):
+    """Running totals over ranges of a few hundred values, totals joined by shuffle."""
+    made = quantiles.quantiles(train(base(spark, sf_dir)), ["y1"], [0.25, 0.5, 0.9], ["seg"], rows_per_task=300, table_bytes=0)
+    return made.select("seg", "n", *[F.round(f"q_{i}", 4).alias(a) for i, a in enumerate(("low", "middle", "high"))])
+
+
 # --- metrics -----------------------------------------------------------------------------
 
 

@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.numeric import present
-from ..workspace import materialise
 from .lookup import (
     CHAIN,
     TABLE_BYTES,
@@ -189,7 +188,7 @@ class OrdinalEncoder:
         seen, sizes = store_by(first, "first-seen", "feature", "n")
         rows = sum(s.rows for s in sizes.values())
         ranked = running_total(seen, ["feature"], ["first_row"], None, "code", rows, self.rows_per_task)
-        table = materialise(ranked, "ordinal-encoder", ("feature",))
+        table, _ = store_by(ranked, "ordinal-encoder", "feature", "n")
         return FittedOrdinal(tuple(encoded), tuple(passthrough), self.cols, table, _complete(sizes, encoded))
 
 

@@ -24,6 +24,7 @@ TABLE_BYTES = 64 << 20      # one broadcast table
 TOTAL_BYTES = 256 << 20     # all broadcast tables of one transform
 HOT_FRACTION = 1e-3         # a key with this share of the fitted rows is hot
 SALTS = 1024
+FILES = 64                  # of one feature in a stored table
 CHAIN = 6                   # joins between two row counts
 
 INTERNAL = "__k"
@@ -77,8 +78,13 @@ def store(df: DataFrame, name: str, weight: str | None = None) -> tuple[DataFram
 
 
 def store_by(df: DataFrame, name: str, key: str, weight: str) -> tuple[DataFrame, dict[str, TableSize]]:
-    """Write ``df`` partitioned by ``key`` (feature names), with the size per value."""
-    table = materialise(df, name, (key,))
+    """Write ``df`` partitioned by ``key`` (feature names), with the size per value.
+
+    The rows of a feature go to at most ``FILES`` tasks first, so it has no more
+    files than that, however many tasks made the rows.
+    """
+    spread = F.pmod(F.xxhash64(*[c for c in df.columns if c != key]), F.lit(FILES))
+    table = materialise(df.repartition(F.col(key), spread), name, (key,))
     return table, measure_by(table, key, weight)
 
 

@@ -23,6 +23,7 @@ from .encoders import category, unpivot_categories
 from .folds import hash_fold
 from .lookup import (
     CHAIN,
+    FILES,
     TABLE_BYTES,
     TOTAL_BYTES,
     TableSize,
@@ -191,7 +192,8 @@ class TargetEncoder:
     def fit(self, train: DataFrame) -> FittedTarget:
         features = (*self.cols, *[interaction_name(i) for i in self.interactions])
         encodings = self._encodings(self._sums(train, features))
-        table = materialise(encodings, "target-encoder", ("feature",))
+        spread = F.pmod(F.xxhash64("category"), F.lit(FILES))
+        table = materialise(encodings.repartition("feature", spread), "target-encoder", ("feature",))
         # one row per feature; the prior has one entry per fold
         prior = F.first(F.when(F.col("feature") == PRIOR, F.col("te")), ignorenulls=True)
         told = {

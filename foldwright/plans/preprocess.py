@@ -37,6 +37,9 @@ def date_features(df: DataFrame, source: str) -> DataFrame:
     return df.withColumns(dates.date_parts(dates.parse_moment(F.col(source)), source))
 
 
+# The names by which configurations list the steps.
+
+
 @step("uniform_bag_weight")
 def _bag_weight(df: DataFrame) -> DataFrame:
     return weight_in_grams(df)

@@ -92,7 +92,7 @@ SOURCE_SCHEMA = T.StructType(
     + [T.StructField(c, T.DoubleType()) for c in TARGETS]
 )
 
-# Named projections: the feature columns of each plain block.
+# The names that configurations use, and the columns of each plain block.
 PROJECTIONS: dict[str, tuple[str, ...]] = {
     "get_altitude_features": ("altitude_low_meters", "altitude_high_meters", "altitude_mean_meters"),
     "get_numberof_bags_feature": ("numberof_bags",),
