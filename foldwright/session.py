@@ -18,6 +18,13 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
+#: Rows and bytes that go to a Python worker at once. Long texts make Spark's default batches tens of
+#: megabytes, held several times over by the executor and the worker.
+BATCHES = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1024",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
+}
+
 
 def local_session(cpus: int | str = "*", app: str = "foldwright", **extra: str) -> SparkSession:
     """A single-JVM session for tests and the bench; clusters bring their own."""
@@ -42,7 +49,10 @@ def set_up(spark: SparkSession) -> None:
     Executors get this package if they cannot import it by themselves, and a
     local session without ``spark.checkpoint.dir`` gets a folder of this machine.
     Elsewhere the setting is required, and the library says so when it is missing.
+    Batches for Python workers are kept small.
     """
+    for key, value in BATCHES.items():
+        spark.conf.set(key, value)
     context = spark.sparkContext
     if context.master.startswith("local[") or context.master == "local":
         if not shared_dir_setting(spark):
