@@ -33,7 +33,7 @@ MARKS = frozenset(",.;:!?")
 SEPARATORS = re.compile(r"[\x1c-\x1f]")
 
 #: Words that a worker remembers in all, and the longest one worth remembering.
-REMEMBERED, LONGEST = 700_000, 48
+REMEMBERED, LONGEST = 400_000, 48
 
 
 def usual(text: str) -> bool:
