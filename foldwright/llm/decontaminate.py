@@ -27,7 +27,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .batches import arrow_schema, begin_task, pieces_of
-from .pieces import Memory
 
 SHINGLE, SIMILARITY = 5, 0.8
 #: Bits in which the fingerprints of texts alike enough may differ (about ten do at the limit, three more are one
@@ -42,17 +41,29 @@ _MIX = np.uint64(0x9E3779B97F4A7C15)
 _SCREEN_BITS = 22
 
 
+class _Plain(dict):
+    """For ``str.translate``: drops all characters but letters, digits and white space."""
+
+    def __missing__(self, code: int) -> int | None:
+        self[code] = code if chr(code).isalnum() or chr(code).isspace() else None
+        return self[code]
+
+
+_PLAIN = _Plain()
+
+
 def plain_word(token: str) -> str:
     """Letters and digits alone, in one case; empty if there are none."""
-    return "".join(c for c in token.casefold() if c.isalnum())
+    return token.casefold().translate(_PLAIN)
 
 
-def _word_hash(token: str) -> int:
-    word = plain_word(token)
-    return xxhash.xxh3_64_intdigest(word) | 1 if word else 0
+def plain_words(text: str) -> list[str]:
+    """``plain_word`` of everything between white space, without the empty ones."""
+    return text.casefold().translate(_PLAIN).split()
 
 
-_HASHES = Memory(_word_hash)
+def _hashes(words: list[str]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
 def _shingles(words: np.ndarray, size: int) -> np.ndarray:
@@ -81,11 +92,11 @@ class Index:
         self.shingle, self.similarity, self.radius, self.blocks = shingle, similarity, radius, blocks
         self.ids, self.words, self.bags, prints, lengths, hashes = [], [], [], [], [], {}
         for item, text in items:
-            words = [w for t in (text or "").split() if (w := plain_word(t))]
+            words = plain_words(text or "")
             if not words:
                 continue
             size = min(shingle, len(words))
-            own = _shingles(np.array([xxhash.xxh3_64_intdigest(w) | 1 for w in words], np.uint64), size)
+            own = _shingles(_hashes(words), size)
             hashes.setdefault(size, []).append(own)
             self.ids.append(item)
             self.bags.append(bag(words, size))
@@ -178,7 +189,7 @@ class Index:
             prints = _fingerprint(votes[place + shingles] - votes[place], shingles)
             for window, item in zip(*(x.tolist() for x in self.near(length, prints))):
                 if plain is None:
-                    plain = [w for t in text.split() if (w := plain_word(t))]
+                    plain = plain_words(text)
                 a, n = int(start[window]), int(length[window])
                 value = similarity(bag(plain[a : a + n], size), self.bags[item])
                 if value >= self.similarity and (item not in found or (-value, a) < (-found[item][0], found[item][1])):
@@ -189,9 +200,7 @@ class Index:
         """``document`` for each text; those without hits cost their hashes alone."""
         out = []
         for text in texts:
-            tokens = text.split()
-            words = np.fromiter(map(_HASHES.__getitem__, tokens), np.uint64, len(tokens))
-            words = words[words != 0]
+            words = _hashes(plain_words(text))
             hits = {size: hit for size in self.shingles if (hit := self.hits(words, size)).any()}
             out.append(self.document(text, words, hits) if hits else [])
         return out

@@ -15,7 +15,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foldwright.workspace import materialise
@@ -204,8 +204,12 @@ def keep_one(docs: DataFrame, words: int = 4, radius: int = 4, key: str = "doc_i
     chosen = found.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("unnamed")).agg(
         F.min(F.when(F.col("doc_id").eqNullSafe(F.col("component_id")), F.col("tie"))).alias("tie")
     )
-    chosen = chosen.select(F.col("component_id").alias("_kept_id"), F.col("tie").alias("_kept_tie"))
-    tie = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
-    left = docs.withColumn("_tie", tie)
-    kept = left.join(chosen, (left["_tie"] == chosen["_kept_tie"]) & left[key].cast("long").eqNullSafe(chosen["_kept_id"]), "left_semi")
-    return kept.dropDuplicates([key, "_tie"]).select(*docs.columns)
+    # keys that are never null, so that the join and the last step deal the texts out once
+
+    def named(column: str) -> Column:
+        return F.coalesce(F.col(column).cast("long").cast("string"), F.lit("")).alias("_kept_id")
+
+    chosen = chosen.select(named("component_id"), F.col("tie").alias("_kept_tie"))
+    tied = docs.select("*", named(key), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("_kept_tie"))
+    both = ["_kept_id", "_kept_tie"]
+    return tied.join(chosen, both, "left_semi").dropDuplicates(both).select(*docs.columns)
