@@ -33,7 +33,7 @@ MARKS = frozenset(",.;:!?")
 SEPARATORS = re.compile(r"[\x1c-\x1f]")
 
 #: Words that a worker remembers in all, and the longest one worth remembering.
-REMEMBERED, LONGEST = 400_000, 48
+REMEMBERED, LONGEST = 1_000_000, 48
 
 
 def usual(text: str) -> bool:
@@ -70,7 +70,7 @@ class Memory(dict):
     def __init__(self, value):
         super().__init__()
         self.value = value
-        Memory._held = [m for m in Memory._held if m()] + [weakref.ref(self)]
+        Memory._held = [m for m in Memory._held if m() is not None] + [weakref.ref(self)]
 
     def __missing__(self, word):
         found = self.value(word)

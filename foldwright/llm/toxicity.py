@@ -70,7 +70,6 @@ def features(token: str) -> tuple[int, ...]:
     return tuple({xxhash.xxh3_64_intdigest(n) % PLACES for n in names})
 
 
-_FEATURES = Memory(features)
 _SWAPS = {term: [t for t in kind if t != term] for kind in IDENTITY_TERMS for term in kind}
 
 
@@ -79,7 +78,7 @@ def tokens_of(text: str) -> set[str]:
 
 
 def places_of(tokens: set[str]) -> set[int]:
-    return {p for places in map(_FEATURES.__getitem__, tokens) for p in places}
+    return {p for places in map(features, tokens) for p in places}
 
 
 def counterfactuals(tokens: set[str], swaps: dict[str, list[str]] | None = None) -> list[set[str]]:

@@ -13,7 +13,7 @@ from tokenizers import Tokenizer
 
 from foldwright.llm import repair
 from foldwright.llm.packing import cut, pack, plan
-from foldwright.llm.pieces import encoder
+from foldwright.llm.pieces import Memory, encoder
 from foldwright.llm.token_counts import count_tokens, counter
 from foldwright.llm.token_files import token_files
 
@@ -53,6 +53,16 @@ def docs(spark):
     return spark.createDataFrame(rows, "doc_id long, text string, n_tokens string, part long")
 
 
+def test_memories_share_one_bound(monkeypatch):
+    monkeypatch.setattr("foldwright.llm.pieces.REMEMBERED", 50)
+    first, second = Memory(len), Memory(str.upper)
+    for i in range(200):
+        assert first[f"a{i}"] == len(f"a{i}") and second[f"b{i}"] == f"B{i}"
+        assert len(first) + len(second) <= 50
+    Memory.use_for("another operator")
+    assert not first and not second and first["x" * 100] == 100 and not first
+
+
 def empty(docs):
     return docs.limit(0)
 
