@@ -52,13 +52,8 @@ class _Plain(dict):
 _PLAIN = _Plain()
 
 
-def plain_word(token: str) -> str:
-    """Letters and digits alone, in one case; empty if there are none."""
-    return token.casefold().translate(_PLAIN)
-
-
 def plain_words(text: str) -> list[str]:
-    """``plain_word`` of everything between white space, without the empty ones."""
+    """What lies between white space, in one case and with letters and digits alone; nothing where none are left."""
     return text.casefold().translate(_PLAIN).split()
 
 
@@ -90,7 +85,7 @@ class Index:
 
     def __init__(self, items: list[tuple[int | None, str]], shingle: int, similarity: float, radius: int, blocks: int):
         self.shingle, self.similarity, self.radius, self.blocks = shingle, similarity, radius, blocks
-        self.ids, self.words, self.bags, prints, lengths, hashes = [], [], [], [], [], {}
+        self.ids, self.bags, prints, lengths, hashes = [], [], [], [], {}
         for item, text in items:
             words = plain_words(text or "")
             if not words:
