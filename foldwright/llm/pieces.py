@@ -30,7 +30,7 @@ DOUBLED = ("  ", " \n", "\n ", "\n\n")
 #: Marks that are a piece of their own after a word of letters.
 MARKS = frozenset(",.;:!?")
 #: Characters that only Python takes for white space.
-SEPARATORS = re.compile(r"[\x1c-\x1f]")
+SEPARATORS = "\x1c\x1d\x1e\x1f"
 
 #: Words that a worker remembers in all, and the longest one worth remembering.
 REMEMBERED, LONGEST = 1_000_000, 48
@@ -160,14 +160,15 @@ class Encoder:
         return self._piece(word) if pieces == [word] else b"".join(map(self.lower.__getitem__, pieces))
 
     def _piece(self, piece: str) -> bytes:
-        letters = piece.encode().decode("latin-1").translate(self.letters)
+        # plain letters stand for themselves
+        letters = piece if piece.isascii() and piece.isalpha() else piece.encode().decode("latin-1").translate(self.letters)
         return array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
 
     def __call__(self, text: str) -> bytes:
         if not any(s in text for s in self.special):
             if self.words:
                 return self.words(text)
-            if self.lowers and usual(text) and not SEPARATORS.search(text):
+            if self.lowers and usual(text) and not any(c in text for c in SEPARATORS):
                 if not text.isascii():
                     text = unicodedata.normalize("NFC", text)
                 return b"".join(map(self.lower.__getitem__, text.lower().split()))
