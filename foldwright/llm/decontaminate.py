@@ -1,6 +1,7 @@
 """Documents that hold benchmark items, by SimHash of item-sized windows.
 
-A window has as many words as the item it is held against. Its SimHash is
+A window has as many words as the item it is held against; a document that is
+shorter than the item is one window, whole. The window's SimHash is
 looked up in a multi-index: the fingerprint is cut into blocks, and two
 fingerprints within ``radius`` bits are within ``radius // blocks`` in at least
 one of them, so the items filed under all such block values hold every
@@ -9,8 +10,9 @@ similarity of the two multisets of shingles: shared over all, each shingle
 weighted by how often it occurs.
 
 Most windows cannot pass that last test and get no fingerprint: to reach the
-similarity t, a window of n shingles must have at least 2nt / (1 + t) that some
-item has. This is counted with prefix sums, and loses nothing.
+similarity t to an item of k shingles, a window of n shingles must have at least
+(n + k)t / (1 + t) that some item has. This is counted with prefix sums, and
+loses nothing.
 """
 
 from __future__ import annotations
@@ -130,7 +132,7 @@ class Index:
         return (lengths * self.blocks + block) * (1 << 64 // self.blocks) + value
 
     def near(self, lengths: np.ndarray, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(window, item): all items of a window's length within the radius of its fingerprint."""
+        """(window, item): all items of the length that a window is held against within the radius of its fingerprint."""
         windows, items = [], []
         for block in range(self.blocks):
             key = self._key(lengths, block, self._value(prints, block))
@@ -152,8 +154,9 @@ class Index:
         out[at] = known[place] == hashes[at]
         return out
 
-    def least_hits(self, shingles: int) -> int:
-        return max(1, math.ceil(2 * shingles * self.similarity / (1 + self.similarity) - 1e-9))
+    def least_hits(self, window: int, item: int) -> int:
+        """Shingles that a window shares with an item at least, to be similar enough, by the shingles of both."""
+        return max(1, math.ceil((window + item) * self.similarity / (1 + self.similarity) - 1e-9))
 
     def document(self, text: str, words: np.ndarray, hits: dict[int, np.ndarray]) -> list[tuple[int | None, float, int, int]]:
         """(item id, similarity, first word, words): the best window for each item that the document holds."""
@@ -162,16 +165,19 @@ class Index:
         for size, hit in hits.items():
             lengths = np.unique(self.lengths[np.minimum(self.lengths, self.shingle) == size])
             so_far = np.concatenate([[0], np.cumsum(hit)])
-            starts, sizes = [], []
-            for n in lengths[lengths <= len(words)].tolist():
-                per_window = n - size + 1
+            starts, sizes, against = [], [], []
+            for n in lengths.tolist():
+                window = min(n, len(words))
+                per_window, per_item = window - size + 1, n - size + 1
                 held = so_far[per_window:] - so_far[: len(so_far) - per_window]
-                at = np.flatnonzero(held >= self.least_hits(per_window))
+                # no more than the shingles of a shorter document can be shared
+                at = np.flatnonzero(held >= self.least_hits(per_window, per_item))
                 starts.append(at)
-                sizes.append(np.full(len(at), n))
+                sizes.append(np.full(len(at), window))
+                against.append(np.full(len(at), n))
             if not starts or not sum(map(len, starts)):
                 continue
-            start, length = np.concatenate(starts), np.concatenate(sizes)
+            start, length, item_length = np.concatenate(starts), np.concatenate(sizes), np.concatenate(against)
             # the windows may lie far apart in a long text: only the shingles that they cover are summed up
             near = np.zeros(len(hit) + 1, np.int64)
             np.add.at(near, start, 1)
@@ -182,7 +188,7 @@ class Index:
             np.cumsum(_bits(_shingles(words, size)[covered]), axis=0, out=votes[1:])
             shingles = length - size + 1
             prints = _fingerprint(votes[place + shingles] - votes[place], shingles)
-            for window, item in zip(*(x.tolist() for x in self.near(length, prints))):
+            for window, item in zip(*(x.tolist() for x in self.near(item_length, prints))):
                 if plain is None:
                     plain = plain_words(text)
                 a, n = int(start[window]), int(length[window])
@@ -233,8 +239,9 @@ def find_contaminated(
 
     Words are the runs between white space, in one case and without other
     characters than letters and digits; ``first_word`` counts them. An item of
-    fewer than ``shingle`` words is one shingle. Of equally good windows the
-    first is given. Null or empty texts and items match nothing; null keys and
+    fewer than ``shingle`` words is one shingle. A text with fewer words than
+    the item is held against it whole, and ``n_words`` are its own. Of equally
+    good windows the first is given. Null or empty texts and items match nothing; null keys and
     repeated rows of either side are reported like any other. Other columns are
     not read. No shuffle: the texts are read once per part of the benchmark.
     """

@@ -65,6 +65,27 @@ def test_a_large_benchmark_goes_in_parts(spark, tables, monkeypatch):
     assert sorted((tuple(r) for r in find_contaminated(docs, benchmark).collect()), key=str) == brute(*tables)
 
 
+def test_documents_shorter_than_the_item(spark):
+    item = [f"word{i}" for i in range(30)]
+    cuts = {1: item[:-1], 2: item[2:], 3: item[:25], 4: item[:26], 5: item[:14] + item[15:], 6: ["x", *item[2:]], 7: item[:4], 8: []}
+    docs = spark.createDataFrame([(d, " ".join(w)) for d, w in cuts.items()], "doc_id long, text string")
+    items = [(1, " ".join(item)), (2, "word0 word1 word2"), (3, " ".join(item[:27])), (4, "word3 word4 word5 word6")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    want = []
+    for d, w in cuts.items():
+        for i, text in items:
+            own = text.split()
+            size = min(5, len(own))
+            windows = [w[a : a + len(own)] for a in range(max(len(w) - len(own), 0) + 1)]
+            values = [similarity(bag(x, size), bag(own, size)) for x in windows]
+            if max(values) >= 0.8:
+                want.append((d, i, max(values), values.index(max(values)), len(windows[0])))
+    assert (1, 1, 25 / 26, 0, 29) in want and (4, 1, 22 / 26, 0, 26) in want
+    assert sorted(map(tuple, find_contaminated(docs, benchmark).collect())) == sorted(want)
+    bad = {r[0] for r in want}
+    assert bad >= {1, 2, 4, 6} and {r.doc_id for r in decontaminated(docs, benchmark).collect()} == cuts.keys() - bad
+
+
 def test_clean_rows_stay_whole(spark, tables):
     docs, benchmark = frames(spark, tables)
     bad = {r[0] for r in brute(*tables)}
