@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import html
 import re
-from dataclasses import dataclass, field
+from collections import Counter
+from dataclasses import dataclass, field, replace
+from functools import lru_cache
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,7 +32,7 @@ BLOCK_TAGS = frozenset(
     "summary table tbody td tfoot th thead title tr ul".split()
 )
 CHROME_TAGS = frozenset("aside button dialog fieldset footer form head header legend menu nav optgroup option select title".split())
-# Words in a class, id or role that name such parts.
+# Names in a class, id or role of such parts, alone or in compounds of each other and of the words after them.
 CHROME_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising alert aside banner breadcrumb breadcrumbs comment comments consent "
     "contentinfo cookie cookies copyright dialog disqus footer form gdpr header hidden legal login masthead menu modal nav "
@@ -38,9 +40,14 @@ CHROME_WORDS = frozenset(
     "replies reply respond search share sharing sidebar signup social sponsor sponsored subscribe subscription toolbar "
     "topbar widget".split()
 )
+COMPOUND_WORDS = frozenset(
+    "site main top bottom primary secondary global mobile bar box area block section wrapper wrap container inner list item items "
+    "link links icon icons button buttons post posts".split()
+)
 INLINE_TAGS = frozenset(["span", "i", "b", "strong", "em", "small", "label"])
 HEADINGS = frozenset(["h1", "h2", "h3", "h4", "h5", "h6"])
-MAIN_WORDS = frozenset("article main maincontent".split())
+MAIN_TAGS = frozenset(["article", "main"])
+MAIN_NAMES = frozenset("article main maincontent mainarticle maintext articlebody articlecontent articletext".split())
 
 #: Lengths below which a block is short and above which it is long; densities of stop words that are high and low; link density of a menu.
 SHORT, LONG, HIGH_DENSITY, LOW_DENSITY, LINKS = 70, 200, 0.32, 0.2, 0.5
@@ -66,29 +73,46 @@ class _Block:
     linked: int
     chrome: bool
     main: int
+    masked: bool
     heading: bool
     label: str = field(default="")
 
 
 @dataclass(frozen=True)
 class _Open:
-    """An element that is open: whether it is no part of the article, is left out of its block, and its main part or 0."""
+    """An element that is open: whether it is no part of the article by its tag or by a name, is left out of its block,
+    its main part or 0, and whether that is an <article> or <main> below a name that would hide it."""
 
     tag: str
     chrome: bool
+    named: bool
     muted: bool
     main: int
+    masked: bool
+
+
+_PAGE = _Open("", False, False, False, 0, False)
 
 
-def _names(attributes: str) -> tuple[set[str], bool]:
-    """The words of class, id and role; whether the element is hidden."""
-    words, hidden = set(), False
+@lru_cache(10_000)
+def _named(name: str) -> tuple[bool, bool]:
+    """Whether a name is that of a part without article, and of a main part; ``no-sidebar`` and ``article-title`` are neither."""
+    words = re.findall("[a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", " ", name).lower())
+    chrome = any(w in CHROME_WORDS for w in words) and all(len(w) == 1 or w in CHROME_WORDS or w in COMPOUND_WORDS for w in words)
+    return chrome, "".join(words) in MAIN_NAMES
+
+
+def _names(attributes: str) -> tuple[bool, bool, bool]:
+    """Whether class, id or role name a part without article, and a main part; whether the element is hidden."""
+    chrome = main = hidden = False
     for name, a, b, c, bare in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), a or b or c
         if name in ("class", "id", "role"):
-            words.update(re.split(r"[^a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", " ", value).lower()))
+            for one in value.split():
+                found = _named(one)
+                chrome, main = chrome or found[0], main or found[1]
         hidden |= bool(bare) or name == "aria-hidden" and value == "true" or name == "style" and "display:none" in value.replace(" ", "").lower()
-    return words, hidden
+    return chrome, main, hidden
 
 
 def blocks(page: str) -> list[_Block]:
@@ -98,13 +122,13 @@ def blocks(page: str) -> list[_Block]:
     linked = links = breaks = mains = 0
     heading = False
     open_tags: list[_Open] = []
-    inside = _Open("", False, False, 0)
+    inside = _PAGE
 
     def close() -> None:
         nonlocal linked
         text = " ".join("".join(parts).split())
         if text:
-            out.append(_Block(text, min(linked, len(text)), inside.chrome, inside.main, heading))
+            out.append(_Block(text, min(linked, len(text)), inside.chrome or inside.named, inside.main, inside.masked, heading))
         parts.clear()
         linked = 0
 
@@ -139,15 +163,15 @@ def blocks(page: str) -> list[_Block]:
                 if open_tags and open_tags[-1].tag == "p":  # a paragraph holds no blocks
                     open_tags.pop()
                 if tag != "hr":
-                    open_tags.append(_opened(tag, attributes, open_tags[-1] if open_tags else _Open("", False, False, 0), mains + 1))
+                    open_tags.append(_opened(tag, attributes, open_tags[-1] if open_tags else _PAGE, mains + 1))
                     mains = max(mains, open_tags[-1].main)
-        elif tag in INLINE_TAGS and attributes and not ends and _opened(tag, attributes, _Open("", False, False, 0), 0).chrome:
-            open_tags.append(_Open(tag, inside.chrome, True, inside.main))
+        elif tag in INLINE_TAGS and attributes and not ends and ((own := _opened(tag, attributes, _PAGE, 0)).chrome or own.named):
+            open_tags.append(replace(inside, tag=tag, muted=True))
         if ends and tag:
             match = next((i for i in range(len(open_tags) - 1, -1, -1) if open_tags[i].tag == tag), None)
             if match is not None:
                 del open_tags[match:]
-        inside = open_tags[-1] if open_tags else _Open("", False, False, 0)
+        inside = open_tags[-1] if open_tags else _PAGE
     add(page[at:])
     close()
     return out
@@ -155,12 +179,16 @@ def blocks(page: str) -> list[_Block]:
 
 def _opened(tag: str, attributes: str, parent: _Open, number: int) -> _Open:
     """What an element makes of the text below it."""
-    words, hidden = _names(attributes) if attributes.strip() else (set(), False)
-    main = tag in ("article", "main") or tag not in _BARE and bool(words & MAIN_WORDS)
-    named = tag not in _BARE and tag not in ("article", "main") and bool(words & CHROME_WORDS)
+    names, main, hidden = _names(attributes) if attributes.strip() else (False, False, False)
+    whole = tag in MAIN_TAGS
+    named = tag not in _BARE and not whole and names
+    main = whole or tag not in _BARE and main and not named
     own_header = tag == "header" and parent.main  # that of the article, with its title
-    chrome = parent.chrome or hidden or named or tag in CHROME_TAGS and not own_header
-    return _Open(tag, chrome, parent.muted, parent.main or (number if main else 0))
+    chrome = parent.chrome or hidden or tag in CHROME_TAGS and not own_header
+    if whole and parent.named and not parent.main:  # comments and the like within a main part stay hidden
+        return _Open(tag, chrome, False, parent.muted, number, True)
+    named = named or parent.named
+    return _Open(tag, chrome, named, parent.muted, parent.main or (number if main and not named else 0), parent.masked)
 
 
 def _judge(block: _Block, has_main: bool) -> str:
@@ -183,7 +211,14 @@ def _judge(block: _Block, has_main: bool) -> str:
 
 def main_blocks(page: str) -> list[str]:
     found = blocks(page)
-    has_main = any(b.main and not b.chrome for b in found)
+    if any(b.main and not b.chrome and not b.masked for b in found):
+        for b in found:  # cards of other articles, say; where no article stands free, a name hides none
+            b.chrome |= b.masked
+    parts = Counter()
+    for b in found:
+        if b.main and not b.chrome:
+            parts[b.main] += len(b.text)
+    has_main = max(parts.values(), default=0) > LONG  # a title alone says nothing about the blocks outside it
     for b in found:
         b.label = _judge(b, has_main)
     decided = [(i, b.label == "good") for i, b in enumerate(found) if b.label in ("good", "bad")]

@@ -36,6 +36,29 @@ def test_without_a_named_part_densities_decide():
     assert main_blocks(page(body)) == ["Heading", PROSE.strip(), "Yes.", FR.strip()]
 
 
+def test_a_part_of_a_name_hides_nothing():
+    for name in ("content no-sidebar", "has-sidebar", "withSidebar", "content-sidebar-wrap", "header-image", "md:hidden"):
+        assert main_blocks(page(f'<div class="{name}"><article><h1>Title</h1><p>{PROSE}</p></article></div>')) == ["Title", PROSE.strip()]
+        assert main_blocks(page(f'<div class="{name}"><p>{PROSE}</p><p>{FR}</p></div>')) == [PROSE.strip(), FR.strip()]
+    for name in ("sidebar", "site-header", "cookie-notice", "siteFooter", "ad-300x250", "widget widget_text", "nav-links"):
+        assert main_blocks(page(f'<div class="{name}"><p>{PROSE}</p></div><p>{FR}</p>')) == [FR.strip()]
+
+
+def test_a_name_above_hides_no_article():
+    for tag in ("article", "main"):
+        assert main_blocks(page(f'<div class="widget"><div id="main"><{tag}><p>{PROSE}</p><p class="ad">{FR}</p></{tag}></div></div>')) == [PROSE.strip()]
+    assert main_blocks(page(f"<aside><article><p>{PROSE}</p></article></aside>")) == []
+    body = f'<main><p>{PROSE}</p><div id="comments"><article><p>{FR}</p></article></div></main><div class="related"><article><p>{FR}</p></article></div>'
+    assert main_blocks(page(body)) == [PROSE.strip()]
+
+
+def test_a_named_title_is_not_the_whole_article():
+    for name in ("article-title", "article", "main article-meta"):
+        assert main_blocks(page(f'<h1 class="{name}">Title</h1><div><p>{PROSE}</p><p>{FR}</p></div>')) == ["Title", PROSE.strip(), FR.strip()]
+    body = f'<div class="article-body"><p>{PROSE}</p></div><div><p>{FR}</p></div>'
+    assert main_blocks(page(body)) == [PROSE.strip()]
+
+
 def test_broken_markup():
     assert main_blocks(f"<article><p>{PROSE}<p>a < b & c > d</article><footer>x") == [PROSE.strip(), "a < b & c > d"]
     assert main_blocks("<article><p>one<p title='x>two</article>")[0] == "one"
