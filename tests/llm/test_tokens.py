@@ -119,6 +119,43 @@ def test_grammar_shrinks_repeated_text():
     assert (repair.lengths_of(first, rules) >= 2).all()
 
 
+def uses(symbols, stop):
+    """The most uses without overlap that any pair has, in plain Python."""
+    counts, last = defaultdict(int), {}
+    for i, pair in enumerate(zip(symbols, symbols[1:])):
+        if stop not in pair and last.get(pair) != i - 1:
+            counts[pair] += 1
+            last[pair] = i
+    return max(counts.values(), default=0)
+
+
+def test_a_copied_passage_becomes_one_symbol():
+    passage = [i + 2 for i in range(300)]
+    first, rules, symbols = repair.compress(np.array((passage + [1]) * 500, np.uint32), 1)
+    assert len(symbols) == 1000 and repair.lengths_of(first, rules).max() == 300
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(0, 10**6), st.integers(1, 12), st.sampled_from([100, 3000, 20_000]))
+def test_no_frequent_pair_is_left(seed, kinds, n):
+    chance = np.random.default_rng(seed)
+    ids = np.minimum(chance.geometric(0.3, n), kinds).astype(np.uint32)
+    first, rules, symbols = repair.compress(ids, 1)
+    assert uses(symbols.tolist(), 1) < repair.LEAST_USES
+    assert len({*map(tuple, rules.tolist())}) == len(rules)
+    shard = repair.Shard(repair.pack_shard(np.array([n]), ids, 1))
+    assert (shard.ids(0, n) == ids).all()
+
+
+def test_a_frequent_pair_among_many_has_its_rule():
+    chance = np.random.default_rng(7)
+    rare = chance.integers(10, 1_500_000, (400_000, 2))
+    often = np.arange(2, 10).reshape(4, 2)  # each meets rare pairs in a small table of hashes
+    ids = np.concatenate([np.insert(np.tile(often, (200, 1)), 2, 1, 1).ravel(), np.insert(rare, 2, 1, 1).ravel()])
+    _, rules, _ = repair.compress(ids.astype(np.uint32), 1)
+    assert sorted(rules.tolist()) == often.tolist()
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.integers(1, 40), st.dictionaries(st.integers(1, 40), st.integers(1, 60), max_size=20))
 def test_plans_fill_sequences_without_gaps(capacity, counts):
