@@ -197,6 +197,19 @@ def _ratio(a: Column, b: Column, n_a: int, n_b: int) -> Column:
     return 2 * (have + part(n_a - a, (1 - share) * n_a) + part(n_b - b, (1 - share) * n_b))
 
 
+def _totals(texts: DataFrame) -> dict[int, int]:
+    return {r["label"]: r["n"] for r in texts.groupBy("label").agg(F.count("*").alias("n")).collect()}
+
+
+def _first_rows(texts: DataFrame, rows: int) -> DataFrame:
+    """The first rows by the hash of the key, then of the text; what comes last in this order may be repeated, and is cut."""
+    order = F.xxhash64("doc_id").alias("a"), F.col("doc_id").alias("b"), F.xxhash64("text").alias("c")
+    last = texts.select(*order).orderBy("a", "b", "c").limit(rows).agg(F.max(F.struct("a", "b", "c")).alias("last")).first()["last"]
+    own, end = F.struct(*order), F.struct(*[F.lit(last[n]).cast("long").alias(n) for n in "abc"])
+    before = texts.filter(own < end)
+    return before.unionByName(texts.filter(own == end).limit(rows - before.count()))
+
+
 def fit(
     docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", sample: int = SAMPLE_ROWS,
     inputs: int = INPUTS, ridge: float = RIDGE, counterfactual: float = COUNTERFACTUAL,
@@ -205,15 +218,19 @@ def fit(
 
     Rows without key or label are left out; a key with several labels counts as
     labelled 1 if one of them is; a key with several texts gives a row for each.
-    If there are more than ``sample`` labelled keys, those with the smallest hash
-    are taken: this is the bound of what a task and the driver hold. Without any
-    label, or with one value alone, the model is a bias.
+    If there are more than ``sample`` labelled keys, or rows of them, those with
+    the smallest hash are taken (of a key, then of a text): this is the bound of
+    what a task and the driver hold. Without any label, or with one value alone, the model is a bias.
     """
     spark = docs.sparkSession
     named = labels.select(F.col(key).cast("long").alias("doc_id"), F.col(label).cast("int").alias("label")).dropna()
     chosen = named.groupBy("doc_id").agg(F.max("label").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    texts = materialise(text_rows(docs, key, text).join(F.broadcast(chosen), "doc_id").select("label", "text"), "labelled")
-    totals = {r["label"]: r["n"] for r in texts.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    texts = materialise(text_rows(docs, key, text).join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "text"), "labelled")
+    totals = _totals(texts)
+    if sum(totals.values()) > sample:
+        texts = _first_rows(texts, sample)
+        totals = _totals(texts)
+    texts = texts.select("label", "text")
     positive, negative = totals.get(1, 0), totals.get(0, 0)
 
     counts = arrow_schema(spark, "place long, a long, b long")
@@ -251,7 +268,7 @@ def fit(
 
     rows = []
     if places:
-        for r in texts.mapInArrow(reduce, "label long, own array<long>, swapped binary").collect():  # SAMPLE_ROWS at most
+        for r in texts.mapInArrow(reduce, "label long, own array<long>, swapped binary").collect():  # ``sample`` at most
             flat, others = np.frombuffer(r["swapped"], "<i8").tolist(), []
             while flat:
                 others.append(flat[1 : flat[0] + 1])

@@ -87,6 +87,18 @@ def test_sample_is_bounded(tables):
     assert fit(docs, training_labels(labels), sample=100).weights != fit(docs, training_labels(labels)).weights
 
 
+def test_a_key_with_many_texts_stays_within_the_sample(spark, tables, monkeypatch):
+    docs, labels = tables
+    few = labels.filter("doc_id < 60")
+    last = few.selectExpr("max_by(doc_id, xxhash64(doc_id)) AS id").first().id
+    for texts in ([f"zzfool zzrat number{i}" for i in range(300)], ["zzfool zzrat"] * 300):
+        more = docs.select("doc_id", "text").unionByName(spark.createDataFrame([(last, t) for t in texts], "doc_id long, text string"))
+        taken = []
+        monkeypatch.setattr(toxicity, "fit_weights", lambda rows, *rest: taken.append(len(rows)) or fit_weights(rows, *rest))
+        assert fit(more, few, sample=100) == fit(more.repartition(3), few, sample=100)
+        assert taken == [100, 100]
+
+
 def test_swaps():
     tokens = tokens_of("The Women, came")
     swapped = counterfactuals(tokens)
