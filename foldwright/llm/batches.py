@@ -18,6 +18,7 @@ ROWS_AT_ONCE = 2048
 _ARROW = {
     T.LongType(): pa.int64(), T.IntegerType(): pa.int32(), T.DoubleType(): pa.float64(), T.BooleanType(): pa.bool_(),
     T.StringType(): pa.string(), T.BinaryType(): pa.binary(), T.ArrayType(T.LongType()): pa.list_(pa.int64()),
+    T.ArrayType(T.IntegerType()): pa.list_(pa.int32()),
 }
 
 

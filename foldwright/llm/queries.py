@@ -12,6 +12,7 @@ from . import toxicity
 from .decontaminate import find_contaminated
 from .main_text import extract_text
 from .packing import pack
+from .sentencepieces import decode_pieces, encode_pieces
 from .simhash import near_duplicates
 from .substring import dedup_substrings
 from .token_counts import count_tokens
@@ -23,7 +24,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
-BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
+BYTE_BPE, WORD_BPE, PIECE_BPE = "byte_bpe_50k.json", "word_bpe_49k.json", "piece_bpe_32k.model"
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
@@ -194,3 +195,15 @@ def simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_best_fit_packing")
 def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
+
+
+@query("op11_sentencepiece")
+def sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path(PIECE_BPE)
+    decoded = decode_pieces(encode_pieces(table(spark, sf_dir, "documents"), model), model)
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
