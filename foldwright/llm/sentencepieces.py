@@ -134,18 +134,22 @@ class SentencePieces:
         self.byte_ids = {int(p[3:5], 16): i for i, (p, _, kind) in enumerate(pieces) if kind == BYTE}
         self.unknown = next(i for i, (*_, kind) in enumerate(pieces) if kind == UNKNOWN)
         self.kinds = [kind for *_, kind in pieces]
+        self.names = [piece for piece, *_ in pieces]
         self.shown = [self._shown(piece, kind) for piece, _, kind in pieces]
         # bytes on both sides of a control piece are not one character, so there the joined text must not decode
         self.joined = [b"\xff" if kind == CONTROL else shown for kind, shown in zip(self.kinds, self.shown)]
 
-        longer = [p for p in self.ids if len(p) > 1]
-        self.cuts = not whole and not any(MARK in p.lstrip(MARK) for p in longer)
+        # two neighbours that no piece has side by side are never joined, so a text is cut between them
+        self.neighbours = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}
+        self.cuts = not whole and self.fallback and MARK in self.ids and not any(pair[1] == MARK != pair[0] for pair in self.neighbours)
         # without rules a space is its mark and all else stays as it is
         self.plain = self.cuts and not self.rules.units and self.prefix and self.mark and not self.trim
-        self.lines = not any("\n" in p for p in longer)
-        self.opening = Memory(lambda cut: self._pairs(MARK + cut.replace(" ", MARK), cut, True))
-        self.inner = Memory(lambda cut: self._pairs(cut.replace(" ", MARK), cut, False))
-        self.after_space = Memory(lambda word: self._pairs(MARK + word, " " + word, False))
+        self.lines = not any("\n" in pair for pair in self.neighbours)
+        pair = struct.Struct("<ii").pack
+        self.packed = {p: pair(i, len(p.encode()) - 2 * p.count(MARK)) for p, i in self.ids.items()}
+        self.opening = Memory(lambda cut: self._without_mark(self._cut(MARK + cut.replace(" ", MARK))))
+        self.inner = Memory(lambda cut: self._cut(cut.replace(" ", MARK)))
+        self.after_space = Memory(lambda word: self._cut(MARK + word))
 
     @classmethod
     def open(cls, path: str) -> SentencePieces:
@@ -218,20 +222,19 @@ class SentencePieces:
 
     def merge(self, text: str) -> list[str]:
         """The pieces of a normalised text: the best pair of neighbours is joined, the leftmost first, until none is a piece."""
-        symbols, fixed = self._symbols(text)
-        if len(symbols) > SCANNED or any(fixed):
-            return self._merge_long(symbols, fixed)
+        if len(text) > SCANNED or self.whole:
+            return self._merge_long(*self._symbols(text))
         rank, none = self.rank.get, len(self.rank)
-        pairs = [rank(a + b, none) for a, b in zip(symbols, symbols[1:])]
+        ends = list(range(len(text) + 1))  # of the symbols, with 0 in front
+        pairs = [rank(text[i : i + 2], none) for i in range(len(text) - 1)]
         while pairs and (best := min(pairs)) < none:
             i = pairs.index(best)
-            symbols[i : i + 2] = [symbols[i] + symbols[i + 1]]
-            del pairs[i]
+            del pairs[i], ends[i + 1]
             if i:
-                pairs[i - 1] = rank(symbols[i - 1] + symbols[i], none)
+                pairs[i - 1] = rank(text[ends[i - 1] : ends[i + 1]], none)
             if i < len(pairs):
-                pairs[i] = rank(symbols[i] + symbols[i + 1], none)
-        return symbols
+                pairs[i] = rank(text[ends[i] : ends[i + 2]], none)
+        return [text[a:b] for a, b in zip(ends, ends[1:])]
 
     def _merge_long(self, symbols: list[str], fixed: list[bool]) -> list[str]:
         n, rank = len(symbols), self.rank.get
@@ -283,20 +286,32 @@ class SentencePieces:
             unknown_before = own is None and not self.fallback
         return out
 
-    def _pairs(self, normalised: str, source: str, opening: bool) -> bytes:
-        """(id, bytes of the source) of the pieces of a cut without rules, as pairs of 32-bit numbers."""
-        sizes = [1 if c == " " else len(c.encode()) for c in source]
-        sizes = [0, *sizes] if opening else sizes
-        ends, places = 0, [0]
-        for c, size in zip(normalised, sizes):
-            places += [ends] * (len(c.encode()) - 1)
-            ends += size
-            places.append(ends)
-        flat, at = array("i"), 0
-        for own, size in self._named(normalised):
-            flat.extend((own, places[at + size] - places[at]))
-            at += size
-        return flat.tobytes()
+    def _cut(self, cut: str) -> bytes:
+        """(id, bytes of the source) of the pieces of a cut without rules, as pairs of 32-bit numbers; a mark is a space."""
+        neighbours = self.neighbours
+        ends = [i for i in range(1, len(cut)) if cut[i - 1 : i + 1] not in neighbours]
+        if ends:
+            parts = [cut[a:b] for a, b in zip([0, *ends], [*ends, len(cut)])]
+            first = parts[0]
+            out = [self.after_space[first[1:]] if len(first) > 1 and first[0] == MARK and first[1] != MARK else self._merged(first)]
+            return b"".join(out + [self.inner[part] if part[0] != MARK else self._merged(part) for part in parts[1:]])
+        return self._merged(cut)
+
+    def _merged(self, cut: str) -> bytes:
+        try:
+            return b"".join([self.packed[piece] for piece in self.merge(cut)])
+        except KeyError:  # a character without a piece
+            flat = array("i")
+            for own, size in self._named(cut):
+                flat.extend((own, size - 2 * self.names[own].count(MARK)))
+            return flat.tobytes()
+
+    @staticmethod
+    def _without_mark(pairs: bytes) -> bytes:
+        """The pairs of a cut whose first mark stands for nothing in the source."""
+        found = np.frombuffer(pairs, "<i4").reshape(-1, 2).copy()
+        found[np.flatnonzero(found[:, 1])[0], 1] -= 1
+        return found.tobytes()
 
     def pairs(self, text: str) -> tuple[int, bytes]:
         """Where the first piece begins in the source, and (id, bytes of the source) of each piece."""
@@ -434,8 +449,9 @@ def decode_pieces(encoded: DataFrame, model: str, key: str = "doc_id", ids: str
         own = sentence_pieces(model)
         for batch in pieces_of(batches, 256):
             lists = batch.column(1)
-            offsets = lists.offsets.to_numpy().tolist()
-            values = lists.values.to_pylist()
+            offsets = lists.offsets.to_numpy()
+            values = lists.values[offsets[0] : offsets[-1]].to_numpy().tolist()
+            offsets = (offsets - offsets[0]).tolist()
             texts = [own.decode(values[a:b]) for a, b in zip(offsets, offsets[1:])]
             yield pa.record_batch([batch.column(0), lists.cast(schema.field(1).type), pa.array(texts, pa.string())], schema=schema)
 
