@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from . import toxicity
 from .decontaminate import find_contaminated
+from .lexical import rank_documents
 from .main_text import extract_text
+from .negatives import mine_negatives
 from .packing import pack
 from .sentencepieces import decode_pieces, encode_pieces
 from .simhash import near_duplicates
@@ -207,3 +209,57 @@ def sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2("text", 256).alias("decoded_sha256"),
     )
+
+
+HARD_NEGATIVES_SQL = """
+WITH whole AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+scored AS (
+    SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, CAST(list_inner_product(a.v, c.v) AS BIGINT) AS score
+    FROM whole a JOIN whole c ON a.vec_id % 50 = 0 AND c.vec_id <> a.vec_id),
+positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+negatives AS (
+    SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+        CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank
+    FROM positives p JOIN scored s ON p.anchor_id = s.anchor_id AND NOT s.same
+        AND 100 * s.score BETWEEN 50 * positive_score AND 95 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM negatives WHERE rank <= 3"""
+
+
+@query("op12_hard_negatives", HARD_NEGATIVES_SQL)
+def hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_negatives(vectors.withColumn("label", moved), every=50)
+
+
+LEXICAL_SQL = """
+WITH items AS (
+    SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+asked AS (SELECT item_id, term, count(*) AS times FROM items GROUP BY ALL),
+split AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS words FROM documents),
+total AS (SELECT count(*) FILTER (WHERE len(words) > 0) AS docs, CAST(sum(len(words)) AS BIGINT) AS terms FROM split),
+placed AS (SELECT doc_id, len(words) AS n, unnest(words) AS term FROM split),
+postings AS (SELECT doc_id, term, any_value(n) AS n, count(*) AS tf FROM placed GROUP BY doc_id, term),
+weighted AS (
+    SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(docs) + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+    FROM postings, total GROUP BY term),
+scored AS (
+    SELECT item_id, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + ((25 * n * docs) // terms))))) AS BIGINT) AS score
+    FROM asked JOIN postings USING (term) JOIN weighted USING (term), total GROUP BY item_id, doc_id),
+ranked AS (
+    SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20"""
+
+
+@query("op13_lexical_search", LEXICAL_SQL)
+def lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)

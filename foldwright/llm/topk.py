@@ -57,15 +57,26 @@ def whole_vectors(vectors: DataFrame, scale: int, key: str, vector: str) -> Data
     return vectors.select(F.col(key).cast("long").alias("vec_id"), F.col(vector).alias("v")).mapInArrow(run, "vec_id long, vector binary, norm double")
 
 
-def as_rows(vectors: list[bytes], width: int) -> np.ndarray:
-    """The vectors as rows of 64-bit numbers; shorter ones end in zeros."""
+def as_rows(vectors: list[bytes], width: int, kind: str = "<i8") -> np.ndarray:
+    """The vectors as rows of 64-bit numbers; shorter ones end in zeros. ``kind``: the type of a stored component."""
     out = np.zeros((len(vectors), width), np.int64)
     for i, v in enumerate(vectors):
-        own = np.frombuffer(v, "<i8")
+        own = np.frombuffer(v, kind)
         out[i, : len(own)] = own
     return out
 
 
+def narrowest(vectors: DataFrame, scale: int, vector: str) -> str:
+    """The narrowest type that holds every component floor(scale * x): one pass over the numbers, without Python."""
+
+    def size(x):
+        x = x.cast("double")
+        return F.when(x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")), 0.0).otherwise(F.abs(x))
+
+    most = vectors.agg(F.max(F.array_max(F.transform(F.col(vector), size)))).first()[0] or 0.0
+    return next((kind for kind, bits in (("<i1", 7), ("<i2", 15), ("<i4", 31)) if most * scale + 1 < 2.0**bits), "<i8")
+
+
 def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Exact inner products of the rows: in floating point where that is exact, else in whole numbers."""
     bound = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * max(a.shape[1], 1)
