@@ -1,10 +1,11 @@
 """Hard negatives by threshold joins of dense vectors, after the manner of L2AP.
 
 A window asks, for one anchor, for the k best rows of its label or of other labels whose
-scores lie between two bounds. All windows start at a high threshold. A round joins
-the anchors with all rows of at least their threshold; those whose window
-is not full by then go on to the next round with a lower one, down to the
-window's lower bound, which ends it.
+scores lie between two bounds. A first look at a bounded sample of the rows gives each
+window its starting threshold: the k-th best score in it there, or, where the sample does not
+fill it, a high share of its span. A round joins the anchors with all rows of at least their
+threshold; those whose window is not full by then go on to the next round
+with a lower one, down to the window's lower bound, which ends it.
 
 The rows lie in parts of bounded size, each an inverted index: one column per
 dimension, the dimensions of most weight first. A row is filed under a
@@ -27,15 +28,12 @@ from pyspark.sql import functions as F
 from foldwright.workspace import materialise
 
 from .batches import arrow_schema, begin_task, pieces_of
-from .topk import as_rows, narrowest, products
+from .topk import as_rows, narrowest
 
-#: Rows of a part, anchors that are searched for together, columns between two looks at what can still be reached.
-PART, BLOCK, STRIDE = 16_384, 256, 8
-#: Shares of the way from a window's upper to its lower bound at which the rounds' thresholds lie: for positives, whose
-#: scores may be anything the lengths allow, and for negatives. The last is the lower bound itself.
-FAR_ROUNDS, NEAR_ROUNDS = (0.25, 0.35, 0.45, 1.0), (0.4, 0.7, 1.0)
-#: Lengths are compared with this share of slack, far above their rounding.
-SLACK = 1e-9
+#: Rows of a part, of the sample, anchors that are searched for together, columns between two looks at what can still be reached.
+PART, SAMPLE, BLOCK, STRIDE = 16_384, 2048, 256, 16
+#: Shares of the way from a window's upper to its lower bound at which the rounds' thresholds lie, where the sample does not set them.
+ROUNDS = (0.4, 0.7, 1.0)
 
 LABELLED = "vec_id long, label long, vector binary, norm double"
 FOUND = "anchor_id long, vector binary, label long, window long, vec_id long, score long"
@@ -72,10 +70,20 @@ class Part:
     def __init__(self, ids: np.ndarray, labels: np.ndarray, rows: np.ndarray, order: np.ndarray):
         place = np.argsort(ids, kind="stable")  # so ties go to the smaller id
         self.ids, self.labels = ids[place], labels[place]
-        self.columns = np.ascontiguousarray(rows[place][:, order].T)
-        self.rest = lengths_from(self.columns.T).T
+        columns = np.ascontiguousarray(rows[place][:, order].T)
+        self.most = float(np.abs(columns).max(initial=0))
+        self.columns = columns
+        self.rest = lengths_from(columns.T).T
         self.longest = self.rest.max(1, initial=0)
 
+    def exact_with(self, most: float) -> tuple[np.dtype, float]:
+        """The fastest type in which scores are exact with components up to ``most``, and a share of slack far above its rounding."""
+        bound = most * self.most * max(len(self.columns), 1)
+        kind, slack = (np.float32, 1e-5) if bound < 2.0**24 else (np.float64, 1e-9) if bound < 2.0**53 else (np.int64, 1e-9)
+        if self.columns.dtype != kind:
+            self.columns = self.columns.astype(kind)
+        return np.dtype(kind), slack
+
 
 def lengths_from(rows: np.ndarray) -> np.ndarray:
     """For each row the length of what stands from each column on, and 0 after the last."""
@@ -102,8 +110,9 @@ def join(part: Part, anchors: np.ndarray, least: np.ndarray) -> tuple[np.ndarray
     Columns come in whole strides, so the partial scores of a stride are one product of matrices.
     """
     width, n = part.columns.shape
-    rest = lengths_from(anchors)
-    bound = least - SLACK * (1 + rest[:, 0] * part.longest[0])
+    kind, slack = part.exact_with(float(np.abs(anchors).max(initial=0)))
+    rest, anchors = lengths_from(anchors), anchors.astype(kind)
+    bound = least - slack * (1 + rest[:, 0] * part.longest[0])
     # the suffix of a row that no anchor can bring to the threshold by itself is not filed
     if bound.min() > 0:
         filed = (part.rest[:-1] * rest.max(0)[:-1, None] >= bound.min()).sum(0)
@@ -111,25 +120,32 @@ def join(part: Part, anchors: np.ndarray, least: np.ndarray) -> tuple[np.ndarray
         filed = np.full(n, width)
     ends = np.minimum(-(-filed // STRIDE) * STRIDE, width)
     alive = (rest[:, :1] * part.rest[0] >= bound[:, None]) & ((filed > 0) | (width == 0))
-    scores, made = np.zeros(alive.shape, np.int64), 0
+    rounded = np.float32 if kind == np.float32 else np.float64
+    scores, made = np.zeros(alive.shape, kind), 0
     strides = [(a, min(a + STRIDE, width)) for a in range(0, width, STRIDE)]
     for start, end in strides:
         rows = np.flatnonzero(alive.any(0) & (ends > start))
         if not len(rows):
             break
-        scores[:, rows] += products(anchors[:, start:end], part.columns[start:end, rows].T)
-        alive[:, rows] &= scores[:, rows] + rest[:, end, None] * part.rest[end, rows] >= bound[:, None]
-        made += (end - start) * len(rows) * len(anchors)
+        rows = slice(None) if len(rows) == n else rows
+        scores[:, rows] += anchors[:, start:end] @ part.columns[start:end, rows]
+        left = np.outer(rest[:, end].astype(rounded), part.rest[end, rows].astype(rounded))
+        left += scores[:, rows]
+        alive[:, rows] &= left >= bound.astype(rounded)[:, None]
+        made += (end - start) * left.size
     a, r = np.nonzero(alive)
     scores = scores[a, r]
     for start, end in strides:  # what was not filed is read from the rows themselves
         open_ = np.flatnonzero(ends[r] <= start)
+        if not len(open_):
+            continue
         for c in range(start, end):
             scores[open_] += anchors[a[open_], c] * part.columns[c, r[open_]]
         made += (end - start) * len(open_)
         kept = scores + rest[a, end] * part.rest[end, r] >= bound[a]
         kept[ends[r] > start] = True
         a, r, scores = a[kept], r[kept], scores[kept]
+    scores = scores.astype(np.int64)
     exact = scores >= least[a]
     return a[exact], r[exact], scores[exact], made
 
@@ -196,28 +212,40 @@ def _search(rows: DataFrame, order: np.ndarray, kind: str, k: int) -> DataFrame:
     return placed.mapInArrow(run, FOUND)
 
 
-def fill_windows(index: DataFrame, parts: int, order: np.ndarray, kind: str, windows: DataFrame, k: int, rounds: tuple[float, ...], name: str) -> DataFrame:
+def fill_windows(
+    index: DataFrame, sample: DataFrame, n_rows: int, n_anchors: int, part_rows: int, order: np.ndarray, kind: str, windows: DataFrame, k: int, name: str
+) -> DataFrame:
     """(anchor_id, vector, label, window, vec_id, score): the ``k`` best rows of each window, in lowering rounds.
 
     ``windows``: vec_id, label, vector, window, same, low, high. A round gives out what lies
     at or above its threshold, so a window with ``k`` such rows is full; the last threshold is ``low`` itself.
-    An anchor travels to a part once, with its windows.
+    An anchor travels to a part once, with its windows. ``sample`` is one part of rows of its own.
     """
+    parts = max(1, -(-n_rows // part_rows))
     shape = "array<struct<window:bigint,same:boolean,low:bigint,high:bigint,least:bigint>>"
-    rows = index.select(
-        F.pmod(F.xxhash64("vec_id"), F.lit(parts)).alias("part"), F.lit(False).alias("is_anchor"), "vec_id", "label", "vector", F.lit(None).cast(shape).alias("windows")
-    )
     key = ["anchor_id", "vector", "label", "window"]
+    by_score = Window.partitionBy(*key).orderBy(F.desc("score"), "vec_id")
+
+    def search(rows: DataFrame, parts: int, lanes: int, asked: DataFrame) -> DataFrame:
+        """Every part meets every lane of anchors in a task of its own."""
+        anchors = asked.groupBy("vec_id", "label", "vector").agg(F.collect_list(F.struct("window", "same", "low", "high", "least")).cast(shape).alias("windows"))
+        part, lane = (F.pmod(F.xxhash64(*of), F.lit(n)) for of, n in ((["vec_id"], parts), (["vec_id", "vector"], lanes)))
+        to_lanes, to_parts = (F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")) for n in (lanes, parts))
+        fields = ["vec_id", "label", "vector"]
+        filed = rows.select(part.alias("p"), F.explode(to_lanes).alias("lane"), F.lit(False).alias("is_anchor"), *fields, F.lit(None).cast(shape).alias("windows"))
+        routed = anchors.select(F.explode(to_parts).alias("p"), lane.alias("lane"), F.lit(True).alias("is_anchor"), *fields, "windows")
+        placed = filed.unionByName(routed).select((F.col("p") * lanes + F.col("lane")).alias("part"), "is_anchor", *fields, "windows")
+        found = _search(placed, order, kind, k)
+        return found.withColumn("nth", F.row_number().over(by_score)).filter(F.col("nth") <= k)
+
     span = F.col("high").cast("double") - F.col("low")
-    done, asked = [], windows
-    for i, share in enumerate(rounds):
-        least = F.greatest(F.col("low"), F.ceil(F.col("high") - share * span).cast("long")) if share < 1 else F.col("low")
-        anchors = asked.groupBy("vec_id", "label", "vector").agg(F.collect_list(F.struct("window", "same", "low", "high", F.least("high", least).alias("least"))).alias("windows"))
-        all_parts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long")))
-        routed = anchors.select(all_parts.alias("part"), F.lit(True).alias("is_anchor"), "vec_id", "label", "vector", F.col("windows").cast(shape).alias("windows"))
-        best = Window.partitionBy(*key).orderBy(F.desc("score"), "vec_id")
-        found = _search(rows.unionByName(routed), order, kind, k).withColumn("nth", F.row_number().over(best)).filter(F.col("nth") <= k).drop("nth")
-        found = materialise(found, f"{name}-{i}")
+    seeds = search(sample, 1, -(-n_anchors // (SAMPLE // 2)), windows.withColumn("least", F.col("low"))).filter(F.col("nth") == k)
+    seeds = seeds.select(F.col("anchor_id").alias("vec_id"), *key[1:], F.col("score").alias("seed"))
+    asked, done = materialise(windows.join(seeds, ["vec_id", *key[1:]], "left"), f"{name}-windows"), []
+    for i, share in enumerate(ROUNDS):
+        ladder = F.greatest(F.col("low"), F.ceil(F.col("high") - share * span).cast("long")) if share < 1 else F.col("low")
+        least = F.least("high", F.coalesce("seed", ladder) if share < 1 else ladder)
+        found = materialise(search(index, parts, -(-n_anchors // part_rows), asked.withColumn("least", least)).drop("nth"), f"{name}-{i}")
         if share == 1:
             done.append(found)
             break
@@ -234,7 +262,7 @@ def fill_windows(index: DataFrame, parts: int, order: np.ndarray, kind: str, win
 
 def mine_negatives(
     vectors: DataFrame, every: int, positives: int = 5, negatives: int = 3, low: int = 50, high: int = 95, scale: int = 256,
-    key: str = "vec_id", vector: str = "embedding", label: str = "label", part_rows: int = PART,
+    key: str = "vec_id", vector: str = "embedding", label: str = "label", part_rows: int = PART, sample_rows: int = SAMPLE,
 ) -> DataFrame:
     """(anchor_id, positive_id, rank, negative_id, positive_score, negative_score).
 
@@ -244,21 +272,23 @@ def mine_negatives(
     from ``low`` to ``high`` hundredths of the positive's. Rows with a null key, label or vector, or a
     component that is null or not finite, take no part. Equal rows count once; rows
     with one key that differ in vector or label are candidates each, and as anchors have their
-    own windows each. Rows with the anchor's key are no partners. Shorter vectors end in zeros. Scores too
+    own windows each. Rows with the anchor's key are no partners. The sample sets thresholds
+    only; every row is searched. Shorter vectors end in zeros. Scores too
     large for 64 bits raise. Other columns are not read; an empty table gives no rows.
     """
     kind = narrowest(vectors, scale, vector)
     index = materialise(labelled_vectors(vectors, scale, key, vector, label, kind), "labelled")
-    told = index.agg(F.max(F.octet_length("vector")), F.count("*"), F.max("norm")).first()
-    width, parts = (told[0] or 0) // np.dtype(kind).itemsize, max(1, -(-told[1] // part_rows))
+    told = index.agg(F.max(F.octet_length("vector")), F.max("norm"), F.count("*"), F.count_if(F.col("vec_id") % every == 0)).first()
+    width, top, *counts = (told[0] or 0) // np.dtype(kind).itemsize, told[1] or 0.0, told[2], max(1, told[3])
     order = _by_weight(index, width, kind)
 
     # no score is beyond the product of the lengths
-    reach = F.ceil(F.sqrt("norm") * F.lit(told[2] or 0.0) ** 0.5).cast("long") + 1
+    reach = F.ceil(F.sqrt("norm") * F.lit(top) ** 0.5).cast("long") + 1
     asked = index.filter(F.col("vec_id") % every == 0).select(
         "vec_id", "label", "vector", F.lit(0).cast("long").alias("window"), F.lit(True).alias("same"), (-reach).alias("low"), reach.alias("high")
     )
-    best = fill_windows(index, parts, order, kind, asked, positives, FAR_ROUNDS, "positives")
+    sample = materialise(index.orderBy(F.xxhash64("vec_id", "vector", "label"), "vec_id", "vector", "label").limit(sample_rows).drop("norm"), "sample")
+    best = fill_windows(index, sample, *counts, part_rows, order, kind, asked, positives, "positives")
 
     anchor = ["anchor_id", "vector", "label"]
     nth = Window.partitionBy(*anchor).orderBy(F.desc("score"), "vec_id")
@@ -269,7 +299,7 @@ def mine_negatives(
         F.col("anchor_id").alias("vec_id"), "label", "vector", "window", F.lit(False).alias("same"),
         (-_hundredth(-low, "positive_score")).alias("low"), _hundredth(high, "positive_score").alias("high"),
     ).filter("low <= high")
-    hard = fill_windows(index, parts, order, kind, bounds, negatives, NEAR_ROUNDS, "negatives")
+    hard = fill_windows(index, sample, *counts, part_rows, order, kind, bounds, negatives, "negatives")
     ranked = Window.partitionBy(*anchor, "window").orderBy(F.desc("score"), "vec_id")
     hard = hard.select(
         *anchor, "window", F.row_number().over(ranked).alias("rank"), F.col("vec_id").alias("negative_id"), F.col("score").alias("negative_score")
