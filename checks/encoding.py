@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from foldwright.functions.text import interaction_key
 from foldwright.operators.encoders import CountEncoder, OneHotEncoder, OrdinalEncoder
 from foldwright.operators.folds import expand_folds, hash_fold, row_kfold
-from foldwright.operators.target_encoding import TargetEncoder
+from foldwright.operators.target_encoding import TargetEncoder, TargetState
 from foldwright.streaming.apply import apply_available
+from foldwright.streaming.fit import fit_available
+from foldwright.workspace import fresh_path, materialise
 
 from .base import BASE_CTE, FOLDED_CTE, FOLDS, ORDERS_CTE, SEED, base, fit_folds, folded, folds_cte, orders_base, train
 from .registry import query, table
@@ -210,6 +212,45 @@ def target_encode_shuffled(spark, sf_dir):
     return made.select("row_id", *[c for c in made.columns if "_TE_" in c])
 
 
+@query("target_encode_merged", te_sql({c: c for c in _CATS}, ["y1", "y2"], "train"))
+def target_encode_merged(spark, sf_dir):
+    """Three parts of the rows, each summed up by itself; the merged state encodes as one fit on all."""
+    df = train(folded(base(spark, sf_dir)))
+    encoder = TargetEncoder(_CATS, ["y1", "y2"])
+    first, *others = (encoder.state(df.filter(F.col("row_id") % 3 == part)) for part in range(3))
+    made = first.merge(*others).fitted().transform(df)
+    return made.select("row_id", *[c for c in made.columns if "_TE_" in c])
+
+
+@query(
+    "ordinal_encode_merged",
+    f"""WITH {ORDERS_CTE}, {ordinal_cte('grp')}, {ordinal_cte('cat_null')}, {count_cte('grp')}, {count_cte('cat_null')}
+    SELECT row_id, CAST(COALESCE(a.code, -1) AS BIGINT) AS "grp_OE",
+    CAST(COALESCE(b.code, CASE WHEN cat_null IS NULL THEN -2 ELSE -1 END) AS BIGINT) AS "cat_null_OE",
+    CAST(COALESCE(n_grp.n, -1) AS BIGINT) AS "grp_CE", CAST(COALESCE(n_cat_null.n, -1) AS BIGINT) AS "cat_null_CE"
+    FROM base LEFT JOIN o_grp a ON grp = a.k LEFT JOIN o_cat_null b ON cat_null IS NOT DISTINCT FROM b.k
+    {count_join('grp')} {count_join('cat_null')}""",
+)
+def ordinal_encode_merged(spark, sf_dir):
+    """Codes and counts of two parts of the rows, brought together."""
+    df = orders_base(spark, sf_dir)
+    parts = [train(df).filter(F.col("row_id") % 2 == part) for part in range(2)]
+    for encoder in (OrdinalEncoder(["grp", "cat_null"]), CountEncoder(["grp", "cat_null"])):
+        first, second = (encoder.fit(part) for part in parts)
+        df = first.merge(second).transform(df)
+    return df.select("row_id", "grp_OE", "cat_null_OE", "grp_CE", "cat_null_CE")
+
+
+@query("stream_fit_encoder", te_sql({c: c for c in _CATS}, ["y1", "y2"], "train"))
+def stream_fit_encoder(spark, sf_dir):
+    """A target encoder fitted on a stream of several batches, applied to all rows."""
+    df = materialise(train(folded(base(spark, sf_dir))).repartition(4), "arriving")
+    path, encoder = fresh_path(spark, "stream-fit"), TargetEncoder(_CATS, ["y1", "y2"])
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(df.inputFiles()[0].rsplit("/", 1)[0])
+    made = fit_available(stream, encoder.state, TargetState, path).fitted().transform(df)
+    return made.select("row_id", *[c for c in made.columns if "_TE_" in c])
+
+
 @query(
     "target_encode_new_rows",
     f"""WITH {BASE_CTE}, {FOLDED_CTE}, fitted AS (SELECT * FROM folded WHERE split = 'train' AND NOT (fold = 0 AND seg = 'BUILDING')),

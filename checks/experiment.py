@@ -134,10 +134,13 @@ def group_stats_company(spark, sf_dir):
 
 
 # --- model jobs ------------------------------------------------------------------------------
-# Fits whose result is known: one boosting round on stumps over a 0/1 feature predicts its group means over the
-# other folds, and a linear fit on one column is the regression line. All else is the real cross-validation.
+# Fits whose result is known. With squared loss and whole steps, boosting on inputs of which all that split split alike
+# predicts their group means over the other folds from its first round on, and the later rounds add nothing. A linear
+# fit on one or two columns has a closed form. All else is the real cross-validation.
 
 _STUMP = {"maxIter": 1, "maxDepth": 1, "lossType": "squared"}
+_ROUNDS = {"maxIter": 3, "maxDepth": 3, "stepSize": 1.0, "lossType": "squared"}
+_INPUTS = ("low", "known", "even")
 _SEEDS = (0, 1)
 _CV_CTE = f"""WITH {BASE_CTE}, {FOLDED_CTE}, rows AS (SELECT row_id, split, fold, y1, y2, CAST(nat AS DOUBLE) AS nat,
     CASE WHEN nat < 12 THEN 1 ELSE 0 END AS low FROM folded),
@@ -157,9 +160,9 @@ def _assembled(spark, sf_dir, targets, features):
     return assemble(df, features, targets)
 
 
-def _validated(spark, sf_dir, targets=("y1",), features=("low",), **options):
+def _validated(spark, sf_dir, targets=("y1",), features=_INPUTS, **options):
     table = _assembled(spark, sf_dir, targets, features)
-    return cross_validate(table, features, targets, _SEEDS, FOLDS, **{"params": _STUMP, "parallelism": 8, **options})
+    return cross_validate(table, features, targets, _SEEDS, FOLDS, **{"params": _ROUNDS, "parallelism": 8, **options})
 
 
 @query(
@@ -184,6 +187,34 @@ def cv_oof_linear(spark, sf_dir):
     return oof.select("row_id", "seed", "fold", F.round("prediction", 2).alias("prediction"))
 
 
+_PLANE_CTE = f"""{_CV_CTE}, spreads AS (SELECT r, {', '.join(
+    f"covar_pop({a}, {b}) AS s_{a}_{b}" for a, b in (("nat", "nat"), ("low", "low"), ("nat", "low"), *((x, y) for x in ("nat", "low") for y in ("y1", "y2"))))},
+    avg(nat) AS m_nat, avg(low) AS m_low, avg(y1) AS m_y1, avg(y2) AS m_y2 FROM rows JOIN rounds ON fold <> r WHERE split = 'train' GROUP BY r),
+    planes AS ({' UNION ALL '.join(f"""SELECT r, '{y}' AS target, (s_low_low * s_nat_{y} - s_nat_low * s_low_{y}) / (s_nat_nat * s_low_low - s_nat_low * s_nat_low) AS a,
+    (s_nat_nat * s_low_{y} - s_nat_low * s_nat_{y}) / (s_nat_nat * s_low_low - s_nat_low * s_nat_low) AS b, m_nat, m_low, m_{y} AS m FROM spreads""" for y in ("y1", "y2"))})"""
+
+
+@query(
+    "cv_linear_planes",
+    f"""{_PLANE_CTE} SELECT row_id, target, seed, CAST(fold AS INTEGER) AS fold, CASE target WHEN 'y1' THEN rows.y1 ELSE rows.y2 END AS truth,
+    round(m + a * (nat - m_nat) + b * (low - m_low), 2) AS prediction FROM rows JOIN planes ON fold = r CROSS JOIN seeds WHERE split = 'train'""",
+)
+def cv_linear_planes(spark, sf_dir):
+    """Two targets on two inputs: the fits of all folds and targets from the sums of one pass."""
+    oof = _validated(spark, sf_dir, ("y1", "y2"), features=("nat", "low"), learner="linear", params={}).oof
+    return oof.select("row_id", "target", "seed", "fold", "truth", F.round("prediction", 2).alias("prediction"))
+
+
+@query(
+    "cv_linear_test",
+    f"""{_PLANE_CTE} SELECT row_id, target, round(avg(m + a * (nat - m_nat) + b * (low - m_low)), 2) AS prediction
+    FROM rows CROSS JOIN planes WHERE split = 'test' GROUP BY row_id, target""",
+)
+def cv_linear_test(spark, sf_dir):
+    test = _validated(spark, sf_dir, ("y1", "y2"), features=("nat", "low"), learner="linear", params={}).test
+    return test.select("row_id", "target", F.round("prediction", 2).alias("prediction"))
+
+
 @query(
     "cv_best_iteration",
     f"""SELECT 'known' AS target, CAST(s AS INTEGER) AS seed, CAST(f AS INTEGER) AS fold, 1 AS rounds
@@ -192,7 +223,7 @@ def cv_oof_linear(spark, sf_dir):
 def cv_best_iteration(spark, sf_dir):
     """A target that the feature decides: no round after the first is better."""
     params = {**_STUMP, "maxIter": 64}
-    return _validated(spark, sf_dir, ("known",), params=params, stop="patience", patience=2).rounds
+    return _validated(spark, sf_dir, ("known",), ("low",), params=params, stop="patience", patience=2).rounds
 
 
 @query(
@@ -214,24 +245,31 @@ def cv_importance(spark, sf_dir):
     return top_features(_validated(spark, sf_dir, features=("low", "even")).importance)
 
 
-@query(
-    "multi_target_cv",
-    f"""{_CV_CTE}, scores AS (SELECT avg(abs(rows.y1 - means.y1)) AS y1, avg(abs(rows.y2 - means.y2)) AS y2
-    FROM rows JOIN means ON fold = r AND rows.low = means.low WHERE split = 'train')
-    SELECT 'y1' AS target, round(y1, 4) AS score FROM scores UNION ALL SELECT 'y2', round(y2, 4) FROM scores
-    UNION ALL SELECT 'mean', round((y1 + y2) / 2, 4) FROM scores""",
-)
-def multi_target_cv(spark, sf_dir):
-    """Score per target and their mean, from out-of-fold predictions."""
-    result = _validated(spark, sf_dir, ("y1", "y2"))
-    return oof_scores(result, ("y1", "y2"), _SEEDS, "mean_absolute_error").withColumn("score", F.round("score", 4))
+# the targets are mostly decided by is_specialty, so the one stump of each model splits there, among all features
+_GAP = 1e10
+_SPECIAL = f"CASE WHEN is_specialty = 1 THEN {_GAP} ELSE 0 END"
 
 
-# the target is mostly decided by is_specialty, so the one stump of each model splits there, among all 24 features
-_SPECIAL = "CASE WHEN is_specialty = 1 THEN 1e9 ELSE 0 END"
-_RUN_SQL = f"""WITH {_FOLDED}, rows AS (SELECT fold, is_specialty, aroma + {_SPECIAL} AS y FROM f WHERE split = 'train'),
-    means AS (SELECT r, is_specialty, avg(y) AS m FROM rows JOIN (SELECT unnest(range({FOLDS})) AS r) q ON fold <> r GROUP BY r, is_specialty)
-    SELECT 'aroma' AS target, round(avg(abs(y - m)), 1) AS score FROM rows JOIN means ON fold = r AND rows.is_specialty = means.is_specialty"""
+def _score_sql(targets) -> str:
+    """Score per target, and their mean if there are several, of group means over the other folds."""
+    own = ", ".join(f"{t} + {_SPECIAL} AS {t}" for t in targets)
+    means = ", ".join(f"avg({t}) AS m_{t}" for t in targets)
+    scores = ", ".join(f"avg(abs({t} - m_{t})) AS {t}" for t in targets)
+    parts = [f"SELECT '{t}' AS target, round({t}, 1) AS score FROM scores" for t in targets]
+    if len(targets) > 1:
+        parts.append(f"SELECT 'mean', round(({' + '.join(targets)}) / {len(targets)}, 1) FROM scores")
+    return f"""WITH {_FOLDED}, rows AS (SELECT fold, is_specialty, {own} FROM f WHERE split = 'train'),
+    means AS (SELECT r, is_specialty AS s, {means} FROM rows JOIN (SELECT unnest(range({FOLDS})) AS r) q ON fold <> r GROUP BY r, is_specialty),
+    scores AS (SELECT {scores} FROM rows JOIN means ON fold = r AND rows.is_specialty = means.s)
+    {' UNION ALL '.join(parts)}"""
+
+
+@query("multi_target_cv", _score_sql(TARGETS))
+def multi_target_cv(spark, sf_dir):
+    """The widest experiment whole: all targets, columns, folds and seeds, in one short round of boosting each."""
+    spec = EXPERIMENTS["exp_007"].change(name="all", learner=Learner("gbt", _STUMP, "patience", 1, 8))
+    scores = run(spec, _special_rows(spark, sf_dir, TARGETS)).scores
+    return scores.withColumn("score", F.round("score", 1))
 
 
 def _single():
@@ -239,9 +277,13 @@ def _single():
     return EXPERIMENTS["exp_007"].change(name="single", targets=("aroma",), learner=Learner("gbt", _STUMP, "patience", 1, 8))
 
 
-def _special_rows(spark, sf_dir):
+def _special_rows(spark, sf_dir, targets=("aroma",)):
     special = "category_one_defects = 0 AND category_two_defects <= 5"
-    return raw_rows(spark, sf_dir).withColumn("aroma", F.expr(f"aroma + CASE WHEN {special} THEN 1e9 ELSE 0 END"))
+    gap = f"CASE WHEN {special} THEN {_GAP} ELSE 0 END"
+    return raw_rows(spark, sf_dir).withColumns({t: F.expr(f"{t} + {gap}") for t in targets})
+
+
+_RUN_SQL = _score_sql(("aroma",))
 
 
 @query("single_target_run", _RUN_SQL)

@@ -7,7 +7,8 @@ of per-category aggregates: the columns are unpivoted to (feature, category).
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
+from functools import reduce
 from typing import ClassVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,7 +25,6 @@ from .lookup import (
     broadcastable,
     counted,
     measure_by,
-    row_key,
     store_by,
 )
 from .persist import load_table, save_table
@@ -83,11 +83,11 @@ class FittedEncoder:
     ) -> DataFrame:
         small = broadcastable(self.sizes, table_bytes, total_bytes)
         large = [c for c in self.encoded if c not in small]
-        if len(large) > 1 and row_key(df) and not df.isStreaming:
+        if len(large) > 1 and not df.isStreaming:
             entries = self.table.filter(F.col("feature").isin(large)).withColumn("value", F.col(value))
-            long = unpivot_categories(df, large, row_key(df))
+            texts = {c: category(df, c) for c in large}
             weight = sum(self.sizes[c].weight for c in large)
-            df = attach_all(df, long, entries, {c: out.format(c) for c in large}, lambda entry: entry, weight)
+            df = attach_all(df, texts, [], entries, {c: out.format(c) for c in large}, lambda entry: entry, weight)
             large = []
         for i, column in enumerate(c for c in self.encoded if c in small or c in large):
             if i % CHAIN == 0:
@@ -115,6 +115,13 @@ class FittedEncoder:
         about = {"encoded": self.encoded, "passthrough": self.passthrough, "order": self.order}
         save_table(self.table, about, path, ("feature",))
 
+    def _united(self, others: Sequence[FittedEncoder]) -> DataFrame:
+        """The rows of several fitted tables of the same columns."""
+        for other in others:
+            if (type(other), other.order, other.encoded) != (type(self), self.order, self.encoded):
+                raise ValueError("fits of different encoders cannot be merged")
+        return reduce(DataFrame.unionByName, [other.table for other in others], self.table)
+
     @classmethod
     def load(cls, spark: SparkSession, path: str):
         table, about = load_table(spark, path)
@@ -125,6 +132,12 @@ class FittedEncoder:
 class FittedCount(FittedEncoder):
     suffix = "_CE"
 
+    def merge(self, *others: FittedCount) -> FittedCount:
+        """As fitted on the rows of all."""
+        counts = self._united(others).groupBy("feature", "category").agg(F.sum("n").alias("n"))
+        table, sizes = store_by(counts, "count-encoder", "feature", "n")
+        return FittedCount(self.encoded, self.passthrough, self.order, table, _complete(sizes, self.encoded))
+
     def transform(
         self, df: DataFrame, table_bytes: int = TABLE_BYTES, total_bytes: int = TOTAL_BYTES
     ) -> DataFrame:
@@ -152,6 +165,11 @@ class CountEncoder:
 class FittedOrdinal(FittedEncoder):
     suffix = "_OE"
 
+    def merge(self, *others: FittedOrdinal, rows_per_task: int = ROWS_PER_TASK) -> FittedOrdinal:
+        """As fitted on the rows of all: codes follow the row in which any of them first shows a category."""
+        first = self._united(others).groupBy("feature", "category").agg(F.sum("n").alias("n"), F.min("first_row").alias("first_row"))
+        return replace(self, **_coded(first, self.encoded, rows_per_task))
+
     def transform(
         self, df: DataFrame, table_bytes: int = TABLE_BYTES, total_bytes: int = TOTAL_BYTES
     ) -> DataFrame:
@@ -185,11 +203,16 @@ class OrdinalEncoder:
             .groupBy("feature", "category")
             .agg(F.count(F.lit(1)).alias("n"), F.min(self.row_id).alias("first_row"))
         )
-        seen, sizes = store_by(first, "first-seen", "feature", "n")
-        rows = sum(s.rows for s in sizes.values())
-        ranked = running_total(seen, ["feature"], ["first_row"], None, "code", rows, self.rows_per_task)
-        table, _ = store_by(ranked, "ordinal-encoder", "feature", "n")
-        return FittedOrdinal(tuple(encoded), tuple(passthrough), self.cols, table, _complete(sizes, encoded))
+        return FittedOrdinal(tuple(encoded), tuple(passthrough), self.cols, **_coded(first, encoded, self.rows_per_task))
+
+
+def _coded(first: DataFrame, encoded: Sequence[str], rows_per_task: int) -> dict:
+    """The stored categories with codes in the order of ``first_row``, and their sizes."""
+    seen, sizes = store_by(first, "first-seen", "feature", "n")
+    rows = sum(s.rows for s in sizes.values())
+    ranked = running_total(seen, ["feature"], ["first_row"], None, "code", rows, rows_per_task)
+    table, _ = store_by(ranked, "ordinal-encoder", "feature", "n")
+    return {"table": table, "sizes": _complete(sizes, encoded)}
 
 
 @dataclass(frozen=True)

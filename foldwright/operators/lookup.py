@@ -28,6 +28,7 @@ FILES = 64                  # of one feature in a stored table
 CHAIN = 6                   # joins between two row counts
 
 INTERNAL = "__k"
+NUMBER = "__number"         # of a row, in the one stored copy that is joined back
 ROW_ID = "row_id"
 
 _names = count()
@@ -116,14 +117,10 @@ def counted(df: DataFrame) -> DataFrame:
     return df.observe(f"rows_{next(_names)}", F.count(F.lit(1)).alias("rows"))
 
 
-def row_key(df: DataFrame) -> list[str]:
-    """The columns that tell rows apart: ``row_id``, within ``split`` if there is one."""
-    return [c for c in ("split", ROW_ID) if c in df.columns] if ROW_ID in df.columns else []
-
-
 def attach_all(
     df: DataFrame,
-    long: DataFrame,
+    categories: Mapping[str, Column],
+    keep: Sequence[str],
     table: DataFrame,
     names: Mapping[str, str],
     value: Callable[[Column], Column],
@@ -131,12 +128,19 @@ def attach_all(
 ) -> DataFrame:
     """Left-join the entries of many features at once, whatever the number of features.
 
-    ``long`` has the row key, ``feature`` and ``category`` for each row and feature
-    of ``names`` (feature to output column). One join finds the entries (``table``:
+    ``categories`` gives each feature of ``names`` (feature to output column) as text; ``keep``
+    are columns of ``df`` that ``value`` reads. One join finds the entries (``table``:
     feature, category, n, value), one aggregate brings those of a row together,
-    and only the last join moves whole rows.
+    and only the last join moves whole rows. The rows are numbered and stored first: they come out as they went
+    in whether or not a column of theirs tells them apart, and neither branch makes them again.
     """
-    ids = row_key(df)
+    rows = materialise(df.withColumn(NUMBER, F.monotonically_increasing_id()), "numbered")
+    own = rows.select(NUMBER, *[F.col(f"`{k}`") for k in keep], *[c.alias(f"__f{i}") for i, c in enumerate(categories.values())])
+    # a feature's name may be that of another column, so the features go by place
+    entries = F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f"__f{i}").alias("category")) for i, f in enumerate(categories)]))
+    long = own.select(NUMBER, *[F.col(f"`{k}`") for k in keep], entries.alias("__e")).select(
+        NUMBER, *[F.col(f"`{k}`") for k in keep], F.col("__e.feature").alias("feature"), F.col("__e.category").alias("category")
+    )
     found = attach(
         long,
         table,
@@ -149,7 +153,7 @@ def attach_all(
     )
     entry = value(F.col("__entry"))
     made = [F.first(F.when(F.col("feature") == f, entry), ignorenulls=True).alias(out) for f, out in names.items()]
-    return df.join(found.groupBy(*ids).agg(*made), ids, "left").select(*[F.col(f"`{c}`") for c in df.columns], *[F.col(f"`{o}`") for o in names.values()])
+    return rows.join(found.groupBy(NUMBER).agg(*made), NUMBER, "left").select(*[F.col(f"`{c}`") for c in df.columns], *[F.col(f"`{o}`") for o in names.values()])
 
 
 def _bucket(columns: Sequence[Column]) -> Column:
@@ -215,7 +219,7 @@ def attach(
         *key_names, F.struct(*outputs).alias(cold_packed), _bucket([F.col(n) for n in key_names]).alias(f"{salt}_r")
     )
     # a salt of its key joins a row; salts beyond those match nothing and spread by the row's content
-    identity = [ROW_ID] if ROW_ID in df.columns else visible(df)
+    identity = [NUMBER, *visible(df)] if NUMBER in df.columns else [ROW_ID] if ROW_ID in df.columns else visible(df)
     spread = SALTS + _bucket([F.col(f"`{c}`") for c in identity])
     # hot rows are answered already, dead ones match nothing: neither needs its key's partition
     step = df.join(F.broadcast(hot), _matches(left, key_names, null_safe), "left").drop(*key_names)

@@ -32,7 +32,6 @@ from .lookup import (
     broadcastable,
     counted,
     measure_by,
-    row_key,
     size_columns,
     size_of,
 )
@@ -86,12 +85,12 @@ class FittedTarget:
             return F.when(F.map_contains_key(means, own), means[own]).otherwise(means[F.lit(TEST_FOLD)])
 
         large = [f for f in self.features if f not in small]
-        together = len(large) > 1 and row_key(df) and not df.isStreaming
+        together = len(large) > 1 and not df.isStreaming
         if together:
-            own = df.select(*row_key(df), fold.alias("__fold"), *[category_of(f).alias(f) for f in large])
             df = attach_all(
-                df,
-                unpivot_categories(own, large, [*row_key(df), "__fold"]),
+                df.withColumn("__fold", fold),
+                {f: category_of(f) for f in large},
+                ["__fold"],
                 known.filter(F.col("feature").isin(large)).withColumn("value", F.col("te")),
                 {f: f"__te_{f}" for f in large},
                 lambda entry: of_fold(entry, F.col("__fold")),
@@ -161,6 +160,41 @@ class FittedTarget:
         return table.withColumn("te", F.transform_values("te", filled))
 
 
+@dataclass(frozen=True)
+class TargetState:
+    """Sums and counts per (feature, category, fold): what target encodings are made from, and all they need.
+
+    States of parts of the rows merge into the state of all of them, in any
+    order: the fold of a row must not depend on the part it came in.
+    """
+
+    encoder: TargetEncoder
+    table: DataFrame
+
+    def merge(self, *others: TargetState) -> TargetState:
+        """The state of the rows of all. One shuffle of aggregated rows; no earlier row is read again."""
+        for other in others:
+            if other.encoder.about() != self.encoder.about():
+                raise ValueError(f"states of different encoders: {self.encoder.about()} and {other.encoder.about()}")
+        rows = reduce(DataFrame.unionByName, [other.table for other in others], self.table)
+        keys = ("feature", "category", "fold")
+        # a sum of decimals is wider than its parts: the state keeps the type of its sums
+        added = [F.sum(f.name).cast(f.dataType).alias(f.name) for f in self.table.schema if f.name not in keys]
+        return TargetState(self.encoder, materialise(rows.groupBy(*keys).agg(*added), "target-state"))
+
+    def fitted(self) -> FittedTarget:
+        """The encoder as fitted on all rows of the state."""
+        return self.encoder.fit_sums(self.table)
+
+    def save(self, path: str) -> None:
+        save_table(self.table, self.encoder.about(), path)
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> TargetState:
+        table, about = load_table(spark, path)
+        return cls(TargetEncoder(**about), table)
+
+
 class TargetEncoder:
     """Mean target per category, without the row's own fold.
 
@@ -189,9 +223,20 @@ class TargetEncoder:
         self.fold_col, self.unseen = fold_col, unseen
         self.inner_folds, self.row_id, self.inner_seed = inner_folds, row_id, inner_seed
 
+    @property
+    def features(self) -> tuple[str, ...]:
+        return (*self.cols, *[interaction_name(i) for i in self.interactions])
+
     def fit(self, train: DataFrame) -> FittedTarget:
-        features = (*self.cols, *[interaction_name(i) for i in self.interactions])
-        encodings = self._encodings(self._sums(train, features))
+        return self.fit_sums(self._sums(train, self.features))
+
+    def state(self, train: DataFrame) -> TargetState:
+        """The stored sums of ``train``, to be merged with those of other rows."""
+        return TargetState(self, materialise(self._sums(train, self.features), "target-state"))
+
+    def fit_sums(self, sums: DataFrame) -> FittedTarget:
+        """The encodings that follow from sums and counts per (feature, category, fold)."""
+        encodings = self._encodings(sums)
         spread = F.pmod(F.xxhash64("category"), F.lit(FILES))
         table = materialise(encodings.repartition("feature", spread), "target-encoder", ("feature",))
         # one row per feature; the prior has one entry per fold
@@ -200,12 +245,17 @@ class TargetEncoder:
             r["feature"]: r
             for r in table.groupBy("feature").agg(*size_columns(table, "n"), prior.alias("prior")).collect()
         }
-        sizes = {f: size_of(told[f]) if f in told else TableSize(0, 0) for f in features}
+        sizes = {f: size_of(told[f]) if f in told else TableSize(0, 0) for f in self.features}
         priors = {fold: tuple(te) for fold, te in (told[PRIOR]["prior"] if PRIOR in told else {}).items()}
         return FittedTarget(
-            features, self.interactions, self.targets, self.fold_col, self.unseen, table, sizes, priors
+            self.features, self.interactions, self.targets, self.fold_col, self.unseen, table, sizes, priors
         )
 
+    def about(self) -> dict:
+        """What the encoder was made with."""
+        names = ("cols", "targets", "interactions", "fold_col", "unseen", "inner_folds", "row_id", "inner_seed")
+        return {name: getattr(self, name) for name in names}
+
     def _parts(self) -> range:
         return range(self.inner_folds or 1)
 

@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import add
 
+import numpy as np
 from pyspark import inheritable_thread_target
 from pyspark.ml import regression
 from pyspark.ml.base import Estimator, Model
@@ -22,6 +23,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..workspace import fresh_path, materialise, shared_dir
+from .boosting import boost
+from .linear import MOST_FEATURES, fold_sums, predict
 from .reshape import TRAIN, fill_below_min
 
 TEST_FOLD = -1
@@ -102,71 +105,14 @@ def make_learner(name: str, params: Mapping[str, object], target: str, seed: int
     return estimator
 
 
-def best_round(errors: Sequence[float], patience: int) -> tuple[int, bool]:
-    """Round (from 1) with the lowest error before ``patience`` rounds pass without a new low, and whether they did."""
-    best = 0
-    for i, error in enumerate(errors):
-        if error < errors[best]:
-            best = i
-        elif i - best >= patience:
-            return best + 1, True
-    return best + 1, False
-
-
-def first_trees(spark: SparkSession, model: Model, rounds: int) -> Model:
-    """The boosted model cut to its first ``rounds`` trees.
-
-    The public API cannot cut a model, so this one helper reaches behind it.
-    """
-    java_trees = model._java_obj.trees()
-    if rounds >= len(java_trees):
-        return model
-    gateway = spark.sparkContext._gateway
-    jvm = spark.sparkContext._jvm
-    kind = jvm.org.apache.spark.ml.regression
-    trees = gateway.new_array(kind.DecisionTreeRegressionModel, rounds)
-    weights = gateway.new_array(gateway.jvm.double, rounds)
-    for i in range(rounds):
-        trees[i] = java_trees[i]
-        weights[i] = float(model.treeWeights[i])
-    cut = regression.GBTRegressionModel(kind.GBTRegressionModel(model.uid + f"_{rounds}", trees, weights))
-    cut._resetUid(cut._java_obj.uid())
-    cut._transfer_params_from_java()
-    for param in ("featuresCol", "labelCol", "predictionCol", "lossType"):
-        cut.set(cut.getParam(param), model.getOrDefault(param))
-    return cut
-
-
-def fit_one(
-    table: DataFrame, key: FitKey, learner: str, params: Mapping[str, object], stop: str | None, patience: int
-) -> Model:
+def fit_one(table: DataFrame, key: FitKey, learner: str, params: Mapping[str, object], stop: str | None) -> Model:
     """Fit on the other folds; with ``stop`` the held-out fold decides the number of trees."""
-    train = table.filter((F.col("fold") != key.fold) & (F.col("fold") != TEST_FOLD))
     estimator = make_learner(learner, params, key.target, key.seed)
-    if stop is None or learner != "gbt":
-        return estimator.fit(train)
-    if stop == "tolerance":
+    if stop == "tolerance" and learner == "gbt":
         marked = table.filter(F.col("fold") != TEST_FOLD).withColumn("valid", F.col("fold") == key.fold)
         estimator.set(estimator.getParam("validationIndicatorCol"), "valid")
         return estimator.fit(marked)
-    return _fit_patiently(estimator, train, table.filter(F.col("fold") == key.fold), patience)
-
-
-def _fit_patiently(estimator: Estimator, train: DataFrame, valid: DataFrame, patience: int) -> Model:
-    """Stop as if rounds were added one by one.
-
-    The first trees do not depend on how many follow, so the fit is repeated
-    with twice the rounds until the patience runs out: at most about
-    twice the work of the rounds needed, however high ``maxIter`` is.
-    """
-    most = estimator.getMaxIter()
-    rounds = min(most, max(2 * patience, 8))
-    while True:
-        model = estimator.copy({estimator.maxIter: rounds}).fit(train)
-        best, stopped = best_round(model.evaluateEachIteration(valid, estimator.getLossType()), patience)
-        if stopped or rounds == most:
-            return first_trees(valid.sparkSession, model, best)
-        rounds = min(most, rounds * 2)
+    return estimator.fit(table.filter((F.col("fold") != key.fold) & (F.col("fold") != TEST_FOLD)))
 
 
 def _scored(rows: DataFrame, models: Sequence[Model]) -> tuple[DataFrame, list[str]]:
@@ -218,8 +164,10 @@ def cross_validate(
 
     Fits run as concurrent Spark jobs, at most ``parallelism`` at a time. One
     target is done at a time, so the driver holds that target's models only. Each
-    boosted fit that runs caches its training rows (label, weight and vector) on
-    the executors: they need room for ``parallelism`` copies.
+    fit of trees that runs caches its training rows (label, weight and vector) on
+    the executors: they need room for ``parallelism`` copies. With
+    ``stop='patience'`` boosted models grow round by round (``boosting``); plain
+    linear fits of all targets and folds come from one pass over the rows (``linear``).
     """
     if learner not in LEARNERS:
         raise ValueError(f"unknown learner {learner!r}; known: {sorted(LEARNERS)}")
@@ -229,43 +177,86 @@ def cross_validate(
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
     params, slots = dict(params or {}), slot_names(table, features)
+    if learner == "linear" and set(params) <= {"fitIntercept"} and len(slots) <= MOST_FEATURES:
+        return _cross_validate_linear(table, slots, targets, seeds, n_folds, params.get("fitIntercept", True))
     oof_path, test_path = fresh_path(spark, "oof"), fresh_path(spark, "test-predictions")
     importance: list[tuple] = []
     rounds: list[tuple] = []
     for target in targets:
         keys = [FitKey(target, seed, fold) for seed in seeds for fold in range(n_folds)]
-
-        def fit(key: FitKey) -> Model:
-            return fit_one(table, key, learner, params, stop, patience)
-
-        with ThreadPoolExecutor(parallelism) as pool:
-            models = dict(zip(keys, pool.map(inheritable_thread_target(spark)(fit), keys)))
-            score = inheritable_thread_target(spark)(
-                lambda fold: _write_oof(table, oof_path, target, fold, {s: models[FitKey(target, s, fold)] for s in seeds})
-            )
-            list(pool.map(score, range(n_folds)))
-            _write_test(table, test_path, target, list(models.values()))
-        for number, (key, model) in enumerate(models.items()):
+        if learner == "gbt" and stop == "patience":
+            scored, grown = boost(table, target, [(k.seed, k.fold) for k in keys], params, patience, parallelism)
+            _write_boosted(scored, oof_path, test_path, target, seeds, n_folds)
+            told = [(model.importances(), model.rounds) for model in grown]
+        else:
+
+            def fit(key: FitKey) -> Model:
+                return fit_one(table, key, learner, params, stop)
+
+            with ThreadPoolExecutor(parallelism) as pool:
+                models = dict(zip(keys, pool.map(inheritable_thread_target(spark)(fit), keys)))
+                score = inheritable_thread_target(spark)(
+                    lambda fold: _write_oof(table, oof_path, target, fold, {s: models[FitKey(target, s, fold)] for s in seeds})
+                )
+                list(pool.map(score, range(n_folds)))
+                _write_test(table, test_path, target, list(models.values()))
+            told = [(_importances(model, len(slots)), getattr(model, "getNumTrees", 1)) for model in models.values()]
+        for number, (key, (shares, kept)) in enumerate(zip(keys, told)):
             place = (key.target, key.seed, key.fold)
-            importance += [(*place, number, f, float(v)) for f, v in zip(slots, _importances(model, len(slots)))]
-            rounds.append((*place, getattr(model, "getNumTrees", 1)))
+            importance += [(*place, number, f, float(v)) for f, v in zip(slots, shares)]
+            rounds.append((*place, kept))
     oof = spark.read.schema(
         "row_id long, seed int, truth double, prediction double, seed_mean double, target string, fold int"
     ).parquet(oof_path)
     test = spark.read.schema("row_id long, prediction double, target string").parquet(test_path)
-    return CVResult(
-        oof,
-        test,
-        # (models x features) rows, made by the driver from the models it holds
-        spark.createDataFrame(
-            importance, "target string, seed int, fold int, model_no int, feature string, importance double"
-        ),
-        spark.createDataFrame(rounds, "target string, seed int, fold int, rounds int"),
+    return _result(spark, oof, test, importance, rounds)
+
+
+def _result(spark: SparkSession, oof: DataFrame, test: DataFrame, importance: list[tuple], rounds: list[tuple]) -> CVResult:
+    """The tables of importances and rounds have (models x features) rows, made by the driver from the models it holds."""
+    shares = "target string, seed int, fold int, model_no int, feature string, importance double"
+    return CVResult(oof, test, spark.createDataFrame(importance, shares), spark.createDataFrame(rounds, "target string, seed int, fold int, rounds int"))
+
+
+def _write_boosted(scored: DataFrame, oof_path: str, test_path: str, target: str, seeds: Sequence[int], n_folds: int) -> None:
+    """Out-of-fold and test predictions from rows that carry those of all models, seed by seed and fold by fold."""
+    scored = materialise(scored.drop("features"), "scored", ("fold",))
+    own = [F.get("best", F.lit(i * n_folds) + F.col("fold")) for i in range(len(seeds))]
+    entries = F.array(*[F.struct(F.lit(seed).alias("seed"), p.alias("prediction")) for seed, p in zip(seeds, own)])
+    mean = reduce(add, own) / F.lit(float(len(own)))
+    long = scored.filter(F.col("fold") != TEST_FOLD).select(
+        "row_id", "fold", F.col(f"y_{target}").alias("truth"), mean.alias("seed_mean"), F.explode(entries).alias("e")
+    )
+    kept = long.select("row_id", "e.seed", "truth", "e.prediction", "seed_mean", "fold")
+    kept.write.partitionBy("fold").parquet(f"{oof_path}/target={_escaped(target)}")
+    all_models = [F.col("best")[i] for i in range(len(seeds) * n_folds)]
+    test = scored.filter(F.col("fold") == TEST_FOLD).select("row_id", (reduce(add, all_models) / F.lit(float(len(all_models)))).alias("prediction"))
+    test.write.parquet(f"{test_path}/target={_escaped(target)}")
+
+
+def _cross_validate_linear(
+    table: DataFrame, slots: Sequence[str], targets: Sequence[str], seeds: Sequence[int], n_folds: int, intercept: bool
+) -> CVResult:
+    """Least squares has one solution, whatever the seed: the sums of one pass give it for all folds and targets."""
+    spark, sums = table.sparkSession, fold_sums(table, targets, intercept)
+    fits = {fold: sums.solve(fold, intercept) for fold in range(n_folds)}
+    # the mean of the models' predictions is the prediction of their mean
+    mean = tuple(np.mean(parts, axis=0) for parts in zip(*fits.values()))
+    made = materialise(predict(table, targets, fits, mean), "linear", ("fold",))
+    each = F.explode(F.array(*[F.lit(s) for s in seeds])).alias("seed")
+    oof = made.filter(F.col("fold") != TEST_FOLD).select(
+        "row_id", each, "truth", "prediction", F.col("prediction").alias("seed_mean"), "target", "fold"
     )
+    test = made.filter(F.col("fold") == TEST_FOLD).select("row_id", "prediction", "target")
+    importance, rounds = [], []
+    for i, target in enumerate(targets):
+        for number, (seed, fold) in enumerate((s, f) for s in seeds for f in range(n_folds)):
+            importance += [(target, seed, fold, number, name, float(abs(c))) for name, c in zip(slots, fits[fold][0][:, i])]
+            rounds.append((target, seed, fold, 1))
+    return _result(spark, oof, test, importance, rounds)
 
 
 def _importances(model: Model, width: int) -> list[float]:
     vector = model.featureImportances if hasattr(model, "featureImportances") else model.coefficients
     values = [abs(v) for v in vector.toArray()]
-    # a cut model knows only the features its trees use
     return values + [0.0] * (width - len(values))

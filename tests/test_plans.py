@@ -1,7 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from foldwright.operators.training import assemble, best_round, cross_validate, make_learner
+from foldwright.operators.boosting import best_round
+from foldwright.operators.training import assemble, cross_validate, make_learner
 from foldwright.plans.config import Learner, Split, TargetEncoding
 from foldwright.plans.experiment import run
 from foldwright.plans.features import FeatureTable, build_features, feature_table, with_folds
