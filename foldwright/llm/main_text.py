@@ -2,7 +2,12 @@
 
 First every block of text is judged by itself: by what it stands in, its length,
 the density of stop words and of links. Blocks too short or too even to tell
-are left open, and in the second pass take the label of the nearest decided ones.
+are left open, and in the second pass take the label of the nearest block that was decided by its
+words. A block that is bad by its tag, its name or its links (a menu, a line "read more") says
+nothing about its neighbours.
+
+The stop words are those of English, German, French and Spanish. On a page where hardly any of them
+occurs, long blocks without links count as text, whatever their words.
 """
 
 from __future__ import annotations
@@ -31,7 +36,7 @@ BLOCK_TAGS = frozenset(
     "footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol optgroup option p pre section select "
     "summary table tbody td tfoot th thead title tr ul".split()
 )
-CHROME_TAGS = frozenset("aside button dialog fieldset footer form head header legend menu nav optgroup option select title".split())
+CHROME_TAGS = frozenset("aside button dialog fieldset footer head header legend menu nav optgroup option select title".split())
 # Names in a class, id or role of such parts, alone or in compounds of each other and of the words after them.
 CHROME_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising alert aside banner breadcrumb breadcrumbs comment comments consent "
@@ -44,6 +49,7 @@ COMPOUND_WORDS = frozenset(
     "site main top bottom primary secondary global mobile bar box area block section wrapper wrap container inner list item items "
     "link links icon icons button buttons post posts".split()
 )
+CLOSED_BY_NEXT = frozenset("li dt dd option tr td th".split())
 INLINE_TAGS = frozenset(["span", "i", "b", "strong", "em", "small", "label"])
 HEADINGS = frozenset(["h1", "h2", "h3", "h4", "h5", "h6"])
 MAIN_TAGS = frozenset(["article", "main"])
@@ -75,13 +81,14 @@ class _Block:
     main: int
     masked: bool
     heading: bool
+    form: bool = False
     label: str = field(default="")
 
 
 @dataclass(frozen=True)
 class _Open:
     """An element that is open: whether it is no part of the article by its tag or by a name, is left out of its block,
-    its main part or 0, and whether that is an <article> or <main> below a name that would hide it."""
+    its main part or 0, whether that is an <article> or <main> below a name that would hide it, and whether it stands in a form."""
 
     tag: str
     chrome: bool
@@ -89,6 +96,7 @@ class _Open:
     muted: bool
     main: int
     masked: bool
+    form: bool = False
 
 
 _PAGE = _Open("", False, False, False, 0, False)
@@ -122,13 +130,14 @@ def blocks(page: str) -> list[_Block]:
     linked = links = breaks = mains = 0
     heading = False
     open_tags: list[_Open] = []
+    open_of: Counter[str] = Counter()  # so an end tag without a beginning costs no look at those that are open
     inside = _PAGE
 
     def close() -> None:
         nonlocal linked
         text = " ".join("".join(parts).split())
         if text:
-            out.append(_Block(text, min(linked, len(text)), inside.chrome or inside.named, inside.main, inside.masked, heading))
+            out.append(_Block(text, min(linked, len(text)), inside.chrome or inside.named, inside.main, inside.masked, heading, inside.form))
         parts.clear()
         linked = 0
 
@@ -160,17 +169,22 @@ def blocks(page: str) -> list[_Block]:
             if tag not in ("p", "li", "td", "th"):
                 links = 0
             if not ends:
-                if open_tags and open_tags[-1].tag == "p":  # a paragraph holds no blocks
-                    open_tags.pop()
+                # a paragraph holds no blocks, and an item ends the one before it
+                if open_tags and (open_tags[-1].tag == "p" or open_tags[-1].tag == tag and tag in CLOSED_BY_NEXT):
+                    open_of[open_tags.pop().tag] -= 1
                 if tag != "hr":
                     open_tags.append(_opened(tag, attributes, open_tags[-1] if open_tags else _PAGE, mains + 1))
+                    open_of[tag] += 1
                     mains = max(mains, open_tags[-1].main)
         elif tag in INLINE_TAGS and attributes and not ends and ((own := _opened(tag, attributes, _PAGE, 0)).chrome or own.named):
             open_tags.append(replace(inside, tag=tag, muted=True))
-        if ends and tag:
-            match = next((i for i in range(len(open_tags) - 1, -1, -1) if open_tags[i].tag == tag), None)
-            if match is not None:
-                del open_tags[match:]
+            open_of[tag] += 1
+        if ends and open_of[tag]:
+            while True:  # every element is closed once
+                closed = open_tags.pop().tag
+                open_of[closed] -= 1
+                if closed == tag:
+                    break
         inside = open_tags[-1] if open_tags else _PAGE
     add(page[at:])
     close()
@@ -185,23 +199,32 @@ def _opened(tag: str, attributes: str, parent: _Open, number: int) -> _Open:
     main = whole or tag not in _BARE and main and not named
     own_header = tag == "header" and parent.main  # that of the article, with its title
     chrome = parent.chrome or hidden or tag in CHROME_TAGS and not own_header
+    form = parent.form or tag == "form"
     if whole and parent.named and not parent.main:  # comments and the like within a main part stay hidden
-        return _Open(tag, chrome, False, parent.muted, number, True)
+        return _Open(tag, chrome, False, parent.muted, number, True, form)
     named = named or parent.named
-    return _Open(tag, chrome, named, parent.muted, parent.main or (number if main and not named else 0), parent.masked)
+    return _Open(tag, chrome, named, parent.muted, parent.main or (number if main and not named else 0), parent.masked, form)
+
+
+def _stop_words(block: _Block) -> float:
+    """The share of stop words among the words of a block."""
+    words = _WORD.findall(block.text.lower())
+    return sum(w in STOP_WORDS for w in words) / max(len(words), 1)
 
 
-def _judge(block: _Block, has_main: bool) -> str:
-    """good, bad, or open: near (to good) and short."""
+def _judge(block: _Block, has_main: bool, known: bool) -> str:
+    """good or bad by its words, chrome by what it stands in or links to, or open: near (to good) and short.
+
+    ``known``: the page is in one of the languages of the stop words.
+    """
     if block.chrome or has_main and not block.main:
-        return "bad"
+        return "chrome"
     n = len(block.text)
     if block.linked > LINKS * n:
-        return "bad"
+        return "chrome"
     if n < SHORT:
         return "short"
-    words = _WORD.findall(block.text.lower())
-    density = sum(w in STOP_WORDS for w in words) / max(len(words), 1)
+    density = _stop_words(block) if known else HIGH_DENSITY
     if density >= HIGH_DENSITY:
         return "good" if n > LONG else "near"
     if density >= LOW_DENSITY or block.main:  # in a named main part few stop words are no proof
@@ -214,17 +237,25 @@ def main_blocks(page: str) -> list[str]:
     if any(b.main and not b.chrome and not b.masked for b in found):
         for b in found:  # cards of other articles, say; where no article stands free, a name hides none
             b.chrome |= b.masked
+    # a form is no part of the article, unless it is wrapped round most of the page's text
+    free = [b for b in found if not b.chrome and b.linked <= LINKS * len(b.text)]
+    in_forms = sum(len(b.text) for b in free if b.form)
+    if 2 * in_forms <= sum(len(b.text) for b in free):
+        for b in found:
+            b.chrome |= b.form
     parts = Counter()
     for b in found:
         if b.main and not b.chrome:
             parts[b.main] += len(b.text)
     has_main = max(parts.values(), default=0) > LONG  # a title alone says nothing about the blocks outside it
+    long = [b for b in free if not b.chrome and len(b.text) >= SHORT]
+    known = not long or sum(len(b.text) for b in long if _stop_words(b) >= LOW_DENSITY / 2) * 4 > sum(len(b.text) for b in long)
     for b in found:
-        b.label = _judge(b, has_main)
+        b.label = _judge(b, has_main, known)
     decided = [(i, b.label == "good") for i, b in enumerate(found) if b.label in ("good", "bad")]
     out, next_decided = [], 0
     for i, b in enumerate(found):
-        if b.label in ("good", "bad"):
+        if b.label in ("good", "bad", "chrome"):
             good = b.label == "good"
         else:
             while next_decided < len(decided) and decided[next_decided][0] < i:
@@ -232,7 +263,7 @@ def main_blocks(page: str) -> list[str]:
             before = decided[next_decided - 1] if next_decided else None
             after = decided[next_decided] if next_decided < len(decided) else None
             if b.main:  # what lies outside this part says nothing about it
-                before, after = (d if d and found[d[0]].main == b.main and not found[d[0]].chrome else None for d in (before, after))
+                before, after = (d if d and found[d[0]].main == b.main else None for d in (before, after))
             if b.heading and after and after[0] - i < 3:  # a heading goes with what it heads
                 before = None
             near = sorted((abs(d[0] - i), not d[1] if b.label == "near" else d[1], d[1]) for d in (before, after) if d)
@@ -247,7 +278,7 @@ def extract_text(pages: DataFrame, key: str = "page_id", url: str = "url", page:
 
     Blocks are joined by an empty line; white space inside one is one space and
     character references are decoded. A null or empty page, or one without main
-    text, gives an empty text. Null keys and repeated rows are kept; other
+    text, gives an empty text. Elements that are never closed cost no more than others. Null keys and repeated rows are kept; other
     columns are not read. No shuffle; whole pages are read, one at a time.
     """
 

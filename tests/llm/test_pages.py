@@ -132,3 +132,40 @@ def test_filter_urls(spark):
     assert got == sorted(want, key=str)
     assert {r.verdict for r in filter_urls(df, [], "block").collect()} == {"block"}
     assert filter_urls(df.limit(0), RULES).count() == 0
+
+
+EN = "It is the habit of the old harbour that the boats come in with the tide and that the nets are dried on the wall by the road, as they were in the days of our own fathers and of theirs before."
+
+
+def test_a_link_line_says_nothing_about_its_neighbours():
+    more = "<p><a href='/x'>Read more: the story of the boats and of the nets in the old harbour</a></p>"
+    assert 180 < len(EN) < 200 < len(EN + EN)
+    assert main_blocks(page(f"<article><p>{EN}</p>{more}<p>{EN} {EN}</p></article>")) == [EN, f"{EN} {EN}"]
+    assert main_blocks(page(f"<article><p>{EN}</p>{more}<p>{EN}</p></article>")) == [EN, EN]
+    assert main_blocks(page(f"<article><ul><li><a href='#a'>Part one</a></li></ul><p>{EN}</p><p>{EN}</p></article>")) == [EN, EN]
+    menu = "<ul><li><a href='/'>Home</a></li><li><a href='/b'>Boats</a></li></ul>"
+    assert main_blocks(page(f"<nav>{menu}</nav><div><p>{EN}</p><p>{EN}</p></div><footer>{menu} and so on</footer>")) == [EN, EN]
+
+
+def test_a_language_without_stop_words_is_judged_by_length_and_links():
+    text = "Vanha satama herää aikaisin aamulla ja veneet palaavat sinne vuoroveden mukana samalla kun verkot kuivuvat muurilla tien vieressä. " * 2
+    links = "".join(f"<a href='/{i}'>sivu numero {i} ja vielä lisää luettavaa</a> " for i in range(9))
+    assert main_blocks(page(f"<div><p>{text}</p><p>{text}</p></div><div>{links}</div>")) == [text.strip()] * 2
+    # but a page of a known language does not take such a block for text
+    assert main_blocks(page(f"<div><p>{PROSE}</p><p>{PROSE}</p><p>{FR}</p></div><div><p>{text}</p></div>")) == [PROSE.strip(), PROSE.strip(), FR.strip()]
+
+
+def test_a_form_round_the_page_is_no_chrome():
+    form = "<form><p>Give your name and your address and we will send the news to you on the first day of the month</p></form>"
+    assert main_blocks(page(f"<form action='/'><div><p>{PROSE}</p><p>{FR}</p></div></form>")) == [PROSE.strip(), FR.strip()]
+    assert main_blocks(page(f"<div><p>{PROSE}</p>{form}<p>{FR}</p></div>")) == [PROSE.strip(), FR.strip()]
+
+
+def test_many_unclosed_elements_take_no_more_than_their_length():
+    import time
+
+    start = time.perf_counter()
+    for tag in ("li", "div", "span class='ad'", "b"):
+        big = f"<article><p>{PROSE}</p></article>" + f"<{tag}><a href='/x'>link</a></i></section>" * 40_000
+        assert main_blocks(big)[0] == PROSE.strip()
+    assert time.perf_counter() - start < 30
