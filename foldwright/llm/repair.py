@@ -110,7 +110,8 @@ def compress(ids: np.ndarray, stop: int) -> tuple[int, np.ndarray, np.ndarray]:
     first = nonterminal = max(int(ids.max(initial=0)), stop) + 1
     end = len(ids)
     sequence = np.append(ids, stop).astype(np.uint32)
-    following, before = np.arange(1, end + 2), np.arange(-1, end)
+    place_type = np.int32 if end < 2**31 - 2 else np.int64
+    following, before = np.arange(1, end + 2, dtype=place_type), np.arange(-1, end, dtype=place_type)
     following[end] = before[0] = end
     gone, look = np.zeros(end + 1, bool), np.zeros(end + 1, bool)
     rules: list[np.ndarray] = []

@@ -21,8 +21,9 @@ from .batches import arrow_schema, begin_task, pieces_of, task_number, text_rows
 from .pieces import encoder
 from .repair import Shard, pack_shard
 
-#: Ids after which a shard is closed; a longer document has a shard of its own.
-SHARD_IDS = 2_000_000
+#: Ids after which a shard is closed; a longer document has a shard of its own. The grammar of a smaller shard is found with
+#: less memory traffic (two million ids as two shards take 0.7 of the time) and shares its rules among fewer ids (7 % more bytes).
+SHARD_IDS = 1_000_000
 
 SHARDS = "part long, shard long, n_ids long, keys array<long>, data binary"
 DOCUMENTS = "part long, shard long, doc_id long, first long, n_tokens long, ids_crc32 long"
