@@ -62,3 +62,11 @@ def task_number() -> int:
 def text_rows(df: DataFrame, key: str, text: str) -> DataFrame:
     """``key`` and ``text`` alone, under fixed names; a null text is empty."""
     return df.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+
+
+def free_name(name: str, taken: Iterable[str]) -> str:
+    """``name``, with as many marks behind it as no column has, in whatever case."""
+    lower = {c.lower() for c in taken}
+    while name.lower() in lower:
+        name += "_"
+    return name

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from foldwright.workspace import materialise
 
-from .batches import arrow_schema, begin_task, map_rows, text_rows
+from .batches import arrow_schema, begin_task, free_name, map_rows, text_rows
 from .components import components
 
 BITS, SEED = 64, 42
@@ -199,17 +199,18 @@ def keep_one(docs: DataFrame, words: int = 4, radius: int = 4, key: str = "doc_i
 
     Where several rows have that key, the one with the smallest hash of its text
     stays; of equal rows one. Of rows whose group has no key at all, one stays for each fingerprint.
+    Other columns may have any names.
     """
     found = near_duplicates(docs, words, radius, key, text)
     chosen = found.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("unnamed")).agg(
         F.min(F.when(F.col("doc_id").eqNullSafe(F.col("component_id")), F.col("tie"))).alias("tie")
     )
-    # keys that are never null, so that the join and the last step deal the texts out once
+    # keys that are never null, so that the join and the last step deal the texts out once, by names that no column has
+    both = [free_name(n, docs.columns) for n in ("_kept_id", "_kept_tie")]
 
     def named(column: str) -> Column:
-        return F.coalesce(F.col(column).cast("long").cast("string"), F.lit("")).alias("_kept_id")
+        return F.coalesce(F.col(column).cast("long").cast("string"), F.lit("")).alias(both[0])
 
-    chosen = chosen.select(named("component_id"), F.col("tie").alias("_kept_tie"))
-    tied = docs.select("*", named(key), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("_kept_tie"))
-    both = ["_kept_id", "_kept_tie"]
+    chosen = chosen.select(named("component_id"), F.col("tie").alias(both[1]))
+    tied = docs.select("*", named(key), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias(both[1]))
     return tied.join(chosen, both, "left_semi").dropDuplicates(both).select(*docs.columns)

@@ -196,7 +196,10 @@ def _to_blocks(docs: DataFrame, text: str) -> DataFrame:
     return docs.mapInArrow(run, BLOCKS)
 
 
-def dedup_substrings(docs: DataFrame, words: int = 13, first_words: int = FIRST_WORDS, key: str = "doc_id", text: str = "text", rejoin: bool = True) -> DataFrame:
+def dedup_substrings(
+    docs: DataFrame, words: int = 13, first_words: int = FIRST_WORDS, key: str = "doc_id", text: str = "text", rejoin: bool = True,
+    counts: tuple[str, str] = ("n_words", "n_removed"),
+) -> DataFrame:
     """``docs`` with the words left in ``text``, joined by one space, and ``n_words`` and ``n_removed``.
 
     With ``rejoin`` off, a text that loses no word stays as it is.
@@ -206,13 +209,13 @@ def dedup_substrings(docs: DataFrame, words: int = 13, first_words: int = FIRST_
     judged on the input. Documents with fewer words keep all; a null text has no
     words and becomes empty. Rows with equal keys are no earlier documents to
     each other; a null key counts as the largest. Repeated rows come out as
-    often as they came in. Other columns pass through; ones named ``n_words``
-    or ``n_removed`` are replaced. An empty table gives an empty one.
+    often as they came in. Other columns pass through; ones named as the two
+    ``counts`` are replaced. An empty table gives an empty one.
     """
     if words < 1 or first_words < 1:
         raise ValueError("windows need at least one word")
     spark = docs.sparkSession
-    docs = docs.drop("n_words", "n_removed")
+    docs = docs.drop(*counts)
     lengths = lengths_to(words, first_words)
     blocks = materialise(_to_blocks(docs, text), "blocks")
     total = blocks.agg(F.sum("n_words")).first()[0] or 0
@@ -267,7 +270,7 @@ def dedup_substrings(docs: DataFrame, words: int = 13, first_words: int = FIRST_
         messages = answered(level, replies).mapInArrow(send(level), MESSAGES)
         replies.append(materialise(messages.groupBy("bucket").applyInArrow(answer(level), REPLIES), "replies"))
 
-    result = T.StructType([f for f in docs.schema.fields if f.name != text] + T.StructType.fromDDL(f"`{text}` string, n_words long, n_removed long").fields)
+    result = T.StructType([f for f in docs.schema.fields if f.name != text] + T.StructType.fromDDL(f"`{text}` string, `{counts[0]}` long, `{counts[1]}` long").fields)
     names = [f.name for f in docs.schema.fields if f.name != text]
 
     def cut(batches):
@@ -293,7 +296,7 @@ def dedup_substrings(docs: DataFrame, words: int = 13, first_words: int = FIRST_
                 start = end
             columns = [block.batch.column(c) for c in names]
             columns += [pa.array(texts, pa.string()), pa.array([len(w) for w in block.words], pa.int64()), pa.array(removed, pa.int64())]
-            made = pa.record_batch(columns, names=[*names, text, "n_words", "n_removed"])
+            made = pa.record_batch(columns, names=[*names, text, *counts])
             yield from pieces_of([made], 4096)
 
     return answered(len(lengths), replies).mapInArrow(cut, result)

@@ -29,7 +29,8 @@ SCHEMA = "page_id long, host string, path string, rule string, verdict string"
 class Rule:
     """``block example.org/es/``: a host with all its subdomains and the beginning of a path, both globs.
 
-    ``*`` stands for any run of characters and ``?`` for one; neither crosses from host to path.
+    ``*`` stands for any run of characters and ``?`` for one byte (a character beyond ASCII has several);
+    neither crosses from host to path.
     """
 
     action: str

@@ -120,8 +120,27 @@ def test_queries_give_whole_tables(spark):
     found = QUERIES["op9_simhash_dedup"](spark, SF).collect()
     assert {r.doc_id: r.fingerprint for r in found} == {d.doc_id: f"{fingerprint(d.text):016x}" for d in docs}
     assert len(QUERIES["op5_token_files"](spark, SF).collect()) == len(docs)
-    assert {re.match(r"op(\d+)_", n)[1] for n in QUERIES} == {str(n) for n in range(1, 11)}
+    assert {re.match(r"op(\d+)_", n)[1] for n in QUERIES} == {str(n) for n in range(1, 14)}
 
 
 def test_entry_registers_them():
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
+
+
+def test_columns_of_any_name_stay(spark, steps):
+    """Names that the stages use inside, and tables without the columns that they could do without."""
+    from pyspark.sql import functions as F
+
+    from corpus_pipeline import STAGES
+
+    some = steps[0].select("doc_id", "text").withColumns(
+        {n: F.concat(F.lit(n), F.col("doc_id").cast("string")) for n in ("_kept_id", "_KEPT_TIE", "n_words", "n_removed", "score", "fp", "tie", "component_id", "block", "part", "rows", "item_id")}
+    )
+    docs = some
+    for name, stage in STAGES[:-1]:
+        made = stage(spark, docs, SF)
+        assert made.columns == some.columns, name
+        docs = made
+    kept = docs.collect()
+    assert kept and all(r[n] == f"{n}{r.doc_id}" for r in kept for n in some.columns[2:])
+    assert STAGES[-1][1](spark, docs, SF).columns[:3] == ["doc_id", "piece", "start"]

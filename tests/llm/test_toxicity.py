@@ -115,3 +115,34 @@ def test_penalty_acts_on_the_change():
 def test_features_ignore_marks_around_a_word():
     assert set(toxicity.features("word")) == set(toxicity.features("(word),")) and toxicity.features("--") == ()
     assert len(toxicity.features("wordy")) == 2 and len(toxicity.features("wording")) == 3
+
+
+@pytest.mark.parametrize("ridge, counterfactual", [(0.01, 0.0), (0.01, 1.0), (0.1, 20.0)])
+def test_weights_and_scores_equal_a_dense_solution(ridge, counterfactual):
+    """The same loss written out with whole matrices and brought to its least by plain Newton steps."""
+    import numpy as np
+
+    chance = random.Random(4)
+    places = [3, 8, 20, 21, 40]
+    rows = []
+    for _ in range(80):
+        own = sorted(p for p in places if chance.random() < 0.4)
+        swapped = [sorted(p for p in places if chance.random() < 0.4) for _ in range(chance.randint(0, 3))]
+        rows.append((int(chance.random() < (0.7 if 8 in own else 0.2)), own, swapped))
+    model = fit_weights(rows, places, ridge, counterfactual)
+
+    def line(own, last):
+        return [float(p in own) for p in places] + [last]
+
+    x, y = np.array([line(own, 1.0) for _, own, _ in rows]), np.array([label for label, *_ in rows], float)
+    changes = [(np.array(line(o, 0.0)) - line(own, 0.0)) / math.sqrt(len(swapped)) for _, own, swapped in rows for o in swapped]
+    held = np.diag([ridge * len(rows)] * len(places) + [1e-6 * len(rows)]) + 2 * counterfactual * sum(np.outer(c, c) for c in changes)
+    begin = np.array([0.0] * len(places) + [math.log((y.sum() + 1) / (len(y) - y.sum() + 1))])
+    w = begin.copy()
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-x @ w))
+        w -= np.linalg.solve(x.T @ (x * (p * (1 - p))[:, None]) + held, x.T @ (p - y) + held @ (w - begin))
+    assert model.bias == pytest.approx(w[-1], abs=1e-4)
+    assert [model.weights[p] for p in places] == pytest.approx(w[:-1], abs=1e-4)
+    own = 1 / (1 + np.exp(-(model.bias + x[:, :-1] @ [model.weights[p] for p in places])))
+    assert own == pytest.approx(1 / (1 + np.exp(-x @ w)), abs=1e-4)
