@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foldwright.llm import toxicity
+from foldwright.llm.batches import free_name
 from foldwright.llm.decontaminate import decontaminated
 from foldwright.llm.packing import pack
 from foldwright.llm.queries import BYTE_BPE, table
@@ -35,15 +36,18 @@ def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Words in a 13-word window that an earlier document has go from the text, and ``n_chars`` follows.
+    """Words in a 13-word window that an earlier document has go from the text, and ``n_chars`` follows if there is one.
 
     Texts that lose nothing stay as they are, and all rows stay, with an empty
-    text where every word went.
+    text where every word went. Other columns stay as they are, whatever their names.
     """
     set_up(spark)
-    found = dedup_substrings(docs, words=13, rejoin=False)
-    changed = found.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return changed.select(*docs.columns)
+    counts = free_name("n_words", docs.columns), free_name("n_removed", docs.columns)
+    found = dedup_substrings(docs, words=13, rejoin=False, counts=counts)
+    if "n_chars" in docs.columns:
+        length = F.length("text").cast(docs.schema["n_chars"].dataType)
+        found = found.withColumn("n_chars", F.when(F.col(counts[1]) > 0, length).otherwise(F.col("n_chars")))
+    return found.select(*docs.columns)
 
 
 def without_benchmark_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -49,10 +49,11 @@ def set_up(spark: SparkSession) -> None:
     Executors get this package if they cannot import it by themselves, and a
     local session without ``spark.checkpoint.dir`` gets a folder of this machine.
     Elsewhere the setting is required, and the library says so when it is missing.
-    Batches for Python workers are kept small.
+    Batches for Python workers are kept small where the caller has not set them.
     """
     for key, value in BATCHES.items():
-        spark.conf.set(key, value)
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
     context = spark.sparkContext
     if context.master.startswith("local[") or context.master == "local":
         if not shared_dir_setting(spark):
