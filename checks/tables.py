@@ -57,6 +57,14 @@ def scan_quoted_text(spark, sf_dir):
     return tables.read_csv(spark, path, T.StructType.fromDDL("page_id BIGINT, html STRING"), row_id="page_id")
 
 
+@query("scan_quoted_split", "SELECT row_number() OVER (ORDER BY page_id) - 1 AS row_id, page_id, html FROM pages")
+def scan_quoted_split(spark, sf_dir):
+    """One file with line breaks in its fields, read by as many tasks as it has blocks."""
+    path = fresh_path(spark, "csv")
+    _quoted(table(spark, sf_dir, "pages").select("page_id", "html").orderBy("page_id").coalesce(1), path)
+    return tables.read_csv(spark, path, T.StructType.fromDDL("page_id BIGINT, html STRING"), split_files=True)
+
+
 @query("scan_quoted_props", "SELECT event_id, user_id, props FROM events")
 def scan_quoted_props(spark, sf_dir):
     """Types found in quoted numbers, beside a text with quotes in every row."""

@@ -13,6 +13,7 @@ from ..operators.lookup import TABLE_BYTES, attach, store
 from ..operators.running import running_total
 from ..workspace import materialise
 from .missing import infer_types, normalise_missing
+from .records import read_records
 
 
 @dataclass(frozen=True)
@@ -40,6 +41,7 @@ def read_csv(
     schema: T.StructType | None = None,
     row_id: str | None = "row_id",
     multi_line: bool = True,
+    split_files: bool = False,
     **options: str,
 ) -> DataFrame:
     """CSV with a header. Types from ``schema`` or from the data, missing tokens as null, rows numbered.
@@ -47,9 +49,16 @@ def read_csv(
     Every field is read as text first, so a token such as ``NA`` in a number
     column is missing and not an error. ``row_id`` is the 0-based position in the
     files, in path order; pass a column the file already has to keep that, or None.
-    ``multi_line`` and further reader options as for :func:`read_texts`.
+    ``multi_line`` and further reader options as for :func:`read_texts`. With
+    ``split_files`` a large file with line breaks in its fields is read by many tasks (``records``).
     """
     raw = read_texts(spark, path, multi_line, **options)
+    if split_files:
+        numbered = row_id if row_id not in raw.columns else None
+        raw = read_records(spark, path, raw.columns, number=numbered, **options)
+        texts = raw.drop(numbered) if numbered else raw
+        schema = infer_types(texts) if schema is None and texts.columns else schema
+        return normalise_missing(raw, schema)
     if schema is None and raw.columns:
         schema = infer_types(raw)
     if row_id is None or row_id in raw.columns:
