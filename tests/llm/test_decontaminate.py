@@ -1,5 +1,6 @@
 """Benchmark items in documents against brute force."""
 
+import pickle
 import random
 
 import pytest
@@ -60,9 +61,28 @@ def test_same_as_brute_force(spark, tables):
 
 
 def test_a_large_benchmark_goes_in_parts(spark, tables, monkeypatch):
-    monkeypatch.setattr(decontaminate, "INDEXED_BYTES", 600)
+    monkeypatch.setattr(decontaminate, "INDEXED_BYTES", 3000)
     docs, benchmark = frames(spark, tables)
     assert sorted((tuple(r) for r in find_contaminated(docs, benchmark).collect()), key=str) == brute(*tables)
+    bad = {r[0] for r in brute(*tables)}
+    got = decontaminated(docs.withColumnRenamed("item_id", "number"), benchmark)
+    assert got.columns == ["doc_id", "text", "number"]
+    assert sorted(map(tuple, got.collect()), key=str) == sorted((tuple(r) for r in docs.collect() if r.doc_id not in bad), key=str)
+
+
+def test_the_index_is_small():
+    chance = random.Random(3)
+    items = [(i, " ".join(f"word{chance.randint(0, 20_000)}" for _ in range(chance.randint(20, 60))), 1) for i in range(3000)]
+    text = sum(len(t) for _, t, _ in items)
+    assert len(pickle.dumps(Index(items, 5, 0.8, 24, 8))) < 4 * text
+
+
+def test_repeated_items_are_reported_each(spark):
+    item = " ".join(f"w{i}" for i in range(20))
+    docs = spark.createDataFrame([(1, "x " + item), (2, "y")], "doc_id long, text string")
+    benchmark = spark.createDataFrame([(7, item)] * 3 + [(8, item), (None, item)], "item_id long, text string")
+    got = [(r.doc_id, r.item_id) for r in find_contaminated(docs, benchmark).collect()]
+    assert sorted(got, key=str) == sorted([(1, 7)] * 3 + [(1, 8), (1, None)], key=str)
 
 
 def test_documents_shorter_than_the_item(spark):
@@ -103,7 +123,7 @@ def test_empty_tables(spark, tables):
 
 def test_blocks_find_all_within_the_radius():
     chance = random.Random(5)
-    index = Index([(i, " ".join(str(chance.random()) for _ in range(20))) for i in range(200)], 5, 0.8, 24, 8)
+    index = Index([(i, " ".join(str(chance.random()) for _ in range(20)), 1) for i in range(200)], 5, 0.8, 24, 8)
     import numpy as np
 
     prints = index.prints[:50].copy()
