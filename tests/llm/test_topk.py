@@ -6,7 +6,7 @@ import random
 import numpy as np
 import pytest
 
-from foldwright.llm.topk import Pivots, as_rows, products, top_k
+from foldwright.llm.topk import Pivots, as_rows, top_k
 
 SCHEMA = "vec_id long, embedding array<float>, score long"
 
@@ -63,13 +63,22 @@ def test_large_components_stay_exact(spark):
     assert sorted(map(tuple, got.collect())) == brute(rows, 50, 5)
 
 
-def test_products_choose_exact_arithmetic():
-    a = np.array([[2**30, 1], [3, 4]], np.int64)
-    assert products(a, a).tolist() == [[2**60 + 1, 3 * 2**30 + 4], [3 * 2**30 + 4, 25]]
-
-
 def test_rings_rule_out_what_lies_far():
     rows = as_rows([np.array(v, "<i8").tobytes() for v in ([1000, 0], [0, 1000], [990, 10], [-1000, 0])], 2)
     pivots = Pivots(rows, 2, 1e6, 3, 2)
     ring, away = pivots.file(rows)
     assert ring[0] // 2 == ring[2] // 2 != ring[3] // 2 and (away >= 0).all()
+
+
+def test_steps_search_no_more_than_one_jump(spark):
+    chance = random.Random(9)
+    centres = [[chance.gauss(0, 1) for _ in range(64)] for _ in range(16)]
+    tight = [(i, [x + chance.gauss(0, 0.02) for x in centres[i % 16]]) for i in range(3000)]
+    df = spark.createDataFrame([(*r, 0) for r in tight], SCHEMA).repartition(4)
+    shares, results = [], []
+    for steps in ((1,), (1, 8, 32)):
+        searched = []
+        results.append(sorted(map(tuple, top_k(df, 50, sample=1000, steps=steps, searched=searched).collect())))
+        shares.append(sum(pairs for _, pairs in searched) / (searched[0][0] * 16 * 8))
+    assert results[0] == results[1] == brute(tight, 50, 5)
+    assert shares[1] <= shares[0] < 0.1
