@@ -51,6 +51,7 @@ MATCHES = "doc_id long, item_id long, similarity double, first_word long, n_word
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _SCREEN_BITS = 22
+_FILED = (1 << 20) - 1
 
 
 class _Plain(dict):
@@ -118,7 +119,7 @@ class Index:
         keys = [self._key(self.lengths, block, self._value(self.prints, block)) for block in range(blocks)]
         order = np.argsort(np.concatenate(keys), kind="stable")
         self.keys, self.owners = np.concatenate(keys)[order], (order % max(len(self.ids), 1)).astype(np.int32)
-        self.screens = {}
+        self.screens, self.filed = {}, None
 
     def screen(self, size: int) -> np.ndarray:
         """Which low bits some shingle of ``size`` words has; made where it is used, as it is larger than the shingles."""
@@ -136,6 +137,9 @@ class Index:
 
     def near(self, lengths: np.ndarray, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(window, item): all items of the length that a window is held against within the radius of its fingerprint."""
+        if self.filed is None:  # under which low bits of a key something is filed
+            self.filed = np.zeros(_FILED + 1, bool)
+            self.filed[self.keys & _FILED] = True
         # windows alike are looked up once: a text that repeats itself has many
         kinds, kind = np.unique(np.stack([lengths.astype(np.uint64), prints]), axis=1, return_inverse=True)
         order = np.argsort(kind.ravel(), kind="stable")
@@ -146,9 +150,11 @@ class Index:
             met = []
             for block in range(self.blocks):
                 key = self._key(length[:, None], block, self._value(own, block)[:, None] ^ self.flips).ravel()
+                asked = np.flatnonzero(self.filed[key & _FILED])
+                key = key[asked]
                 a, b = np.searchsorted(self.keys, key, "left"), np.searchsorted(self.keys, key, "right")
                 n = b - a
-                at = np.repeat(np.arange(len(key)) // len(self.flips), n)
+                at = np.repeat(asked // len(self.flips), n)
                 item = self.owners[np.repeat(a - (np.cumsum(n) - n), n) + np.arange(n.sum())]
                 close = np.bitwise_count(own[at] ^ self.prints[item]) <= self.radius
                 met.append(np.stack([at[close], item[close]]))
