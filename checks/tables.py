@@ -7,13 +7,13 @@ from pyspark.sql import types as T
 
 from foldwright.functions import dates, text
 from foldwright.operators import importance as imp
-from foldwright.operators import metrics, profile, quantiles, reshape
+from foldwright.operators import metrics, profile, quantiles, reshape, sketches
 from foldwright.operators.encoders import CountEncoder
 from foldwright.operators.group_stats import GroupStats
 from foldwright.plans.preprocess import crossed_numbers, defect_features
 from foldwright.plans.preprocess import date_features as date_columns
 from foldwright.sources import missing, sinks, tables
-from foldwright.workspace import fresh_path
+from foldwright.workspace import fresh_path, materialise
 
 from .base import BASE_CTE, ORDERS_CTE, base, orders_base, train
 from .encoding import count_cte, count_join
@@ -514,6 +514,31 @@ def quantiles_ranged(spark, sf_dir):
     return made.select("seg", "n", *[F.round(f"q_{i}", 4).alias(a) for i, a in enumerate(("low", "middle", "high"))])
 
 
+_RANKS = (0.0625, 0.25, 0.5, 0.75, 0.99)
+
+
+@query(
+    "quantiles_sketched",
+    f"""WITH {BASE_CTE} SELECT seg, prob, count(*) AS n, TRUE AS within FROM base CROSS JOIN (VALUES {', '.join(f'(CAST({p} AS DOUBLE))' for p in _RANKS)}) v(prob)
+    WHERE split = 'train' GROUP BY seg, prob""",
+)
+def quantiles_sketched(spark, sf_dir):
+    """Sketches of three parts of the rows, merged, and every answer held against the ranks of all rows.
+
+    An answer is within if its rank is off by at most twice the error that holds at 99 %: five deviations.
+    """
+    df = train(base(spark, sf_dir))
+    made = sketches.merge_sketches(*[sketches.quantile_sketches(df.filter(F.col("row_id") % 3 == part), ["y1"], ["seg"]) for part in range(3)])
+    pairs = F.explode(F.array(*[F.struct(F.lit(p).alias("prob"), F.col(f"q_{i}").alias("value")) for i, p in enumerate(_RANKS)]))
+    answers = sketches.sketched_quantiles(made, _RANKS).select("seg", "n", pairs.alias("a")).select("seg", "n", "a.*")
+    answers = materialise(answers, "sketched")  # a sketch made again may answer otherwise
+    ranks = df.join(F.broadcast(answers), "seg").groupBy("seg", "prob", "n").agg(
+        F.avg((F.col("y1") < F.col("value")).cast("int")).alias("low"), F.avg((F.col("y1") <= F.col("value")).cast("int")).alias("high")
+    )
+    within = F.col("prob").between(F.col("low") - 2 * sketches.rank_error(), F.col("high") + 2 * sketches.rank_error())
+    return ranks.select("seg", "prob", "n", within.alias("within"))
+
+
 # --- metrics -----------------------------------------------------------------------------
 
 

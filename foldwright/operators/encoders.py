@@ -24,6 +24,7 @@ from .lookup import (
     attach_all,
     broadcastable,
     counted,
+    heavy_keys,
     measure_by,
     store_by,
 )
@@ -86,9 +87,11 @@ class FittedEncoder:
         if len(large) > 1 and not df.isStreaming:
             entries = self.table.filter(F.col("feature").isin(large)).withColumn("value", F.col(value))
             texts = {c: category(df, c) for c in large}
-            weight = sum(self.sizes[c].weight for c in large)
-            df = attach_all(df, texts, [], entries, {c: out.format(c) for c in large}, lambda entry: entry, weight)
+            sizes = [self.sizes[c] for c in large]
+            df = attach_all(df, texts, [], entries, {c: out.format(c) for c in large}, lambda entry: entry, sizes)
             large = []
+        # one large column: its values in the rows are read once before the joins are planned
+        heavy = {c: heavy_keys(df, [category(df, c)]) for c in large if not df.isStreaming}
         for i, column in enumerate(c for c in self.encoded if c in small or c in large):
             if i % CHAIN == 0:
                 df = counted(df)
@@ -102,6 +105,7 @@ class FittedEncoder:
                 small=column in small,
                 weight="n",
                 total_weight=self.sizes[column].weight,
+                heavy=heavy.get(column, ()),
             )
         return df
 

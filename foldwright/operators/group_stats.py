@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.numeric import present
-from .lookup import TABLE_BYTES, TableSize, attach, store, visible
+from .lookup import TABLE_BYTES, TableSize, attach, heavy_keys, store, visible
 from .persist import load_table, save_table
 from .quantiles import quantiles
 
@@ -49,15 +49,18 @@ class FittedStats:
 
     def transform(self, df: DataFrame, table_bytes: int = TABLE_BYTES) -> DataFrame:
         """Add the statistics of each row's group; a null key or unseen group gives nulls."""
+        small = self.size.bytes <= table_bytes
+        keys = [F.col(c) for c in self.cat_cols]
         joined = attach(
             df,
             self.table,
-            [(F.col(c), c) for c in self.cat_cols],
+            list(zip(keys, self.cat_cols)),
             {n: n for n in self.names},
             null_safe=False,
-            small=self.size.bytes <= table_bytes,
+            small=small,
             weight="__n",
             total_weight=self.size.weight,
+            heavy=() if small or df.isStreaming else heavy_keys(df, keys),
         )
         return joined.select(*visible(joined))
 

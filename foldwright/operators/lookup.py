@@ -4,7 +4,9 @@ The fitted side is broadcast only when its measured size allows it. A larger
 one goes through a shuffle join; keys that hold a large share of the rows
 are known from the fit (``weight``) and are joined by a broadcast of those
 few rows, while the rows that carry them are spread over salts so that no
-single task receives a whole hot key.
+single task receives a whole hot key. Keys that are hot in the joined rows
+alone are found by a sketch of those rows (:func:`heavy_keys`), read before
+the join is planned.
 """
 
 from __future__ import annotations
@@ -23,6 +25,10 @@ from ..workspace import materialise
 TABLE_BYTES = 64 << 20      # one broadcast table
 TOTAL_BYTES = 256 << 20     # all broadcast tables of one transform
 HOT_FRACTION = 1e-3         # a key with this share of the fitted rows is hot
+HOT_ROWS = 100              # a key of fewer rows burdens no task
+SKETCHED = 10_000           # keys that a sketch of rows follows: off by 0.02 % of the rows, a fifth of HOT_FRACTION
+FILTER_BITS = 1 << 26       # of a filter for rows that match nothing: a million words, about 32 MB as a broadcast
+BITS_PER_ENTRY = 16
 SALTS = 1024
 FILES = 64                  # of one feature in a stored table
 CHAIN = 6                   # joins between two row counts
@@ -124,16 +130,18 @@ def attach_all(
     table: DataFrame,
     names: Mapping[str, str],
     value: Callable[[Column], Column],
-    weight: int,
+    sizes: Sequence[TableSize],
 ) -> DataFrame:
     """Left-join the entries of many features at once, whatever the number of features.
 
     ``categories`` gives each feature of ``names`` (feature to output column) as text; ``keep``
-    are columns of ``df`` that ``value`` reads. One join finds the entries (``table``:
+    are columns of ``df`` that ``value`` reads; ``sizes`` are those of the features in ``table``. One join finds the entries (``table``:
     feature, category, n, value), one aggregate brings those of a row together,
     and only the last join moves whole rows. The rows are numbered and stored first: they come out as they went
-    in whether or not a column of theirs tells them apart, and neither branch makes them again.
+    in whether or not a column of theirs tells them apart, and neither branch makes them again. Categories that
+    the table surely lacks are left out before the first shuffle.
     """
+    weight, entries_number = sum(s.weight for s in sizes), sum(s.rows for s in sizes)
     rows = materialise(df.withColumn(NUMBER, F.monotonically_increasing_id()), "numbered")
     own = rows.select(NUMBER, *[F.col(f"`{k}`") for k in keep], *[c.alias(f"__f{i}") for i, c in enumerate(categories.values())])
     # a feature's name may be that of another column, so the features go by place
@@ -141,23 +149,61 @@ def attach_all(
     long = own.select(NUMBER, *[F.col(f"`{k}`") for k in keep], entries.alias("__e")).select(
         NUMBER, *[F.col(f"`{k}`") for k in keep], F.col("__e.feature").alias("feature"), F.col("__e.category").alias("category")
     )
+    keys = [(F.col("category"), "category"), (F.col("feature"), "feature")]
     found = attach(
-        long,
+        may_match(long, table, keys, entries_number),
         table,
-        [(F.col("category"), "category"), (F.col("feature"), "feature")],
+        keys,
         {"__entry": "value"},
         null_safe=True,
         small=False,
         weight="n",
         total_weight=weight,
+        heavy=heavy_keys(long, [expr for expr, _ in keys]),
     )
     entry = value(F.col("__entry"))
     made = [F.first(F.when(F.col("feature") == f, entry), ignorenulls=True).alias(out) for f, out in names.items()]
     return rows.join(found.groupBy(NUMBER).agg(*made), NUMBER, "left").select(*[F.col(f"`{c}`") for c in df.columns], *[F.col(f"`{o}`") for o in names.values()])
 
 
+def key_hash(columns: Sequence[Column]) -> Column:
+    return F.xxhash64(*[c.cast("string") for c in columns])
+
+
 def _bucket(columns: Sequence[Column]) -> Column:
-    return F.pmod(F.xxhash64(*[c.cast("string") for c in columns]), F.lit(SALTS))
+    return F.pmod(key_hash(columns), F.lit(SALTS))
+
+
+def heavy_keys(df: DataFrame, keys: Sequence[Column]) -> tuple[int, ...]:
+    """Hashes of the keys that hold at least ``HOT_FRACTION`` of the rows of ``df``, and ``HOT_ROWS``, in no order.
+
+    One pass over the key columns makes a frequent-items sketch of bounded size. Its counts are
+    never too low, so a few keys just below the share may be among them. At most 1 / HOT_FRACTION come to the driver.
+    """
+    top = F.expr(f"approx_top_k(__h, {round(1 / HOT_FRACTION)}, {SKETCHED})")
+    told = df.select(key_hash(keys).alias("__h")).agg(top.alias("top"), F.count(F.lit(1)).alias("rows")).first()
+    least = max(HOT_ROWS, told["rows"] * HOT_FRACTION)
+    return tuple(i["item"] for i in told["top"] or () if i["count"] >= least)
+
+
+def may_match(df: DataFrame, table: DataFrame, keys: Sequence[tuple[Column, str]], entries: int) -> DataFrame:
+    """The rows of ``df`` whose keys may be in ``table`` (of about ``entries`` rows); those left out are surely not.
+
+    The hashes of the table's keys are bits in words of 64, broadcast. There are 16 bits for each
+    entry, so about one in 16 foreign keys stays; above ``FILTER_BITS`` the share grows with the table.
+    """
+    bits = min(FILTER_BITS, max(64, BITS_PER_ENTRY * entries))
+
+    def place(columns: Sequence[Column]) -> Column:
+        return F.pmod(key_hash(columns), F.lit(bits))
+
+    places = table.select(place([F.col(c) for _, c in keys]).alias("__place"))
+    words = places.groupBy(F.shiftright("__place", 6).alias("__word")).agg(
+        F.expr("bit_or(shiftleft(1L, CAST(__place & 63 AS INT)))").alias("__bits")
+    )
+    probed = df.withColumn("__place", place([expr for expr, _ in keys]))
+    found = probed.join(F.broadcast(words), F.shiftright("__place", 6) == F.col("__word"))
+    return found.filter("(shiftrightunsigned(__bits, CAST(__place & 63 AS INT)) & 1L) = 1L").select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def visible(df: DataFrame) -> list[str]:
@@ -182,6 +228,7 @@ def attach(
     weight: str | None = None,
     total_weight: int = 0,
     few_null_rows: bool = True,
+    heavy: Sequence[int] = (),
 ) -> DataFrame:
     """Left-join ``table`` to ``df``; every row of ``df`` comes out once.
 
@@ -191,6 +238,8 @@ def attach(
     with a projection anyway, and one for many joins is analysed once.
     ``few_null_rows`` says that only a few rows of ``table`` (one per fold at
     most) have a null first key; then they are broadcast like hot keys.
+    ``heavy`` are the :func:`heavy_keys` of ``df``: their rows of ``table`` are
+    broadcast too, and rows of ``df`` that carry them go to no key's bucket, even if they match nothing.
     """
     tag = f"{INTERNAL}{next(_names)}"
     key_names = [f"{tag}_{i}" for i in range(len(keys))]
@@ -212,8 +261,10 @@ def attach(
         is_hot, dead = is_hot | F.col(key_names[0]).isNull(), left[0].isNull()
     else:
         dead = F.lit(False)
+    if heavy:
+        is_hot, dead = is_hot | key_hash([F.col(n) for n in key_names]).isin(*heavy), dead | key_hash(left).isin(*heavy)
     packed, cold_packed, salt = f"{tag}_hot", f"{tag}_cold", f"{tag}_salt"
-    # at most 1 / HOT_FRACTION rows can be hot, and the few with a null key
+    # at most 1 / HOT_FRACTION rows can be hot by the fit, as many by the new rows, and the few with a null key
     hot = right.filter(is_hot).select(*key_names, F.struct(*outputs).alias(packed))
     cold = right.filter(~is_hot).select(
         *key_names, F.struct(*outputs).alias(cold_packed), _bucket([F.col(n) for n in key_names]).alias(f"{salt}_r")

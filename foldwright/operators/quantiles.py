@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from ..functions.numeric import present
 from .lookup import TABLE_BYTES, attach, store
 from .running import ROWS_PER_TASK, running_total
+from .sketches import quantile_sketches, sketched_quantiles
+
+EXACT, SKETCH = "exact", "sketch"
 
 
 def quantiles(
@@ -19,13 +22,19 @@ def quantiles(
     by: Sequence[str] = (),
     rows_per_task: int = ROWS_PER_TASK,
     table_bytes: int = TABLE_BYTES,
+    method: str = EXACT,
 ) -> DataFrame:
     """Linearly interpolated quantiles ``q_0..`` of each column, per ``by`` group.
 
     Equal values are counted before any shuffle, the distinct ones get running
     totals over their order, and the two ranks around each quantile are picked
     by a plain aggregate. Nulls and NaN are left out. Result: ``by`` columns, ``column``, ``n``, ``q_i``.
+    ``method='sketch'`` reads them from KLL sketches: seen values, not interpolated, within :func:`.sketches.rank_error`.
     """
+    if method not in (EXACT, SKETCH):
+        raise ValueError(f"method must be {EXACT!r} or {SKETCH!r}, got {method!r}")
+    if method == SKETCH:
+        return sketched_quantiles(quantile_sketches(df, cols, by), probs)
     ids = [f"__id_{b}" for b in by]
     long = (
         df.select(
@@ -84,17 +93,17 @@ def letter_value_probs(depth: int = 4) -> list[float]:
     return sorted({*low, *[1 - p for p in low]})
 
 
-def letter_values(df: DataFrame, cols: Sequence[str], depth: int = 4) -> DataFrame:
+def letter_values(df: DataFrame, cols: Sequence[str], depth: int = 4, method: str = EXACT) -> DataFrame:
     """Letter values of each column: ``column``, ``prob``, ``value``."""
     probs = letter_value_probs(depth)
-    wide = quantiles(df, cols, probs)
+    wide = quantiles(df, cols, probs, method=method)
     pairs = F.explode(F.array(*[F.struct(F.lit(p).alias("prob"), F.col(f"q_{i}").alias("value")) for i, p in enumerate(probs)]))
     return wide.select("column", pairs.alias("pair")).select("column", "pair.prob", "pair.value")
 
 
-def box_summary(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
+def box_summary(df: DataFrame, value: str, by: Sequence[str], method: str = EXACT) -> DataFrame:
     """Minimum, quartiles and maximum of ``value`` per group."""
-    return quantiles(df, [value], [0.0, 0.25, 0.5, 0.75, 1.0], by=by).select(
+    return quantiles(df, [value], [0.0, 0.25, 0.5, 0.75, 1.0], by=by, method=method).select(
         *by,
         F.col("n"),
         F.col("q_0").alias("low"),

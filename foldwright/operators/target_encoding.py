@@ -31,6 +31,7 @@ from .lookup import (
     attach_all,
     broadcastable,
     counted,
+    heavy_keys,
     measure_by,
     size_columns,
     size_of,
@@ -94,8 +95,10 @@ class FittedTarget:
                 known.filter(F.col("feature").isin(large)).withColumn("value", F.col("te")),
                 {f: f"__te_{f}" for f in large},
                 lambda entry: of_fold(entry, F.col("__fold")),
-                sum(self.sizes[f].weight for f in large),
+                [self.sizes[f] for f in large],
             )
+        alone = [] if together or df.isStreaming else large
+        heavy = {f: heavy_keys(df, [category_of(f)]) for f in alone}
         for i, feature in enumerate(f for f in self.features if f in small or not together):
             if i % CHAIN == 0:
                 df = counted(df)
@@ -108,6 +111,7 @@ class FittedTarget:
                 small=feature in small,
                 weight="n",
                 total_weight=self.sizes[feature].weight,
+                heavy=heavy.get(feature, ()),
             )
         df, fill = counted(df), self._fill(fold)
         made = []
