@@ -9,6 +9,7 @@ from foldwright.operators.training import assemble, cross_validate
 from foldwright.plans.config import Learner
 from foldwright.plans.experiment import oof_scores, run, run_stored
 from foldwright.plans.features import build_features, feature_table
+from foldwright.plans.fits import FitStore
 from foldwright.plans.preprocess import run_steps
 from foldwright.plans.presets import AGG_METHODS, EXPERIMENTS, TARGETS
 from foldwright.workspace import fresh_path
@@ -93,6 +94,15 @@ def feature_table_full(spark, sf_dir):
     return _features(spark, sf_dir, EXPERIMENTS["exp_007"])
 
 
+@query("feature_table_shared_fits", _feature_sql(EXPERIMENTS["exp_005"]))
+def feature_table_shared_fits(spark, sf_dir):
+    """Encoders that one experiment has fitted and stored serve the next one, which adds columns of its own."""
+    fits, rows = FitStore(fresh_path(spark, "fits")), raw_rows(spark, sf_dir)
+    feature_table(EXPERIMENTS["exp_004"], rows, fits=fits)
+    table = feature_table(EXPERIMENTS["exp_005"], rows, fits=fits)
+    return table.rows.select("row_id", "split", "fold", *table.features)
+
+
 @query("feature_table_target_only", _feature_sql(EXPERIMENTS["exp_003"]))
 def feature_table_target_only(spark, sf_dir):
     return _features(spark, sf_dir, EXPERIMENTS["exp_003"])

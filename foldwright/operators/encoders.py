@@ -79,6 +79,8 @@ class FittedEncoder:
     table: DataFrame
     sizes: dict[str, TableSize] = field(hash=False)
 
+    described: ClassVar[tuple[str, ...]] = ("encoded", "passthrough", "order")
+
     def _attach_all(
         self, df: DataFrame, value: str, out: str, table_bytes: int, total_bytes: int
     ) -> DataFrame:
@@ -116,7 +118,7 @@ class FittedEncoder:
 
     def save(self, path: str) -> None:
         """Store the fitted table and its description under ``path``."""
-        about = {"encoded": self.encoded, "passthrough": self.passthrough, "order": self.order}
+        about = {name: getattr(self, name) for name in self.described}
         save_table(self.table, about, path, ("feature",))
 
     def _united(self, others: Sequence[FittedEncoder]) -> DataFrame:
@@ -129,7 +131,7 @@ class FittedEncoder:
     @classmethod
     def load(cls, spark: SparkSession, path: str):
         table, about = load_table(spark, path)
-        names = {k: tuple(v) for k, v in about.items()}
+        names = {k: v if isinstance(v, str) else tuple(v) for k, v in about.items()}
         return cls(**names, table=table, sizes=_complete(measure_by(table, "feature", "n"), names["encoded"]))
 
 
@@ -156,9 +158,19 @@ class FittedCount(FittedEncoder):
 class CountEncoder:
     """Train frequency of each category; a missing value counts as a category."""
 
+    fitted = FittedCount
+
     def __init__(self, cols: Sequence[str], numeric: str = "encode"):
         self.cols, self.numeric = tuple(cols), numeric
 
+    def about(self) -> dict:
+        """What the encoder was made with."""
+        return {"cols": self.cols, "numeric": self.numeric}
+
+    def reads(self) -> tuple[str, ...]:
+        """The columns that decide a fit."""
+        return self.cols
+
     def fit(self, train: DataFrame) -> FittedCount:
         encoded, passthrough = split_numeric(train, self.cols, self.numeric)
         counts = unpivot_categories(train, encoded).groupBy("feature", "category").agg(F.count(F.lit(1)).alias("n"))
@@ -191,6 +203,8 @@ class FittedOrdinal(FittedEncoder):
 class OrdinalEncoder:
     """Codes 1..n in the order in which train rows (by ``row_id``) first show a category."""
 
+    fitted = FittedOrdinal
+
     def __init__(
         self,
         cols: Sequence[str],
@@ -200,6 +214,14 @@ class OrdinalEncoder:
     ):
         self.cols, self.row_id, self.numeric, self.rows_per_task = tuple(cols), row_id, numeric, rows_per_task
 
+    def about(self) -> dict:
+        """What the encoder was made with."""
+        return {"cols": self.cols, "row_id": self.row_id, "numeric": self.numeric}
+
+    def reads(self) -> tuple[str, ...]:
+        """The columns that decide a fit."""
+        return (*self.cols, self.row_id)
+
     def fit(self, train: DataFrame) -> FittedOrdinal:
         encoded, passthrough = split_numeric(train, self.cols, self.numeric)
         first = (
@@ -224,6 +246,7 @@ class FittedOneHot(FittedOrdinal):
     form: str = COLUMNS
 
     suffix: ClassVar[str] = "_OHE"
+    described: ClassVar[tuple[str, ...]] = (*FittedEncoder.described, "form")
 
     def categories(self) -> dict[str, list[str | None]]:
         """Train categories per column in code order, on the driver: the names of the columns to make."""
@@ -277,6 +300,8 @@ class FittedOneHot(FittedOrdinal):
 class OneHotEncoder:
     """0/1 per train category in order of first appearance: ``form`` says as columns or as one sparse vector."""
 
+    fitted = FittedOneHot
+
     def __init__(
         self,
         cols: Sequence[str],
@@ -290,6 +315,14 @@ class OneHotEncoder:
         self._ordinal = OrdinalEncoder(cols, row_id, numeric, rows_per_task)
         self.form = form
 
+    def about(self) -> dict:
+        """What the encoder was made with."""
+        return {**self._ordinal.about(), "form": self.form}
+
+    def reads(self) -> tuple[str, ...]:
+        """The columns that decide a fit."""
+        return self._ordinal.reads()
+
     def fit(self, train: DataFrame) -> FittedOneHot:
         fitted = self._ordinal.fit(train)
         return FittedOneHot(fitted.encoded, fitted.passthrough, fitted.order, fitted.table, fitted.sizes, self.form)

@@ -207,6 +207,8 @@ class TargetEncoder:
     that leave out one inner fold each, over those that saw the category.
     """
 
+    fitted = FittedTarget
+
     def __init__(
         self,
         cols: Sequence[str],
@@ -260,6 +262,11 @@ class TargetEncoder:
         names = ("cols", "targets", "interactions", "fold_col", "unseen", "inner_folds", "row_id", "inner_seed")
         return {name: getattr(self, name) for name in names}
 
+    def reads(self) -> tuple[str, ...]:
+        """The columns that decide a fit."""
+        joined = dict.fromkeys((*self.cols, *[c for i in self.interactions for c in i], *self.targets, self.fold_col))
+        return (*joined, *([self.row_id] if self.inner_folds and self.row_id not in joined else []))
+
     def _parts(self) -> range:
         return range(self.inner_folds or 1)
 

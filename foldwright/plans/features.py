@@ -22,20 +22,23 @@ from ..operators.reshape import TRAIN, is_vector
 from ..operators.target_encoding import TargetEncoder
 from ..workspace import fresh_path, materialise
 from .config import Experiment
+from .fits import FitStore, fingerprints
 from .preprocess import run_steps
 from .presets import PROJECTIONS
 
 Transform = Callable[[DataFrame], DataFrame]
 # (experiment, train rows) -> transform fitted on them
 Fit = Callable[[Experiment, DataFrame], Transform]
-ENCODERS: dict[str, Fit] = {}
+# experiment -> encoder, to be fitted or found fitted
+Make = Callable[[Experiment], CountEncoder | OrdinalEncoder | OneHotEncoder | TargetEncoder]
+ENCODERS: dict[str, Make] = {}
 BLOCKS: dict[str, Fit] = {}
 
 
-def encoder(name: str) -> Callable[[Fit], Fit]:
-    """Register a fit that runs in the first phase, on the cleaned columns."""
+def encoder(name: str) -> Callable[[Make], Make]:
+    """Register an encoder that is fitted in the first phase, on the cleaned columns."""
 
-    def register(function: Fit) -> Fit:
+    def register(function: Make) -> Make:
         ENCODERS[name] = function
         return function
 
@@ -57,30 +60,24 @@ def train_rows(df: DataFrame) -> DataFrame:
 
 
 @encoder("get_ordinal_encoding_features")
-def _ordinal(spec: Experiment, train: DataFrame) -> Transform:
-    return OrdinalEncoder(spec.ordinal_cols, spec.row_id, spec.numeric).fit(train).transform
+def _ordinal(spec: Experiment) -> OrdinalEncoder:
+    return OrdinalEncoder(spec.ordinal_cols, spec.row_id, spec.numeric)
 
 
 @encoder("get_count_encoding_features")
-def _count(spec: Experiment, train: DataFrame) -> Transform:
-    return CountEncoder(spec.count_cols, spec.numeric).fit(train).transform
+def _count(spec: Experiment) -> CountEncoder:
+    return CountEncoder(spec.count_cols, spec.numeric)
 
 
 @encoder("get_onehot_encoding_features")
-def _onehot(spec: Experiment, train: DataFrame) -> Transform:
-    return OneHotEncoder(spec.onehot_cols, spec.row_id, spec.numeric, spec.onehot_form).fit(train).transform
+def _onehot(spec: Experiment) -> OneHotEncoder:
+    return OneHotEncoder(spec.onehot_cols, spec.row_id, spec.numeric, spec.onehot_form)
 
 
 @encoder("get_target_encoding_features")
-def _target(spec: Experiment, train: DataFrame) -> Transform:
+def _target(spec: Experiment) -> TargetEncoder:
     te = spec.target_encoding
-    return (
-        TargetEncoder(
-            te.cols, spec.targets, te.interactions, "fold", te.unseen, te.inner_folds, spec.row_id, te.inner_seed
-        )
-        .fit(train)
-        .transform
-    )
+    return TargetEncoder(te.cols, spec.targets, te.interactions, "fold", te.unseen, te.inner_folds, spec.row_id, te.inner_seed)
 
 
 def _statistics(name: str) -> Fit:
@@ -152,8 +149,11 @@ def check_features(spec: Experiment, columns: Sequence[str]) -> None:
             raise ValueError(f"{name} needs columns {lacking}; add the step or encoder that makes them")
 
 
-def build_features(spec: Experiment, rows: DataFrame) -> FeatureTable:
-    """Feature table of cleaned rows that carry ``split`` and ``fold``, columns in configured order."""
+def build_features(spec: Experiment, rows: DataFrame, fits: FitStore | None = None) -> FeatureTable:
+    """Feature table of cleaned rows that carry ``split`` and ``fold``, columns in configured order.
+
+    With ``fits``, encoders that an experiment has fitted on the same values are read from there.
+    """
     check_features(spec, rows.columns)
     source, names = rows, []
     made: list[tuple[set[str], Transform]] = []
@@ -167,8 +167,10 @@ def build_features(spec: Experiment, rows: DataFrame) -> FeatureTable:
         made.append((set(added), transform))
 
     # encoders are fitted on the source columns alone, so no fit repeats another one's joins
-    for name in [n for n in spec.features if n in ENCODERS]:
-        apply(ENCODERS[name](spec, train_rows(source)))
+    encoders, train = [ENCODERS[n](spec) for n in spec.features if n in ENCODERS], train_rows(source)
+    digests = fingerprints(train, spec.row_id, [c for e in encoders for c in e.reads()]) if fits else {}
+    for made_with in encoders:
+        apply((fits.fit(made_with, train, digests) if fits else made_with.fit(train)).transform)
     for name in [n for n in spec.features if n not in ENCODERS]:
         if name in PROJECTIONS:
             names.extend(c for c in PROJECTIONS[name] if c not in names)
@@ -195,11 +197,11 @@ def _stored_with_folds(spec: Experiment, rows: DataFrame) -> tuple[DataFrame, in
     return stored, seen.get["rows"]
 
 
-def feature_table(spec: Experiment, rows: DataFrame, path: str | None = None) -> FeatureTable:
+def feature_table(spec: Experiment, rows: DataFrame, path: str | None = None, fits: FitStore | None = None) -> FeatureTable:
     """Raw united rows to a stored feature table: cleaning, folds, encoders, blocks.
 
     The source is read twice, for the groups and for the one copy with folds that
     everything after reads. The table goes to ``path``, or to the shared folder.
     """
     stored, number = _stored_with_folds(spec, run_steps(rows, spec.preprocess))
-    return build_features(spec, stored).save(path or fresh_path(rows.sparkSession, "feature-table"), number)
+    return build_features(spec, stored, fits).save(path or fresh_path(rows.sparkSession, "feature-table"), number)
