@@ -509,7 +509,7 @@ def letter_values(spark, sf_dir):
     "round(quantile_cont(y1, 0.9), 4) AS high FROM base WHERE split = 'train' GROUP BY seg",
 )
 def quantiles_ranged(spark, sf_dir):
-    """Running totals over ranges of a few hundred values, totals joined by shuffle."""
+    """Running totals over ranges of a few hundred values (more beyond the most ranges), totals joined by shuffle."""
     made = quantiles.quantiles(train(base(spark, sf_dir)), ["y1"], [0.25, 0.5, 0.9], ["seg"], rows_per_task=300, table_bytes=0)
     return made.select("seg", "n", *[F.round(f"q_{i}", 4).alias(a) for i, a in enumerate(("low", "middle", "high"))])
 

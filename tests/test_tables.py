@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foldwright.operators import importance, metrics, profile, quantiles, reshape
+from foldwright.operators import importance, metrics, profile, quantiles, reshape, running
 from foldwright.operators.group_stats import GroupStats
 from foldwright.operators.running import running_total
 from foldwright.sources import missing, sinks, tables
@@ -43,6 +43,17 @@ def test_running_total_over_ranges(spark):
     )
 
 
+def test_ranges_do_not_grow_without_bound(spark, monkeypatch):
+    """Each range costs the driver a task's report and a hundred sampled rows."""
+    pick = random.Random(4)
+    df = spark.createDataFrame([(f"g{i % 3}", i, pick.randrange(9)) for i in range(1500)], "g string, i long, w long")
+    made, store = [], running.materialise
+    monkeypatch.setattr(running, "materialise", lambda df, name: made.append(df.rdd.getNumPartitions()) or store(df.coalesce(4), name))
+    ranged = running_total(df, ["g"], ["i"], "w", "t", 1500, rows_per_task=1)
+    assert rows(ranged) == rows(running_total(df, ["g"], ["i"], "w", "t", 1500))
+    assert made == [1000]
+
+
 def test_quantiles_match_python_and_ranges(spark, no_auto_broadcast):
     pick = random.Random(5)
     data = [("hot" if pick.random() < 0.4 else f"g{pick.randrange(7)}", float(pick.randrange(500))) for _ in range(3000)]
