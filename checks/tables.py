@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,6 +46,10 @@ def scan_normalise_missing(spark, sf_dir):
     return tables.read_csv(spark, path, kinds, row_id="row_id")
 
 
+# text in a file to be read in blocks: more than a block of Spark's default size (128 MB)
+FILE_BYTES = 160 << 20
+
+
 def _quoted(df, path):
     """CSV as most tools write it: every field in quotes, a quote inside written twice."""
     df.write.csv(path, header=True, quoteAll=True, escape='"')
@@ -59,9 +65,15 @@ def scan_quoted_text(spark, sf_dir):
 
 @query("scan_quoted_split", "SELECT row_number() OVER (ORDER BY page_id) - 1 AS row_id, page_id, html FROM pages")
 def scan_quoted_split(spark, sf_dir):
-    """One file with line breaks in its fields, read by as many tasks as it has blocks."""
-    path = fresh_path(spark, "csv")
-    _quoted(table(spark, sf_dir, "pages").select("page_id", "html").orderBy("page_id").coalesce(1), path)
+    """Files with line breaks in their fields, each read by as many tasks as it has blocks.
+
+    A task writes a whole file, so their number follows the bytes; the order of the keys goes on from file to file.
+    """
+    path, pages = fresh_path(spark, "csv"), table(spark, sf_dir, "pages").select("page_id", "html")
+    size = pages.agg(F.sum(F.octet_length("html"))).first()[0] or 0
+    # the hash parts a key of many rows
+    ranged = pages.repartitionByRange(max(1, ceil(size / FILE_BYTES)), "page_id", F.xxhash64("html"))
+    _quoted(ranged.sortWithinPartitions("page_id"), path)
     return tables.read_csv(spark, path, T.StructType.fromDDL("page_id BIGINT, html STRING"), split_files=True)
 
 

@@ -1,9 +1,11 @@
 """Quoted files in blocks of a few bytes, against Spark's reader of whole files."""
 
 import random
+from pathlib import Path
 
 import pytest
 
+from checks import tables as checks
 from foldwright.sources import tables
 
 from .conftest import rows
@@ -44,3 +46,17 @@ def test_same_records_as_from_whole_files(spark, small_blocks, tmp_path, end):
 def test_no_records(spark, tmp_path):
     (tmp_path / "a.csv").write_text("k,t\n")
     assert tables.read_csv(spark, str(tmp_path), split_files=True).collect() == []
+
+
+def test_no_task_writes_all_files(spark, tmp_path, monkeypatch):
+    """The numbers go on from file to file, and the rows of one key may part."""
+    chance, written = random.Random(6), []
+    data = [(i // 2 if i < 60 else 30, f"a{''.join(chance.choices(['"', chr(10), ',', 'a', 'é'], k=30))}a") for i in range(120)]
+    spark.createDataFrame(data, "page_id long, html string").repartition(3).write.parquet(str(tmp_path / "pages.parquet"))
+    quoted = checks._quoted
+    monkeypatch.setattr(checks, "FILE_BYTES", 500, raising=False)
+    monkeypatch.setattr(checks, "_quoted", lambda df, path: written.append(path) or quoted(df, path))
+    made = sorted(map(tuple, checks.scan_quoted_split(spark, str(tmp_path)).collect()))
+    assert len(list(Path(written[0].removeprefix("file://")).glob("part-*"))) > 4
+    assert [r[0] for r in made] == list(range(120)) and [r[1] for r in made] == sorted(k for k, _ in data)
+    assert sorted(r[1:] for r in made) == sorted(data)
