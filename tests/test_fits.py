@@ -63,3 +63,11 @@ def test_what_a_fit_is_known_by(train):
     assert fingerprints(swapped, "row_id", ["cat"])["cat"] != known["cat"]
     empty = train.filter("row_id < 0")
     assert fingerprints(empty, "row_id", cols) == fingerprints(empty, "row_id", cols)
+
+
+def test_fingerprints_are_the_sums_of_all_hashes(train):
+    """The sums of halves by partition make those of whole hashes, and of no rows there is none."""
+    for df in (train, train.union(train).repartition(7), train.filter("row_id < 0")):
+        sums = [F.sum(F.xxhash64(F.lit(way), "row_id", "cat").cast("decimal(20,0)")).cast("string") for way in (0, 1)]
+        number, first, second = df.agg(F.count("row_id"), *sums).first()
+        assert fingerprints(df, "row_id", ["cat", "y"])["cat"] == f"string:{number}:{first}:{second}"

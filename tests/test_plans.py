@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from foldwright.operators.boosting import best_round
 from foldwright.operators.training import assemble, cross_validate, make_learner
+from foldwright.plans import features
 from foldwright.plans.config import Learner, Split, TargetEncoding
 from foldwright.plans.experiment import run
 from foldwright.plans.features import FeatureTable, build_features, feature_table, with_folds
@@ -85,6 +86,26 @@ def test_source_is_scanned_a_fixed_number_of_times(raw, spark):
     assert seen.value == 2 * 500  # for the groups, and for the stored copy
 
 
+@pytest.mark.parametrize("name", ["exp_005", "exp_007"])
+def test_the_stored_rows_hold_what_the_features_read(raw, monkeypatch, name):
+    spec, stored, store = EXPERIMENTS[name], {}, features.materialise
+    monkeypatch.setattr(features, "materialise", lambda df, to: stored.update({to: df.columns}) or store(df, to))
+    made = feature_table(spec, raw)
+    assert "moisture" not in stored["folded"] and "grading_date_julian" not in stored["folded"]
+    assert {"row_id", "split", "fold", "farm_name", "is_specialty", *spec.targets, *spec.count_cols} <= {*stored["folded"]}
+    whole = build_features(spec, with_folds(spec, run_steps(raw, spec.preprocess)))
+    assert made.features == whole.features and rows(made.rows) == rows(whole.rows.select(*made.rows.columns))
+
+
+def test_columns_read_by_every_kind_of_feature(raw, monkeypatch):
+    columns = run_steps(raw, EXPERIMENTS["exp_007"].preprocess).columns
+    spec = EXPERIMENTS["exp_007"].change(features=("get_ordinal_encoding_features", "get_agg_region_features", "get_moisture_features"))
+    kept = features.read_columns(spec, columns)
+    assert {*spec.ordinal_cols, "region", "yield", "altitude_mean_meters", "moisture"} <= {*kept} and "owner" not in kept
+    monkeypatch.setitem(features.BLOCKS, "own", lambda spec, train: lambda df: df)
+    assert features.read_columns(spec.change(features=("own",)), columns) == columns
+
+
 def test_onehot_vectors_in_a_configured_run(raw):
     spec = EXPERIMENTS["exp_002"].change(
         features=("get_onehot_encoding_features", "get_quakers_features"), onehot_cols=("farm_name", "region"), onehot_form="vectors",
