@@ -64,7 +64,8 @@ class Memory(dict):
     """
 
     _held: list[weakref.ref] = []
-    _words = 0
+    #: Words held, in a list: to set an attribute of a class for each word makes Python forget how it finds the others.
+    _words = [0]
     _user = ""
 
     def __init__(self, value):
@@ -75,9 +76,10 @@ class Memory(dict):
     def __missing__(self, word):
         found = self.value(word)
         if len(word) <= LONGEST:
-            if Memory._words >= REMEMBERED:
+            words = self._words
+            if words[0] >= REMEMBERED:
                 Memory.forget()
-            Memory._words += 1
+            words[0] += 1
             self[word] = found
         return found
 
@@ -86,7 +88,7 @@ class Memory(dict):
         for memory in Memory._held:
             if (held := memory()) is not None:
                 held.clear()
-        Memory._words = 0
+        Memory._words[0] = 0
 
     @staticmethod
     def use_for(operator: str) -> None:
@@ -156,7 +158,11 @@ class Encoder:
         self.lowers = steps == ["NFC", "Replace", "Lowercase"] and patterns == [WORD_LEVEL.pattern]
 
     def _lower_word(self, word: str) -> bytes:
-        pieces = [word] if word.isalpha() else WORD_LEVEL.findall(word)
+        if word.isalpha():
+            return self._piece(word)
+        if word[-1:] in MARKS and word[:-1].isalpha():
+            return self.lower[word[:-1]] + self.lower[word[-1]]
+        pieces = WORD_LEVEL.findall(word)
         return self._piece(word) if pieces == [word] else b"".join(map(self.lower.__getitem__, pieces))
 
     def _piece(self, piece: str) -> bytes:

@@ -3,6 +3,7 @@
 import random
 import zlib
 from collections import defaultdict
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
@@ -11,9 +12,9 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from foldwright.llm import repair
+from foldwright.llm import pieces, repair
 from foldwright.llm.packing import cut, pack, plan
-from foldwright.llm.pieces import Memory, encoder
+from foldwright.llm.pieces import Encoder, Memory, encoder
 from foldwright.llm.token_counts import count_tokens, counter
 from foldwright.llm.token_files import token_files
 
@@ -63,6 +64,14 @@ def test_memories_share_one_bound(monkeypatch):
     assert not first and not second and first["x" * 100] == 100 and not first
 
 
+def test_a_word_with_a_mark_is_not_searched_for_cuts(monkeypatch):
+    encode, asked, cuts = Encoder(WORDS), [], pieces.WORD_LEVEL
+    monkeypatch.setattr(pieces, "WORD_LEVEL", SimpleNamespace(findall=lambda word: asked.append(word) or cuts.findall(word)))
+    for text in ("stop. over, there; é: why?", "No! a. x$"):
+        assert encode(text) == np.array(ids_of(WORDS, text), "<u4").tobytes()
+    assert {*asked} == {*".,;:?!$", "x$"}
+
+
 def empty(docs):
     return docs.limit(0)
 
