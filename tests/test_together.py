@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from foldwright.operators import together
 from foldwright.operators.boosting import best_round
-from foldwright.operators.together import Tree, boost_together, shareable, thresholds
-from foldwright.operators.training import assemble, cross_validate
+from foldwright.operators.together import Tree, boost_together, only_numbers, thresholds
+from foldwright.operators.training import assemble, cross_validate, grow_together
 
 from .conftest import rows
 
@@ -121,4 +121,23 @@ def test_what_cannot_be_fitted_is_told(spark, table):
         cross_validate(assemble(df.filter("fold = 0").fillna(1.0), ["a"], ["y"]), ["a"], ["y"], (0,), 2, **options)
     with pytest.raises(ValueError, match="unknown loss"):
         cross_validate(table, COLUMNS, ["y"], (0,), 4, params={"lossType": "huber"}, stop="patience")
-    assert shareable(table, PARAMS) and not shareable(table, {"subsamplingRate": 0.5})
+
+
+def test_what_grows_together(spark, table):
+    assert only_numbers(table) and grow_together(3, "gbt", PARAMS, "patience") and grow_together(3, "gbt", PARAMS, None)
+    assert not grow_together(3, "gbt", {"subsamplingRate": 0.5}, "patience") and not grow_together(3, "linear", {}, None)
+    assert not grow_together(3, "gbt", PARAMS, "tolerance") and not grow_together(100_000, "gbt", PARAMS, None)
+
+
+@pytest.mark.parametrize("stop", [None, "patience"])
+def test_arrays_give_what_vectors_give(spark, stop):
+    df = spark.range(200).selectExpr(
+        "id AS row_id", "CASE WHEN id % 5 = 4 THEN 'test' ELSE 'train' END AS split", "CASE WHEN id % 5 <> 4 THEN CAST(id % 3 AS INT) END AS fold",
+        "CASE WHEN id % 7 > 0 THEN CAST(hash(id) % 50 AS DOUBLE) END AS a", "CAST(id % 4 AS INT) AS b", "CAST(hash(id) % 50 + id % 4 AS DOUBLE) AS y",
+    )
+    made = []
+    for stored in (True, False):
+        vectors = assemble(df, ["a", "b"], ["y"], stored=stored)
+        made.append(cross_validate(vectors, ["a", "b"], ["y"], (0,), 3, params={"maxIter": 2, "maxDepth": 2}, stop=stop, patience=5))
+    for part in ("oof", "test", "importance", "rounds"):
+        assert rows(getattr(made[0], part)) == rows(getattr(made[1], part))
